@@ -1,0 +1,6 @@
+"""Registered queries."""
+
+from . import audit_queries  # noqa: F401  registers
+from .queries import QUERIES, SQL
+
+__all__ = ["QUERIES", "SQL"]
