@@ -251,6 +251,8 @@ class Scorer:
         self.scores = np.empty((0, len(model.languages)))
 
     def __call__(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
+        if not self.model.languages:
+            return [UNDETERMINED] * len(texts), [0.0] * len(texts)
         split = [LETTERS.findall(t.lower()) if t else [] for t in texts]
         new = list({w for words in split for w in words if w not in self.seen})
         if len(self.seen) + len(new) > _CACHE:
@@ -263,7 +265,7 @@ class Scorer:
             self.scores = np.vstack((self.scores, word_scores(new, self.lattice, self.model.table)))
         names, best = [], []
         for text, words in zip(texts, split, strict=True):
-            if not words or not self.model.languages or not any(c.isalpha() for w in words for c in w):
+            if not words or not any(c.isalpha() for w in words for c in w):
                 names.append(UNDETERMINED)
                 best.append(0.0)
                 continue

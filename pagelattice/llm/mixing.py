@@ -96,7 +96,12 @@ def finish_times(
 
 
 def plan_mix(
-    docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = 1.5, seed: str = "mix", range_rows: int = 10_000
+    docs: DataFrame,
+    weights: tuple[int, ...] = WEIGHTS,
+    share: float = 1.5,
+    seed: str = "mix",
+    bucket_rows: int = 200_000,
+    range_rows: int = 10_000,
 ) -> DataFrame:
     """(doc_id, source, size, source_size, target, taken, copies, f1), one row per document row.
 
@@ -106,7 +111,7 @@ def plan_mix(
     seed and doc_id: reruns agree, and rows that repeat a doc_id stand next to each other.
     An empty table, or one without any word, takes nothing but empty documents.
     """
-    timed = materialize(finish_times(docs, weights, share, seed), "mix-times")
+    timed = materialize(finish_times(docs, weights, share, seed, bucket_rows), "mix-times")
     order = ["f", "s", "key", "doc_id", "pass"]
     copies = timed.select(
         F.explode(
