@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from pagelattice.config import PRODUCTION, RuleConfig
 
-from .components import connected_components
+from .components import checkpoint, connected_components
 
 
 def bridge_codes(bindings: DataFrame, band_letters: DataFrame) -> DataFrame:
@@ -42,7 +42,9 @@ def bridge_codes(bindings: DataFrame, band_letters: DataFrame) -> DataFrame:
 
 
 def clusters(bindings: DataFrame) -> DataFrame:
-    """bindings with `cluster`: the least binding id reachable over shared swatches and codes of the document."""
+    """bindings with `cluster`: the least binding id reachable over shared swatches and codes of the document.
+    The result is computed once and kept (checkpoint): what follows reads it many times."""
+    bindings = checkpoint(bindings)
     node = F.struct("doc_id", "id")
     edges = None
     for key in ("sw", "code"):
@@ -50,7 +52,7 @@ def clusters(bindings: DataFrame) -> DataFrame:
         found = bindings.join(least, ["doc_id", key]).select(node.alias("a"), F.struct("doc_id", F.col("to").alias("id")).alias("b"))
         edges = found if edges is None else edges.unionByName(found)
     roots = connected_components(edges, "a", "b").select(F.col("node.doc_id").alias("doc_id"), F.col("node.id").alias("id"), F.col("root.id").alias("root"))
-    return bindings.join(roots, ["doc_id", "id"], "left").withColumn("cluster", F.coalesce("root", "id")).drop("root")
+    return checkpoint(bindings.join(roots, ["doc_id", "id"], "left").withColumn("cluster", F.coalesce("root", "id")).drop("root"))
 
 
 def guard_reasons(clustered: DataFrame, swatch_areas: DataFrame | None = None, rules: RuleConfig = PRODUCTION) -> DataFrame:
@@ -142,11 +144,12 @@ def assemble(
 ) -> tuple[DataFrame, DataFrame]:
     """Variants (doc_id, cluster, code, color, color_conflict, regime, regime_conflict, merged_from, sizes) and the
     queue of demoted bindings (doc_id, id, code, reason)."""
-    bridged = bridge_codes(bindings, band_letters)
+    bindings = checkpoint(bindings)
+    bridged = checkpoint(bridge_codes(bindings, band_letters))
     suspects = bindings.join(bridged, ["doc_id", "code"], "left_semi").select("doc_id", "id", "code", F.lit("merge_key_suspect").alias("reason"))
     clustered = clusters(bindings.join(bridged, ["doc_id", "code"], "left_anti"))
     guarded = guard_reasons(clustered, swatch_areas, rules).select("doc_id", "cluster", "reason")
-    judged = clustered.join(guarded, ["doc_id", "cluster"])
+    judged = checkpoint(clustered.join(guarded, ["doc_id", "cluster"]))
     queue = suspects.unionByName(judged.where("reason is not null").select("doc_id", "id", "code", "reason"))
     kept = judged.where("reason is null").drop("reason")
     modes, shades = regimes(kept, spec_rows), colors(kept)

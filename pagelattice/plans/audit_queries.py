@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pagelattice.config import RuleConfig
 from pagelattice.functions import geometry as G
 from pagelattice.functions import tokens as T
-from pagelattice.operators import assemble, audit, detect, layout, scan
+from pagelattice.operators import assemble, audit, detect, emit, layout, scan
 
 from . import layout_sql as Q
 from .queries import KEY, PK, WNC, WNS, Bridge, query
@@ -524,4 +524,77 @@ def _(b):
     return b.code_words.join(s, KEY).groupBy("doc_id", "token").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("size").alias("sizes"))
 
 
+# Emission and the version ladder
 
+GAP = """cod as (select distinct doc_id, page_no, sw_idx from v where sw_idx is not null),
+gp as (select r.doc_id, r.page_no, count(*) n_sw, count_if(cod.sw_idx is null) bare from r left join cod using (doc_id, page_no, sw_idx) group by all)"""
+
+
+@query(
+    "p19_flagged_pages",
+    f"""with {Q.scan()}, {GAP}, c as (select doc_id, page_no, count(*) n, count_if(sw_idx is null) + count_if(far) astray from v group by all)
+select doc_id, page_no from c left join gp using (doc_id, page_no) where n >= 3 and (astray > 0.2 * n or coalesce(n_sw, 0) = 0 or bare > 0.5 * n_sw)""",
+)
+def _(b):
+    gaps = scan.identity_gap(b.rects, layout.assign_words(b.words, b.rects, RuleConfig(6)), b.words, b.codes)
+    return emit.flagged_pages(scan.page_counts(b.judged()), gaps)
+
+
+@query(
+    "s9_crop_boxes",
+    f"""with {Q.scan()}, bd as (select distinct doc_id, page_no, sw_idx from v where aligned),
+k as (select r.*, case when bd.sw_idx is not null then 'v' when hd.sw_idx is not null then 'q' else 'sk' end kind from r left join bd using (doc_id, page_no, sw_idx)
+  left join (select distinct doc_id, page_no, sw_idx from v where not aligned and sw_idx is not null) hd using (doc_id, page_no, sw_idx))
+select doc_id, page_no, sw_idx, kind || lpad(cast(row_number() over (partition by doc_id, kind order by page_no, sw_idx) - 1 as varchar), 3, '0') || '_p' || page_no "name",
+  x0 - 4 x0, y0 - 4 y0, x1 + 4 x1, y1 + 4 y1 from k""",
+)
+def _(b):
+    judged = b.judged()
+    return emit.crop_boxes(judged.where("aligned"), judged.where("not aligned"), b.rects, margin=4.0)
+
+
+@query(
+    "q8_read_model",
+    f"""with {Q.scan()}, p as (select doc_id, page_no, string_agg(distinct token, ',' order by token) codes, count_if(aligned) bound,
+    coalesce(string_agg(distinct case when demoted then 'icon_demoted' when sw_idx is null then 'orphan' when not aligned then 'not_x_aligned' end, ',' order by
+      case when demoted then 'icon_demoted' when sw_idx is null then 'orphan' when not aligned then 'not_x_aligned' end), '') reasons from v group by all)
+select pg.doc_id, pg.page_no, case when bound > 0 then 'auto' when codes is not null then 'review' else 'nonspec' end state, codes, bound, reasons from pg left join p using (doc_id, page_no)""",
+)
+def _(b):
+    judged, pages = b.judged(), b.pages
+    none = pages.where("false")
+    return emit.read_model(judged, scan.dispositions(pages, judged.where("aligned"), judged, none, pages))
+
+
+@query(
+    "q1_product_documents",
+    f"""{CL}, {GUARDS}, {SPEC} select b.doc_id, count(distinct case when gr.reason is null then cl.cluster end) n_variants, count(*) n_rows, count_if(gr.reason is not null) needs_review, false skeleton
+from b join cl using (doc_id, id) join gr on gr.doc_id = cl.doc_id and gr.cluster = cl.cluster group by all""",
+)
+def _(b):
+    bound, rows = b.dense, b.spec_rows
+    none = bound.select("doc_id", F.lit("?").alias("letter")).distinct()
+    variants, queue = assemble.assemble(bound, rows, none, _areas(b))
+    made = emit.product_documents(variants, rows, queue)
+    n_variants, n_rows = F.size("variants").cast("long").alias("n_variants"), F.size("spec_by_code").cast("long").alias("n_rows")
+    return made.select("doc_id", n_variants, n_rows, "needs_review", "skeleton")
+
+
+def _ladder(version: int) -> None:
+    icon = Q.icon(version) if version >= 6 else "icon as (select doc_id, page_no, sw_idx, false icon from r)"
+    sql = ", ".join((Q.W, Q.R, Q.N, Q.C, Q.PG, Q.assign(version), icon, Q.V))
+
+    @query(
+        f"q4_scan_v{version}",
+        f"""with {sql} select doc_id, count(*) n_codes, count_if(sw_idx is null) code_orphan, count_if(far) code_far, count_if(aligned) code_x_aligned,
+  count_if(demoted) code_icon_demoted from v group by doc_id""",
+    )
+    def _(b):
+        counts = scan.page_counts(b.judged(version))
+        return counts.groupBy("doc_id").agg(
+            *(F.sum(c).alias(c) for c in ("n_codes", "code_orphan", "code_far", "code_x_aligned", "code_icon_demoted"))
+        )
+
+
+for _version in (1, 2, 3, 5, 6):
+    _ladder(_version)
