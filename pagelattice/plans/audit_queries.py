@@ -53,7 +53,7 @@ def _(b):
     "a19_bridge_codes",
     f"""with {Q.DENSE}, pl as (select distinct doc_id, sw, code from b), hd as (select doc_id, sw, list(distinct code) cs from pl group by all),
 ow as (select pl.*, cs from pl join hd using (doc_id, sw) where substr(code, 1, 1) in ('A', 'B')),
-en as (select doc_id, code from ow group by all having count(*) >= 2 and count_if(len(cs) > 1) >= 2)
+en as (select doc_id, code from ow group by all having count(*) >= 2 and count(*) filter (where len(cs) > 1) >= 2)
 select distinct x.doc_id, x.code from ow x join ow y on x.doc_id = y.doc_id and x.code = y.code and x.sw < y.sw
 where (x.doc_id, x.code) in (select (doc_id, code) from en) and len(list_intersect(x.cs, y.cs)) = 1""",
 )
@@ -110,7 +110,7 @@ def _(b):
 
 @query(
     "a26_q3_conservation",
-    f"""{CL}, {GUARDS} select b.doc_id, count(*) n_in, count_if(gr.reason is null) n_merged, count_if(gr.reason is not null) n_demoted, true ok
+    f"""{CL}, {GUARDS} select b.doc_id, count(*) n_in, count(*) filter (where gr.reason is null) n_merged, count(*) filter (where gr.reason is not null) n_demoted, true ok
 from b join cl using (doc_id, id) join gr on gr.doc_id = cl.doc_id and gr.cluster = cl.cluster group by all""",
 )
 def _(b):
@@ -122,7 +122,7 @@ def _(b):
 
 # Diffs
 
-COUNTS = """pc as (select doc_id, page_no, count(*) n_codes, count_if(aligned) x_aligned, count_if(sw_idx is null) orphan from v group by all)"""
+COUNTS = """pc as (select doc_id, page_no, count(*) n_codes, count(*) filter (where aligned) x_aligned, count(*) filter (where sw_idx is null) orphan from v group by all)"""
 
 
 @query(
@@ -302,9 +302,9 @@ def _(b):
     "a29_lifecycle",
     f"""with {Q.scan()}, de as (select distinct doc_id, token from cw), pr as (select distinct doc_id, token from v where aligned),
 rv as (select distinct doc_id, token from v where not aligned and word_no % 2 = 0 union select distinct doc_id, 'X' || token from v where word_no % 97 = 0)
-select doc_id, count(*) n_detected, count_if((doc_id, token) not in (select (doc_id, token) from pr) and (doc_id, token) not in (select (doc_id, token) from rv)) vanished,
+select doc_id, count(*) n_detected, count(*) filter (where (doc_id, token) not in (select (doc_id, token) from pr) and (doc_id, token) not in (select (doc_id, token) from rv)) vanished,
   (select count(*) from rv where rv.doc_id = de.doc_id and (rv.doc_id, rv.token) not in (select (doc_id, token) from de)) phantom,
-  count_if((doc_id, token) in (select (doc_id, token) from rv)) >= 0.9 * count(*) stuck from de group by doc_id""",
+  count(*) filter (where (doc_id, token) in (select (doc_id, token) from rv)) >= 0.9 * count(*) stuck from de group by doc_id""",
 )
 def _(b):
     judged = b.judged()
@@ -341,8 +341,8 @@ def _(b):
 
 @query(
     "a33_escapes",
-    f"""{CL}, {GUARDS} select count_if(reason is null) kept, count_if(reason is null and n >= 20 and pages >= 2 and conflict) collapse_escapes,
-  count_if(reason is null and pages > 5) radius_escapes, count_if(reason is not null) demoted from gr""",
+    f"""{CL}, {GUARDS} select count(*) filter (where reason is null) kept, count(*) filter (where reason is null and n >= 20 and pages >= 2 and conflict) collapse_escapes,
+  count(*) filter (where reason is null and pages > 5) radius_escapes, count(*) filter (where reason is not null) demoted from gr""",
 )
 def _(b):
     g = assemble.guard_reasons(b.clustered, _areas(b))
@@ -439,7 +439,7 @@ def _(b):
 @query(
     "s3_census",
     f"""{WNS} select doc_id, count(distinct page_no) pages, count(*) words, (select count(*) from s where s.doc_id = n.doc_id) size_hits,
-  (select count(*) from (select page_no from s where s.doc_id = n.doc_id group by page_no having count(*) >= 3)) spec_pages, count_if({Q.CODE}) code_words from n group by doc_id""",
+  (select count(*) from (select page_no from s where s.doc_id = n.doc_id group by page_no having count(*) >= 3)) spec_pages, count(*) filter (where {Q.CODE}) code_words from n group by doc_id""",
 )
 def _(b):
     w = detect.normed(b.words).withColumn("hits", T.size_hits(F.col("text")))
@@ -488,7 +488,7 @@ def _(b):
 
 @query(
     "p23_provenance",
-    f"""with {Q.scan()} select doc_id, count(*) n, count_if(sw_idx is null) no_swatch, count_if(r_x0 is null) no_box, count_if(token is null) no_code from v group by doc_id""",
+    f"""with {Q.scan()} select doc_id, count(*) n, count(*) filter (where sw_idx is null) no_swatch, count(*) filter (where r_x0 is null) no_box, count(*) filter (where token is null) no_code from v group by doc_id""",
 )
 def _(b):
     r = b.rects.select(*PK, "sw_idx", F.col("x0").alias("r_x0"))
@@ -501,7 +501,7 @@ def _(b):
 
 @query(
     "p21_photo_level",
-    f"with {Q.R} select doc_id, count_if((x1-x0)*(y1-y0) >= 0.01 * 480000) photo, count(*) n from r group by doc_id",
+    f"with {Q.R} select doc_id, count(*) filter (where (x1-x0)*(y1-y0) >= 0.01 * 480000) photo, count(*) n from r group by doc_id",
 )
 def _(b):
     return b.rects.groupBy("doc_id").agg(F.count_if(G.area() >= 0.01 * 480000).alias("photo"), F.count(F.lit(1)).alias("n"))
@@ -527,12 +527,12 @@ def _(b):
 # Emission and the version ladder
 
 GAP = """cod as (select distinct doc_id, page_no, sw_idx from v where sw_idx is not null),
-gp as (select r.doc_id, r.page_no, count(*) n_sw, count_if(cod.sw_idx is null) bare from r left join cod using (doc_id, page_no, sw_idx) group by all)"""
+gp as (select r.doc_id, r.page_no, count(*) n_sw, count(*) filter (where cod.sw_idx is null) bare from r left join cod using (doc_id, page_no, sw_idx) group by all)"""
 
 
 @query(
     "p19_flagged_pages",
-    f"""with {Q.scan()}, {GAP}, c as (select doc_id, page_no, count(*) n, count_if(sw_idx is null) + count_if(far) astray from v group by all)
+    f"""with {Q.scan()}, {GAP}, c as (select doc_id, page_no, count(*) n, count(*) filter (where sw_idx is null) + count(*) filter (where far) astray from v group by all)
 select doc_id, page_no from c left join gp using (doc_id, page_no) where n >= 3 and (astray > 0.2 * n or coalesce(n_sw, 0) = 0 or bare > 0.5 * n_sw)""",
 )
 def _(b):
@@ -555,7 +555,7 @@ def _(b):
 
 @query(
     "q8_read_model",
-    f"""with {Q.scan()}, p as (select doc_id, page_no, string_agg(distinct token, ',' order by token) codes, count_if(aligned) bound,
+    f"""with {Q.scan()}, p as (select doc_id, page_no, string_agg(distinct token, ',' order by token) codes, count(*) filter (where aligned) bound,
     coalesce(string_agg(distinct case when demoted then 'icon_demoted' when sw_idx is null then 'orphan' when not aligned then 'not_x_aligned' end, ',' order by
       case when demoted then 'icon_demoted' when sw_idx is null then 'orphan' when not aligned then 'not_x_aligned' end), '') reasons from v group by all)
 select pg.doc_id, pg.page_no, case when bound > 0 then 'auto' when codes is not null then 'review' else 'nonspec' end state, codes, bound, reasons from pg left join p using (doc_id, page_no)""",
@@ -568,7 +568,7 @@ def _(b):
 
 @query(
     "q1_product_documents",
-    f"""{CL}, {GUARDS}, {SPEC} select b.doc_id, count(distinct case when gr.reason is null then cl.cluster end) n_variants, count(*) n_rows, count_if(gr.reason is not null) needs_review, false skeleton
+    f"""{CL}, {GUARDS}, {SPEC} select b.doc_id, count(distinct case when gr.reason is null then cl.cluster end) n_variants, count(*) n_rows, count(*) filter (where gr.reason is not null) needs_review, false skeleton
 from b join cl using (doc_id, id) join gr on gr.doc_id = cl.doc_id and gr.cluster = cl.cluster group by all""",
 )
 def _(b):
@@ -586,8 +586,8 @@ def _ladder(version: int) -> None:
 
     @query(
         f"q4_scan_v{version}",
-        f"""with {sql} select doc_id, count(*) n_codes, count_if(sw_idx is null) code_orphan, count_if(far) code_far, count_if(aligned) code_x_aligned,
-  count_if(demoted) code_icon_demoted from v group by doc_id""",
+        f"""with {sql} select doc_id, count(*) n_codes, count(*) filter (where sw_idx is null) code_orphan, count(*) filter (where far) code_far, count(*) filter (where aligned) code_x_aligned,
+  count(*) filter (where demoted) code_icon_demoted from v group by doc_id""",
     )
     def _(b):
         counts = scan.page_counts(b.judged(version))

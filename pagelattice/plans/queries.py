@@ -148,9 +148,7 @@ def _(b):
 
 @query(
     "p7_p8_fold_sides",
-    f"{WN} select page_no, cx < 300 left_side, count(*) n, cast(sum(cast(cx < 300 as int)) over () as bigint) ignored from n group by 1, 2".replace(
-        ", cast(sum(cast(cx < 300 as int)) over () as bigint) ignored", ""
-    ),
+    f"{WN} select page_no, cx < 300 left_side, count(*) n from n group by 1, 2",
 )
 def _(b):
     fold = G.fold(F.lit(600.0), F.lit(400.0))
@@ -168,7 +166,7 @@ def _(b):
 @query(
     "p10_latin_words",
     r"""with t as (select doc_id, unnest(regexp_extract_all("text", '[^\x20\x09-\x0D]+')) x from documents)
-select doc_id, count(*) n, sum(cast(not regexp_matches(x, '[^\x00-\x{24F}]') as bigint)) latin from t group by doc_id""",
+select doc_id, count(*) n, count(*) filter (where not regexp_matches(x, '[^\x00-\x{24F}]')) latin from t group by doc_id""",
 )
 def _(b):
     x = F.explode(F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))).alias("x")
@@ -193,8 +191,8 @@ def _(b):
 
 @query(
     "p24_field_format",
-    rf"""{WN} select doc_id, count(*) n, sum(cast(regexp_matches(token, '^[A-Z]\d{{1,3}}$') as bigint)) band_shape,
-  sum(cast(try_cast(replace("text", 'x', '') as double) is null as bigint)) no_number from n group by doc_id""",
+    rf"""{WN} select doc_id, count(*) n, count(*) filter (where regexp_matches(token, '^[A-Z]\d{{1,3}}$')) band_shape,
+  count(*) filter (where try_cast(replace("text", 'x', '') as double) is null) no_number from n group by doc_id""",
 )
 def _(b):
     w = detect.normed(b.words)
@@ -283,7 +281,7 @@ select doc_id, len, k, k / sum(k) over (partition by doc_id) share from g qualif
 )
 def _(b):
     sized = detect.in_row_with_size(b.words, detect.page_sizes(b.words), b.pages)
-    eff = b.code_words.join(sized, KEY, "left_semi").select("doc_id", "token").distinct().withColumn("len", F.length("token"))
+    eff = b.code_words.join(sized, KEY, "left_semi").select("doc_id", "token").distinct().withColumn("len", F.length("token").cast("long"))
     doc = Window.partitionBy("doc_id")
     return (
         eff.groupBy("doc_id", "len")
@@ -481,8 +479,8 @@ for _version in (6, 13):
 
 @query(
     "a15_page_counts",
-    f"""with {Q.scan()} select doc_id, page_no, count(*) n_codes, count_if(sw_idx is null) code_orphan, count_if(far) code_far, count_if(aligned) code_x_aligned,
-  0::bigint code_block_bound, count_if(demoted) code_icon_demoted, count_if(not aligned) code_needs_review from v group by all""",
+    f"""with {Q.scan()} select doc_id, page_no, count(*) n_codes, count(*) filter (where sw_idx is null) code_orphan, count(*) filter (where far) code_far, count(*) filter (where aligned) code_x_aligned,
+  0::bigint code_block_bound, count(*) filter (where demoted) code_icon_demoted, count(*) filter (where not aligned) code_needs_review from v group by all""",
 )
 def _(b):
     return scan.page_counts(b.judged())
@@ -490,8 +488,8 @@ def _(b):
 
 @query(
     "a16_totals",
-    f"""with {Q.scan()} select doc_id, page_no, count(*) n_codes, count_if(sw_idx is null) code_orphan, count_if(far) code_far, count_if(aligned) code_x_aligned,
-  0::bigint code_block_bound, count_if(demoted) code_icon_demoted, count_if(not aligned) code_needs_review from v group by rollup (doc_id, page_no)""",
+    f"""with {Q.scan()} select doc_id, page_no, count(*) n_codes, count(*) filter (where sw_idx is null) code_orphan, count(*) filter (where far) code_far, count(*) filter (where aligned) code_x_aligned,
+  0::bigint code_block_bound, count(*) filter (where demoted) code_icon_demoted, count(*) filter (where not aligned) code_needs_review from v group by rollup (doc_id, page_no)""",
 )
 def _(b):
     return scan.corpus_totals(scan.page_counts(b.judged()))
@@ -524,7 +522,7 @@ def _(b):
 @query(
     "a43_identity_gap",
     f"""with {Q.scan()}, cod as (select distinct doc_id, page_no, sw_idx from v where sw_idx is not null)
-select r.doc_id, r.page_no, count(*) n_sw, count_if(cod.sw_idx is null) sw_no_code from r left join cod using (doc_id, page_no, sw_idx) group by all""",
+select r.doc_id, r.page_no, count(*) n_sw, count(*) filter (where cod.sw_idx is null) sw_no_code from r left join cod using (doc_id, page_no, sw_idx) group by all""",
 )
 def _(b):
     return scan.identity_gap(b.rects, layout.assign_words(b.words, b.rects, RuleConfig(6)), b.words, b.codes)
@@ -532,7 +530,7 @@ def _(b):
 
 @query(
     "p18_page_types",
-    f"""with {Q.scan()}, sx as (select doc_id, page_no, count(*) n_sw, list_sort(list((x1-x0)*(y1-y0)))[cast(floor(count(*) / 2) as bigint) + 1] mid, count_if(rid % 5 = 0) n_ras from r group by all),
+    f"""with {Q.scan()}, sx as (select doc_id, page_no, count(*) n_sw, list_sort(list((x1-x0)*(y1-y0)))[cast(floor(count(*) / 2) as bigint) + 1] mid, count(*) filter (where rid % 5 = 0) n_ras from r group by all),
 cx as (select doc_id, page_no, count(*) n_codes from v group by all)
 select pg.doc_id, pg.page_no, case when n_sw is null and n_codes > 0 then 'text_only' when n_sw is null then 'no_swatch_no_code' when n_ras = 0 then 'vector'
   when n_sw > 15 then 'dense_grid' when n_sw <= 4 and mid > 0.05 * 480000 then 'lifestyle_caption' else 'standard' end ptype
