@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,7 +26,9 @@ END_ID = 2
 SHARD_TOKENS = 1 << 21
 #: Before a space or line feed that stands alone between other characters, the byte-level pattern always splits.
 _APART = re.compile(r"(?<!\s)(?=[ \n](?!\s))")
-_MEMORY = 250_000
+_BLANKS = re.compile(r"\s\s")
+_STOPS = ".,;:!?"
+_MEMORY = 200_000
 
 
 def default_tokenizer() -> str:
@@ -52,30 +55,52 @@ class Encoder:
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
+    @classmethod
+    def of(cls, path: str, made: dict[str, Encoder] = {}) -> Encoder:  # noqa: B006
+        """The process's encoder: what it remembers serves all tasks that the process runs."""
+        if path not in made:
+            made[path] = cls(path)
+        return made[path]
+
     def _encoded(self, pieces: list[str]) -> Iterator[bytes]:
         for at in range(0, len(pieces), 2000):
             for e in self.tokenizer.encode_batch_fast(pieces[at : at + 2000], add_special_tokens=False):
-                yield np.array(e.ids, "<u4").tobytes()
+                yield array("I", e.ids).tobytes()
+
+    def _split(self, text: str) -> tuple[str, list[str]]:
+        """The piece before the first boundary, and the others; a space that begins a piece is left out."""
+        if _BLANKS.search(text):
+            first, *rest = _APART.split(text)
+            return first, [x[1:] if x[0] == " " else x for x in rest]
+        first, *rest = text.replace("\n", " \n").split(" ")
+        return first, rest
 
     def __call__(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers; null counts as empty."""
         if not self.apart:
             return list(self._encoded([t or "" for t in texts]))
-        split = [_APART.split(t) if t else [] for t in texts]
-        need = set().union(*split).difference(self.young)
+        split = [self._split(t or "") for t in texts]
+        heads = list(self._encoded([first for first, _ in split]))
+        need = set().union(*(rest for _, rest in split)).difference(self.young)
         if len(self.young) + len(need) > _MEMORY:
             self.young, self.old = {}, self.young
-            need = set().union(*split)
-        new = []
+            need = set().union(*(rest for _, rest in split))
+        new, ended = [], []
         for piece in need:
             ids = self.old.get(piece)
-            if ids is None:
-                new.append(piece)
-            else:
+            if ids is not None:
                 self.young[piece] = ids
-        self.young.update(zip(new, self._encoded(new), strict=True))
+            elif piece[-1:] in _STOPS and piece[-2:-1].isalpha():
+                ended.append(piece)  # the pattern splits between a letter and a mark
+            else:
+                new.append(piece)
+        new += {x[:-1] for x in ended}.difference(need, self.young)
+        whole = (x if x[:1] == "\n" else " " + x for x in new)
+        self.young.update(zip(new, self._encoded(list(whole)), strict=True))
+        marks = dict(zip(_STOPS, self._encoded(list(_STOPS)), strict=True))
+        self.young.update((x, self.young[x[:-1]] + marks[x[-1]]) for x in ended)
         of = self.young.__getitem__
-        return [b"".join(map(of, pieces)) for pieces in split]
+        return [head + b"".join(map(of, rest)) for head, (_, rest) in zip(heads, split, strict=True)]
 
 
 def encode_shards(docs: DataFrame, tokenizer: str | None = None, end_id: int | None = END_ID, shard_tokens: int = SHARD_TOKENS) -> DataFrame:
@@ -84,7 +109,7 @@ def encode_shards(docs: DataFrame, tokenizer: str | None = None, end_id: int | N
     path = tokenizer or default_tokenizer()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, shard = Encoder(path), TaskContext.get().partitionId() << 24
+        encode, shard = Encoder.of(path), TaskContext.get().partitionId() << 24
         end = b"" if end_id is None else np.array([end_id], "<u4").tobytes()
         ids: list[int | None] = []
         tokens: list[np.ndarray] = []
@@ -121,40 +146,41 @@ def write_tokens(docs: DataFrame, path: str, **parameters) -> None:
     encode_shards(docs, **parameters).write.option("compression", "zstd").option("maxRecordsPerFile", 1).parquet(path)
 
 
-def read_shards(spark: SparkSession, path: str) -> DataFrame:
-    """(shard, n_docs, n_tokens, base, payload): base is the number of tokens in all shards before."""
-    schema = "shard long, n_docs long, n_tokens long, payload binary"
-    shards = spark.read.schema(schema).parquet(path)
-    # one narrow row a shard of some million tokens
+def shard_bases(spark: SparkSession, path: str) -> DataFrame:
+    """(shard, base): the number of tokens in all shards before.  One narrow row a shard of some million tokens."""
     before = Window.partitionBy(F.lit(1)).orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
-    bases = shards.select("shard", F.coalesce(F.sum("n_tokens").over(before), F.lit(0)).alias("base"))
-    return shards.join(bases, "shard").select("shard", "n_docs", "n_tokens", "base", "payload")
+    sizes = spark.read.schema("shard long, n_tokens long").parquet(path)
+    return sizes.select("shard", F.coalesce(F.sum("n_tokens").over(before), F.lit(0)).alias("base"))
 
 
 def read_documents(spark: SparkSession, path: str, with_tokens: bool = False) -> DataFrame:
     """(doc_id, start, n_tokens, ids_crc32[, ids]) of every stored document, read from the shards."""
-    schema = "doc_id long, start long, n_tokens long, ids_crc32 long" + ", ids array<long>" * with_tokens
+    more = ", ids array<long>" * with_tokens
+    schema = f"shard long, doc_id long, start long, n_tokens long, ids_crc32 long{more}"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for base, payload in zip(b.column(0).to_pylist(), b.column(1), strict=True):
+            for number, payload in zip(b.column(0).to_pylist(), b.column(1), strict=True):
                 shard = Shard.from_bytes(payload.as_py())
                 ids = shard.matrix.decode().astype("<u4")
                 cuts = shard.starts.tolist()
                 parts = [ids[x:y] for x, y in zip(cuts, cuts[1:], strict=False)]
                 columns = [
+                    pa.array([number] * len(parts), pa.int64()),
                     pa.array(shard.ids(), pa.int64()),
-                    pa.array(shard.starts[:-1] + base, pa.int64()),
+                    pa.array(shard.starts[:-1], pa.int64()),
                     pa.array(np.diff(shard.starts), pa.int64()),
-                    pa.array([zlib.crc32(p.tobytes()) for p in parts], pa.int64()),
+                    pa.array([zlib.crc32(p) for p in parts], pa.int64()),
                 ]
-                names = ["doc_id", "start", "n_tokens", "ids_crc32"]
+                names = ["shard", "doc_id", "start", "n_tokens", "ids_crc32"]
                 if with_tokens:
                     columns.append(pa.array([p.tolist() for p in parts], pa.list_(pa.int64())))
                     names.append("ids")
                 yield pa.RecordBatch.from_arrays(columns, names)
 
-    return read_shards(spark, path).select("base", "payload").mapInArrow(run, schema)
+    stored = spark.read.schema("shard long, payload binary").parquet(path).mapInArrow(run, schema)
+    columns = ["n_tokens", "ids_crc32", *["ids"] * with_tokens]
+    return stored.join(shard_bases(spark, path), "shard").select("doc_id", (F.col("start") + F.col("base")).alias("start"), *columns)
 
 
 def count_tokens(spark: SparkSession, path: str, tokens: list[int]) -> DataFrame:

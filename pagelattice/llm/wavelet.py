@@ -1,4 +1,4 @@
-"""Wavelet matrix over token ids (Claude, Navarro, Ordonez 2015), vectorised with numpy.
+"""Wavelet matrix over token ids, vectorised with numpy.
 
 One bit-plane per bit of the largest id, top bit first; after each plane the sequence is
 stably parted into zeros and ones.  Rank support is a running count every 512 bits, select
