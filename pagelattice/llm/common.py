@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import gc
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 
 from pagelattice.operators.components import checkpoint, ensure_checkpoint_dir
 
-__all__ = ["checkpoint", "crc_mod", "materialize", "read_table", "shared_path", "word_count"]
+__all__ = ["checkpoint", "crc_mod", "drop_table", "free_shuffles", "materialize", "read_table", "shared_path", "word_count"]
 
 #: A word of the white-space split: anything but ASCII space and \t \n \v \f \r.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -51,3 +52,16 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     df.write.parquet(path)
     atexit.register(_delete, spark, path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def drop_table(df: DataFrame) -> None:
+    """Remove the folder of a table that materialize wrote and nothing will read again."""
+    for file in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        _delete(df.sparkSession, file)
+
+
+def free_shuffles(spark: SparkSession) -> None:
+    """Let Spark remove the shuffle files of plans that nothing refers to any more: they go when the
+    driver collects its garbage, which in a job of many steps may be long after their last use."""
+    gc.collect()
+    spark._jvm.System.gc()

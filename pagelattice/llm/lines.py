@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import WORD, checkpoint, materialize, read_table
+from .common import WORD, checkpoint, drop_table, free_shuffles, materialize, read_table
 
 SIMILARITY = 0.8
 FREQUENCY_BUCKETS = 1 << 14
@@ -66,11 +66,10 @@ def _prefix_length(n: Column, t: float) -> Column:
 def _ordered(line: Column, rank: list[int]) -> Column:
     """A line's distinct words as longs that sort from rare to common: the bucket's rank above the word's hash."""
     table = F.split(F.lit(",".join(map(str, rank))), ",").cast("array<int>")
-    low = (1 << _HASH_BITS) - 1
     coded = F.transform(
         _hashes(line),
         lambda h: F.shiftleft(F.get(table, F.pmod(h, F.lit(len(rank))).cast("int")).cast("long"), _HASH_BITS)
-        + F.shiftrightunsigned(h, 64 - _HASH_BITS).bitwiseAND(F.lit(low)),
+        + F.shiftrightunsigned(h, 64 - _HASH_BITS),
     )
     return F.sort_array(F.array_distinct(coded))
 
@@ -81,9 +80,10 @@ def _jaccard_at_least(a: Column, b: Column, t: float) -> Column:
 
 
 def _verified(pairs: DataFrame, words: DataFrame, t: float) -> DataFrame:
-    """(b) of the pairs (a, b) whose word sets are similar enough; words is (th, words) of all lines in pairs."""
-    left, right = (words.select(F.col("th").alias(k), F.col("words").alias(f"w{k}")) for k in "ab")
-    return pairs.join(left, "a").join(right, "b").where(_jaccard_at_least(F.col("wa"), F.col("wb"), t)).select("b").distinct()
+    """(o) of the later sets of the pairs (a, b) whose words are similar enough; words is (o, words) of all sets in pairs."""
+    left, right = (words.select(F.col("o").alias(k), F.col("words").alias(f"w{k}")) for k in "ab")
+    close = pairs.join(left, "a").join(right, "b").where(_jaccard_at_least(F.col("wa"), F.col("wb"), t))
+    return close.select(F.col("b").alias("o")).distinct()
 
 
 def _may_match(t: float) -> Column:
@@ -96,7 +96,7 @@ def _may_match(t: float) -> Column:
 
 
 def similar_lines(docs: DataFrame, t: float = SIMILARITY) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """The lines (doc_id, row, line_no, th); the word sets (th, first); and the th that have an earlier similar set.
+    """The lines (doc_id, row, line_no, th); the word sets (th, o, first); and the o of those with an earlier similar set.
 
     Sets are told apart by 64 bits of hash."""
     rank, lines = word_frequencies(docs), _numbered_lines(docs)
@@ -107,60 +107,61 @@ def similar_lines(docs: DataFrame, t: float = SIMILARITY) -> tuple[DataFrame, Da
         ),
         "lines",
     )
-    sets = materialize(
+    ordered = (
         keyed.groupBy("th")
         .agg(F.min(F.struct("doc_id", "line_no", "row")).alias("first"), F.min(F.struct("n", "prefix")).alias("p"))
-        .select("th", "first", "p.*"),
-        "line-sets",
+        .select("th", "first", "p.*")
+        .repartitionByRange("first")
+        .sortWithinPartitions("first")
     )
-    index = sets.select("first", "th", "n", F.posexplode("prefix").alias("p", "word"))
-    # round 1: each word's earliest line against the others
-    heads = index.groupBy("word").agg(F.min(F.struct("first", "th", "n", "p")).alias("head"), F.count(F.lit(1)).alias("k")).where("k > 1")
-    stars = (
-        index.select("word", F.col("th").alias("b"), F.col("n").alias("nb"), F.col("p").alias("pb"))
-        .join(heads.select("word", F.col("head.th").alias("a"), F.col("head.n").alias("na"), F.col("head.p").alias("pa")), "word")
-        .where(F.col("a") != F.col("b"))
-        .where(_may_match(t))
-        .select("a", "b")
-        .distinct()
-    )
-    stars = materialize(stars, "line-stars")
-    ends = stars.select(F.explode(F.array("a", "b")).alias("th")).distinct()
-    texts = materialize(_words_of(lines, sets.join(ends, "th", "left_semi"), rank), "line-words")
-    settled = checkpoint(_verified(stars, texts, t).withColumnRenamed("b", "th"))
-    # round 2: lines without a witness against all earlier lines of their words' groups
-    shared = index.join(heads.select("word"), "word", "left_semi")
-    open_ = shared.join(settled, "th", "left_anti")
-    pairs = (
-        open_.select("word", F.col("first").alias("fb"), F.col("th").alias("b"), F.col("n").alias("nb"), F.col("p").alias("pb"))
-        .join(shared.select("word", F.col("first").alias("fa"), F.col("th").alias("a"), F.col("n").alias("na"), F.col("p").alias("pa")), "word")
-        .where(F.col("fa") < F.col("fb"))
-        .where(_may_match(t))
-        .select("a", "b")
-        .distinct()
-        .join(stars, ["a", "b"], "left_anti")
-    )
-    pairs = materialize(pairs, "line-pairs")
-    more = pairs.select(F.explode(F.array("a", "b")).alias("th")).distinct().join(texts.select("th"), "th", "left_anti")
-    all_texts = texts.unionByName(_words_of(lines, sets.join(more, "th", "left_semi"), rank))
-    gone = settled.unionByName(_verified(pairs, all_texts, t).withColumnRenamed("b", "th")).distinct()
-    return keyed.select("doc_id", "row", "line_no", "th"), sets.select("th", "first"), checkpoint(gone)
-
-
-def _words_of(lines: DataFrame, wanted: DataFrame, rank: list[int]) -> DataFrame:
-    """(th, words) of the wanted sets, read again from the first line of each."""
-    at = wanted.select("th", F.col("first.doc_id").alias("doc_id"), F.col("first.row").alias("row"), F.col("first.line_no").alias("line_no"))
-    return (
-        lines.join(at, ["doc_id", "row", "line_no"])
-        .select("th", _ordered(F.col("line"), rank).alias("words"))
-        .dropDuplicates(["th"])
+    # o numbers the sets in the order of their first lines, and names them from here on
+    sets = materialize(ordered.withColumn("o", F.monotonically_increasing_id()), "line-sets")
+    del ordered
+    spark = docs.sparkSession
+    index = sets.select("o", "n", F.posexplode("prefix").alias("p", "word"))
+    met = index.groupBy("word").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("word")
+    # the entries whose word is in the prefix of another set, too: all that can meet
+    shared = materialize(index.join(met, "word", "left_semi"), "line-index")
+    del index, met
+    free_shuffles(spark)
+    # round 1: each word's earliest set against the others
+    heads = shared.groupBy("word").agg(F.min(F.struct("o", "n", "p")).alias("h"))
+    a = heads.select("word", F.col("h.o").alias("a"), F.col("h.n").alias("na"), F.col("h.p").alias("pa"))
+    later = shared.select("word", F.col("o").alias("b"), F.col("n").alias("nb"), F.col("p").alias("pb"))
+    stars = materialize(later.join(a, "word").where("a < b").where(_may_match(t)).select("a", "b").distinct(), "line-stars")
+    del heads, a
+    free_shuffles(spark)
+    texts = _words_of(lines, sets, stars, rank)
+    settled = checkpoint(_verified(stars, texts, t))
+    free_shuffles(spark)
+    # round 2: sets without a witness against all earlier sets of their words' groups
+    open_ = later.join(settled, F.col("b") == F.col("o"), "left_anti")
+    earlier = shared.select("word", F.col("o").alias("a"), F.col("n").alias("na"), F.col("p").alias("pa"))
+    pairs = open_.join(earlier, "word").where("a < b").where(_may_match(t)).select("a", "b").distinct()
+    pairs = materialize(pairs.join(stars, ["a", "b"], "left_anti"), "line-pairs")
+    del open_, earlier, later
+    drop_table(texts)
+    drop_table(shared)
+    free_shuffles(spark)
+    gone = checkpoint(settled.unionByName(_verified(pairs, _words_of(lines, sets, pairs, rank), t)).distinct())
+    free_shuffles(spark)
+    return keyed.select("doc_id", "row", "line_no", "th"), sets.select("th", "o", "first"), gone
+
+
+def _words_of(lines: DataFrame, sets: DataFrame, pairs: DataFrame, rank: list[int]) -> DataFrame:
+    """(o, words) of the sets in pairs, read again from the first line of each."""
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("o")).distinct()
+    at = sets.join(ends, "o", "left_semi").select(
+        "o", F.col("first.doc_id").alias("doc_id"), F.col("first.row").alias("row"), F.col("first.line_no").alias("line_no")
     )
+    found = lines.join(at, ["doc_id", "row", "line_no"]).select("o", _ordered(F.col("line"), rank).alias("words"))
+    return materialize(found.dropDuplicates(["o"]), "line-words")
 
 
 def _verdicts(docs: DataFrame, t: float) -> DataFrame:
     """(doc_id, row, n_lines, removed): lines with a word, and the numbers (from 0) of those that go."""
     lines, sets, gone = similar_lines(docs, t)
-    judged = lines.join(sets.join(gone.withColumn("gone", F.lit(True)), "th", "left"), "th")
+    judged = lines.join(sets.join(gone.withColumn("gone", F.lit(True)), "o", "left"), "th")
     out = F.coalesce("gone", F.lit(False)) | (F.struct("doc_id", "line_no", "row") != F.col("first"))
     return (
         judged.select("doc_id", "row", "line_no", out.alias("out"))
