@@ -47,8 +47,8 @@ def words(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def rects(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(doc_id, page_no, sw_idx, rid, x0, y0, x1, y1): one rectangle an order, numbered by y, x, id within its page."""
-    docs = table(spark, sf_dir, "supplier").agg(F.count(F.lit(1)).alias("n_docs"))
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey").join(F.broadcast(docs))  # one row
+    n_docs = table(spark, sf_dir, "supplier").agg(F.count(F.lit(1))).scalar()
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey").withColumn("n_docs", n_docs)
     key = F.col("o_orderkey")
     x0, y0 = (key * 71) % 520, (key * 29) % 700
     placed = orders.select(
