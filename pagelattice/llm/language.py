@@ -25,7 +25,7 @@ LETTERS = re.compile(r"[^\W\d_]+")
 #: Expected counts are summed as whole numbers of this unit, so that the order of addition cannot matter.
 _UNIT = 1 << 20
 _GROUP = 2048
-_CACHE = 400_000
+_CACHE = 250_000
 
 
 def default_vocabulary() -> str:

@@ -14,14 +14,16 @@ compared with the others.  Lines with equal word sets collapse before anything e
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import WORD, checkpoint, drop_table, free_shuffles, materialize, read_table
 
 SIMILARITY = 0.8
-FREQUENCY_BUCKETS = 1 << 14
-_HASH_BITS = 44
+FREQUENCY_BUCKETS = 1 << 17
+_HASH_BITS = 56
 
 
 def _hashes(line: Column) -> Column:
@@ -43,19 +45,16 @@ def _id(doc_id: Column) -> Column:
 
 
 def word_frequencies(docs: DataFrame, buckets: int = FREQUENCY_BUCKETS) -> list[int]:
-    """Rank of each hash bucket of words by its count over all texts, rare first."""
+    """Class (up to 127) of each hash bucket of words by its count over all texts, four classes a doubling, rare first."""
     counts = (
         docs.select(F.explode(F.regexp_extract_all(F.lower(F.col("text").cast("string")), F.lit(WORD), F.lit(0))).alias("w"))
         .groupBy(F.pmod(F.xxhash64("w"), F.lit(buckets)).cast("int").alias("b"))
         .count()
         .collect()  # at most `buckets` rows
     )
-    n = [0] * buckets
-    for r in counts:
-        n[r["b"]] = r["count"]
     rank = [0] * buckets
-    for k, b in enumerate(sorted(range(buckets), key=lambda b: (n[b], b))):
-        rank[b] = k
+    for r in counts:
+        rank[r["b"]] = min(127, int(4 * math.log2(1 + r["count"])))
     return rank
 
 
@@ -64,7 +63,7 @@ def _prefix_length(n: Column, t: float) -> Column:
 
 
 def _ordered(line: Column, rank: list[int]) -> Column:
-    """A line's distinct words as longs that sort from rare to common: the bucket's rank above the word's hash."""
+    """A line's distinct words as longs that sort from rare to common: the bucket's class above the word's hash."""
     table = F.split(F.lit(",".join(map(str, rank))), ",").cast("array<int>")
     coded = F.transform(
         _hashes(line),
