@@ -7,9 +7,11 @@ Prefix entries meet on the word; lengths and positions rule pairs out; the rest
 verified on the words themselves.
 
 A line goes if an earlier line (by doc_id, then line number) is similar enough, whether or
-not that one stays.  So a line needs one witness, not all partners: each word's group is
-first compared with its earliest line alone, and only lines left without a witness are
-compared with the others.  Lines with equal word sets collapse before anything else.
+not that one stays.  So a line needs one witness, not all partners: where a word is in many
+prefixes, its lines are first compared with the earliest of them alone, and only lines left
+without a witness are compared with the others.  Lines with equal word sets collapse before
+anything else.  Entries carry 128 bits, one set by each word: as two sets differ in at least
+as many words as in bits, most pairs that meet by chance go before they are emitted.
 """
 
 from __future__ import annotations
@@ -19,15 +21,24 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import WORD, checkpoint, drop_table, free_shuffles, materialize, read_table
+from .common import WORD, checkpoint, free_shuffles, materialize, read_table
 
 SIMILARITY = 0.8
 FREQUENCY_BUCKETS = 1 << 17
 _HASH_BITS = 56
+#: A word in more prefixes than this has its lines compared with the earliest of them first.
+HOT = 100
+
+
+def _words(line: Column) -> Column:
+    """The lower-cased words of a line; most lines have no white space but single blanks, and need no pattern."""
+    odd = F.contains(line, F.lit("\t")) | F.contains(line, F.lit("\r")) | F.contains(line, F.lit("\x0b")) | F.contains(line, F.lit("\x0c"))
+    by_pattern = F.regexp_extract_all(F.lower(line), F.lit(WORD), F.lit(0))
+    return F.when(odd, by_pattern).otherwise(F.array_remove(F.split(F.lower(line), " "), ""))
 
 
 def _hashes(line: Column) -> Column:
-    return F.transform(F.regexp_extract_all(F.lower(line), F.lit(WORD), F.lit(0)), lambda w: F.xxhash64(w))
+    return F.transform(_words(line), lambda w: F.xxhash64(w))
 
 
 def _numbered_lines(docs: DataFrame) -> DataFrame:
@@ -47,7 +58,7 @@ def _id(doc_id: Column) -> Column:
 def word_frequencies(docs: DataFrame, buckets: int = FREQUENCY_BUCKETS) -> list[int]:
     """Class (up to 127) of each hash bucket of words by its count over all texts, four classes a doubling, rare first."""
     counts = (
-        docs.select(F.explode(F.regexp_extract_all(F.lower(F.col("text").cast("string")), F.lit(WORD), F.lit(0))).alias("w"))
+        docs.select(F.explode(_words(F.replace(F.col("text").cast("string"), F.lit("\n"), F.lit(" ")))).alias("w"))
         .groupBy(F.pmod(F.xxhash64("w"), F.lit(buckets)).cast("int").alias("b"))
         .count()
         .collect()  # at most `buckets` rows
@@ -78,6 +89,12 @@ def _jaccard_at_least(a: Column, b: Column, t: float) -> Column:
     return both >= F.lit(t) * (F.size(a) + F.size(b) - both) - F.lit(1e-9)
 
 
+def _bits(words: Column, half: int) -> Column:
+    """Half of a 128-bit map of the words: bit h mod 64 of the half that bit 6 of h names."""
+    own = F.filter(words, lambda h: h.bitwiseAND(F.lit(64)) == half * 64)
+    return F.aggregate(own, F.lit(0).cast("long"), lambda s, h: s.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), h.bitwiseAND(F.lit(63)).cast("int"))))
+
+
 def _verified(pairs: DataFrame, words: DataFrame, t: float) -> DataFrame:
     """(o) of the later sets of the pairs (a, b) whose words are similar enough; words is (o, words) of all sets in pairs."""
     left, right = (words.select(F.col("o").alias(k), F.col("words").alias(f"w{k}")) for k in "ab")
@@ -86,61 +103,69 @@ def _verified(pairs: DataFrame, words: DataFrame, t: float) -> DataFrame:
 
 
 def _may_match(t: float) -> Column:
-    """Length filter, and positional filter: the words left after the shared one can still reach the overlap."""
+    """Length filter; positional filter (the words left after the shared one can still reach the overlap);
+    and the bits in which the sets differ are no more than the words in which they may."""
     small, large = F.least("na", "nb"), F.greatest("na", "nb")
     needed = F.ceil(F.lit(t / (1 + t)) * (F.col("na") + F.col("nb")) - F.lit(1e-9))
     rest = 1 + F.least(F.col("na") - F.col("pa") - 1, F.col("nb") - F.col("pb") - 1)
     seen = F.least("pa", "pb")
-    return (small >= F.lit(t) * large - F.lit(1e-9)) & (rest + seen >= needed)
+    differ = sum(F.bit_count(F.col(f"{h}a").bitwiseXOR(F.col(f"{h}b"))) for h in ("x", "y"))
+    return (small >= F.lit(t) * large - F.lit(1e-9)) & (rest + seen >= needed) & (differ <= F.col("na") + F.col("nb") - 2 * needed)
+
+
+def _entries(sets: DataFrame, side: str) -> DataFrame:
+    """The prefix entries of the sets, named for one side of a pair: (word, side, n, p, x, y)."""
+    index = sets.select("o", "n", "x", "y", F.posexplode("prefix").alias("p", "word"))
+    return index.select("word", F.col("o").alias(side), *(F.col(c).alias(f"{c}{side}") for c in ("n", "p", "x", "y")))
 
 
-def similar_lines(docs: DataFrame, t: float = SIMILARITY) -> tuple[DataFrame, DataFrame, DataFrame]:
+def similar_lines(docs: DataFrame, t: float = SIMILARITY, hot: int = HOT) -> tuple[DataFrame, DataFrame, DataFrame]:
     """The lines (doc_id, row, line_no, th); the word sets (th, o, first); and the o of those with an earlier similar set.
 
-    Sets are told apart by 64 bits of hash."""
-    rank, lines = word_frequencies(docs), _numbered_lines(docs)
+    Sets are told apart by 64 bits of hash.  `hot` decides on the order of comparisons, not on the result."""
+    rank, lines, spark = word_frequencies(docs), _numbered_lines(docs), docs.sparkSession
     n = F.size("words")
     keyed = materialize(
         lines.select("doc_id", "row", "line_no", _ordered(F.col("line"), rank).alias("words")).select(
-            "doc_id", "row", "line_no", F.xxhash64("words").alias("th"), n.alias("n"), F.slice("words", F.lit(1), _prefix_length(n, t)).alias("prefix")
+            "doc_id",
+            "row",
+            "line_no",
+            F.xxhash64("words").alias("th"),
+            F.struct(
+                n.alias("n"),
+                _bits(F.col("words"), 0).alias("x"),
+                _bits(F.col("words"), 1).alias("y"),
+                F.slice("words", F.lit(1), _prefix_length(n, t)).alias("prefix"),
+            ).alias("set"),
         ),
         "lines",
     )
     ordered = (
         keyed.groupBy("th")
-        .agg(F.min(F.struct("doc_id", "line_no", "row")).alias("first"), F.min(F.struct("n", "prefix")).alias("p"))
-        .select("th", "first", "p.*")
+        .agg(F.min(F.struct("doc_id", "line_no", "row")).alias("first"), F.first("set").alias("set"))
+        .select("th", "first", "set.*")
         .repartitionByRange("first")
         .sortWithinPartitions("first")
     )
     # o numbers the sets in the order of their first lines, and names them from here on
     sets = materialize(ordered.withColumn("o", F.monotonically_increasing_id()), "line-sets")
     del ordered
-    spark = docs.sparkSession
-    index = sets.select("o", "n", F.posexplode("prefix").alias("p", "word"))
-    met = index.groupBy("word").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("word")
-    # the entries whose word is in the prefix of another set, too: all that can meet
-    shared = materialize(index.join(met, "word", "left_semi"), "line-index")
-    del index, met
     free_shuffles(spark)
-    # round 1: each word's earliest set against the others
-    heads = shared.groupBy("word").agg(F.min(F.struct("o", "n", "p")).alias("h"))
-    a = heads.select("word", F.col("h.o").alias("a"), F.col("h.n").alias("na"), F.col("h.p").alias("pa"))
-    later = shared.select("word", F.col("o").alias("b"), F.col("n").alias("nb"), F.col("p").alias("pb"))
-    stars = materialize(later.join(a, "word").where("a < b").where(_may_match(t)).select("a", "b").distinct(), "line-stars")
-    del heads, a
+    # round 1: the sets of each word in many prefixes against the earliest of them
+    b = _entries(sets, "b")
+    heads = b.groupBy("word").agg(F.count(F.lit(1)).alias("k"), F.min("b").alias("a")).where(F.col("k") > hot).select("word", "a")
+    heads = materialize(heads, "line-heads")  # a table, so that its size is known and the joins with it move little where it is small
+    star = b.join(heads, "word").where("a < b").join(_entries(sets, "a").join(heads, ["word", "a"]), ["word", "a"])
+    stars = materialize(star.where(_may_match(t)).select("a", "b").distinct(), "line-stars")
+    del star
     free_shuffles(spark)
-    texts = _words_of(lines, sets, stars, rank)
-    settled = checkpoint(_verified(stars, texts, t))
+    settled = materialize(_verified(stars, _words_of(lines, sets, stars, rank), t), "line-settled")
     free_shuffles(spark)
-    # round 2: sets without a witness against all earlier sets of their words' groups
-    open_ = later.join(settled, F.col("b") == F.col("o"), "left_anti")
-    earlier = shared.select("word", F.col("o").alias("a"), F.col("n").alias("na"), F.col("p").alias("pa"))
-    pairs = open_.join(earlier, "word").where("a < b").where(_may_match(t)).select("a", "b").distinct()
+    # round 2: sets without a witness against all earlier sets that share a word of the prefix
+    open_ = _entries(sets.join(settled, "o", "left_anti"), "b")
+    pairs = open_.join(_entries(sets, "a"), "word").where("a < b").where(_may_match(t)).select("a", "b").distinct()
     pairs = materialize(pairs.join(stars, ["a", "b"], "left_anti"), "line-pairs")
-    del open_, earlier, later
-    drop_table(texts)
-    drop_table(shared)
+    del open_, b
     free_shuffles(spark)
     gone = checkpoint(settled.unionByName(_verified(pairs, _words_of(lines, sets, pairs, rank), t)).distinct())
     free_shuffles(spark)
@@ -153,7 +178,7 @@ def _words_of(lines: DataFrame, sets: DataFrame, pairs: DataFrame, rank: list[in
     at = sets.join(ends, "o", "left_semi").select(
         "o", F.col("first.doc_id").alias("doc_id"), F.col("first.row").alias("row"), F.col("first.line_no").alias("line_no")
     )
-    found = lines.join(at, ["doc_id", "row", "line_no"]).select("o", _ordered(F.col("line"), rank).alias("words"))
+    found = lines.join(materialize(at, "line-ends"), ["doc_id", "row", "line_no"]).select("o", _ordered(F.col("line"), rank).alias("words"))
     return materialize(found.dropDuplicates(["o"]), "line-words")
 
 
@@ -164,9 +189,9 @@ def _verdicts(docs: DataFrame, t: float) -> DataFrame:
     out = F.coalesce("gone", F.lit(False)) | (F.struct("doc_id", "line_no", "row") != F.col("first"))
     return (
         judged.select("doc_id", "row", "line_no", out.alias("out"))
-        .distinct()
         .groupBy("doc_id", "row")
-        .agg(F.count(F.lit(1)).alias("n_lines"), F.sort_array(F.collect_list(F.when(F.col("out"), F.col("line_no")))).alias("removed"))
+        .agg(F.collect_set("line_no").alias("all"), F.sort_array(F.collect_set(F.when(F.col("out"), F.col("line_no")))).alias("removed"))
+        .select("doc_id", "row", F.size("all").cast("long").alias("n_lines"), "removed")
     )
 
 
@@ -177,7 +202,7 @@ def _with_verdicts(docs: DataFrame, t: float, *columns: Column) -> DataFrame:
     return keyed.join(found, ["k_", "r_"], "left").select(
         "doc_id",
         *(c for c in keyed.columns if c not in ("doc_id", "k_", "r_")),
-        F.coalesce("n_lines", F.lit(0)).alias("n_lines"),
+        F.coalesce("n_lines", F.lit(0).cast("long")).alias("n_lines"),
         F.coalesce("removed", none).alias("removed"),
     )
 

@@ -57,3 +57,17 @@ def test_odd_rows(odd):
     out = {r["doc_id"]: r["text"] for r in lines.remove_lines(odd).collect()}
     assert out[1] is None and out[5] == "" and out[4] == "one"
     assert lines.mark_lines(odd.where(F.lit(False))).count() == 0
+
+
+def test_comparing_with_the_earliest_first_changes_nothing(spark):
+    rng = np.random.default_rng(5)
+    lined = []
+    for i in range(80):
+        words = [f"w{x}" for x in rng.choice(14, int(rng.integers(8, 13)), replace=False)]
+        lined.append((i, "\t".join(words) if i % 9 == 0 else "  ".join(words) if i % 7 == 0 else " ".join(words)))
+    rows = spark.createDataFrame(lined, "doc_id long, text string")
+    want = {i for i, (_, gone) in brute(dict(lined)).items() if gone}
+    for hot in (1, 1 << 40):
+        _, sets, gone = lines.similar_lines(rows, hot=hot)
+        kept = {r["doc_id"] for r in sets.join(gone, "o", "left_anti").select("first.doc_id").collect()}
+        assert set(range(80)) - kept == want and 5 < len(want) < 75, hot
