@@ -27,7 +27,7 @@ SIMILARITY = 0.8
 FREQUENCY_BUCKETS = 1 << 17
 _HASH_BITS = 56
 #: A word in more prefixes than this has its lines compared with the earliest of them first.
-HOT = 100
+HOT = 1000
 
 
 def _words(line: Column) -> Column:
@@ -65,10 +65,14 @@ def word_frequencies(docs: DataFrame, buckets: int = FREQUENCY_BUCKETS) -> list[
     )
     rank = [0] * buckets
     for r in counts:
-        rank[r["b"]] = min(127, int(4 * math.log2(1 + r["count"])))
+        rank[r["b"]] = _class(r["count"])
     return rank
 
 
+def _class(count: int) -> int:
+    return min(127, int(4 * math.log2(1 + count)))
+
+
 def _prefix_length(n: Column, t: float) -> Column:
     return n - F.ceil(n * F.lit(t) - F.lit(1e-9)).cast("int") + 1
 
@@ -152,20 +156,26 @@ def similar_lines(docs: DataFrame, t: float = SIMILARITY, hot: int = HOT) -> tup
     del ordered
     free_shuffles(spark)
     # round 1: the sets of each word in many prefixes against the earliest of them
-    b = _entries(sets, "b")
-    heads = b.groupBy("word").agg(F.count(F.lit(1)).alias("k"), F.min("b").alias("a")).where(F.col("k") > hot).select("word", "a")
-    heads = materialize(heads, "line-heads")  # a table, so that its size is known and the joins with it move little where it is small
-    star = b.join(heads, "word").where("a < b").join(_entries(sets, "a").join(heads, ["word", "a"]), ["word", "a"])
+    least = _class(hot) << _HASH_BITS  # no word of a lower class is in more than `hot` prefixes
+    b = _entries(sets, "b").where(F.col("word") >= least)
+    heads = b.groupBy("word").agg(F.count(F.lit(1)).alias("k"), F.min(F.struct("b", "nb", "pb", "xb", "yb")).alias("h")).where(F.col("k") > hot)
+    # a table, so that its size is known and the join moves little where it is small
+    heads = materialize(heads.select("word", *(F.col(f"h.{c}b").alias(f"{c}a") for c in ("n", "p", "x", "y")), F.col("h.b").alias("a")), "line-heads")
+    star = b.join(heads, "word").where("a < b")
     stars = materialize(star.where(_may_match(t)).select("a", "b").distinct(), "line-stars")
-    del star
+    del star, b, heads
     free_shuffles(spark)
     settled = materialize(_verified(stars, _words_of(lines, sets, stars, rank), t), "line-settled")
     free_shuffles(spark)
     # round 2: sets without a witness against all earlier sets that share a word of the prefix
-    open_ = _entries(sets.join(settled, "o", "left_anti"), "b")
-    pairs = open_.join(_entries(sets, "a"), "word").where("a < b").where(_may_match(t)).select("a", "b").distinct()
+    # (both sides are the same entries, so they are shuffled once; o is doubled, odd where the set has a witness)
+    doubled = 2 * F.col("o") + F.coalesce("has", F.lit(0))
+    marked = sets.join(settled.withColumn("has", F.lit(1)), "o", "left").withColumn("o", doubled)
+    a, b = F.shiftright("a", 1), F.shiftright("b", 1)
+    met = _entries(marked, "b").join(_entries(marked, "a"), "word").where("a is not null and b is not null").where(a < F.when(F.col("b") % 2 == 0, b)).where(_may_match(t))
+    pairs = met.select(a.alias("a"), b.alias("b")).distinct()
     pairs = materialize(pairs.join(stars, ["a", "b"], "left_anti"), "line-pairs")
-    del open_, b
+    del marked, met
     free_shuffles(spark)
     gone = checkpoint(settled.unionByName(_verified(pairs, _words_of(lines, sets, pairs, rank), t)).distinct())
     free_shuffles(spark)
@@ -179,7 +189,10 @@ def _words_of(lines: DataFrame, sets: DataFrame, pairs: DataFrame, rank: list[in
         "o", F.col("first.doc_id").alias("doc_id"), F.col("first.row").alias("row"), F.col("first.line_no").alias("line_no")
     )
     found = lines.join(materialize(at, "line-ends"), ["doc_id", "row", "line_no"]).select("o", _ordered(F.col("line"), rank).alias("words"))
-    return materialize(found.dropDuplicates(["o"]), "line-words")
+    words = materialize(found.dropDuplicates(["o"]), "line-words")
+    del found
+    free_shuffles(lines.sparkSession)
+    return words
 
 
 def _verdicts(docs: DataFrame, t: float) -> DataFrame:
