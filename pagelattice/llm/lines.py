@@ -10,7 +10,7 @@ A line goes if an earlier line (by doc_id, then line number) is similar enough,
 not that one stays.  So a line needs one witness, not all partners: where a word is in many
 prefixes, its lines are first compared with the earliest of them alone, and only lines left
 without a witness are compared with the others.  Lines with equal word sets collapse before
-anything else.  Entries carry 128 bits, one set by each word: as two sets differ in at least
+anything else.  Entries carry 192 bits, one set by each word: as two sets differ in at least
 as many words as in bits, most pairs that meet by chance go before they are emitted.
 """
 
@@ -28,6 +28,8 @@ FREQUENCY_BUCKETS = 1 << 17
 _HASH_BITS = 56
 #: A word in more prefixes than this has its lines compared with the earliest of them first.
 HOT = 1000
+#: 64-bit parts of a set's map of words; a map says little about sets of over some 100 words a part.
+_PARTS = ("x", "y", "z")
 
 
 def _words(line: Column) -> Column:
@@ -93,9 +95,9 @@ def _jaccard_at_least(a: Column, b: Column, t: float) -> Column:
     return both >= F.lit(t) * (F.size(a) + F.size(b) - both) - F.lit(1e-9)
 
 
-def _bits(words: Column, half: int) -> Column:
-    """Half of a 128-bit map of the words: bit h mod 64 of the half that bit 6 of h names."""
-    own = F.filter(words, lambda h: h.bitwiseAND(F.lit(64)) == half * 64)
+def _bits(words: Column, part: str) -> Column:
+    """One of the 64-bit parts of a map of the words: the bit that the lowest six bits of h name, in the part that those above name."""
+    own = F.filter(words, lambda h: F.shiftrightunsigned(h, 6) % len(_PARTS) == _PARTS.index(part))
     return F.aggregate(own, F.lit(0).cast("long"), lambda s, h: s.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), h.bitwiseAND(F.lit(63)).cast("int"))))
 
 
@@ -113,14 +115,14 @@ def _may_match(t: float) -> Column:
     needed = F.ceil(F.lit(t / (1 + t)) * (F.col("na") + F.col("nb")) - F.lit(1e-9))
     rest = 1 + F.least(F.col("na") - F.col("pa") - 1, F.col("nb") - F.col("pb") - 1)
     seen = F.least("pa", "pb")
-    differ = sum(F.bit_count(F.col(f"{h}a").bitwiseXOR(F.col(f"{h}b"))) for h in ("x", "y"))
+    differ = sum(F.bit_count(F.col(f"{h}a").bitwiseXOR(F.col(f"{h}b"))) for h in _PARTS)
     return (small >= F.lit(t) * large - F.lit(1e-9)) & (rest + seen >= needed) & (differ <= F.col("na") + F.col("nb") - 2 * needed)
 
 
 def _entries(sets: DataFrame, side: str) -> DataFrame:
     """The prefix entries of the sets, named for one side of a pair: (word, side, n, p, x, y)."""
-    index = sets.select("o", "n", "x", "y", F.posexplode("prefix").alias("p", "word"))
-    return index.select("word", F.col("o").alias(side), *(F.col(c).alias(f"{c}{side}") for c in ("n", "p", "x", "y")))
+    index = sets.select("o", "n", *_PARTS, F.posexplode("prefix").alias("p", "word"))
+    return index.select("word", F.col("o").alias(side), *(F.col(c).alias(f"{c}{side}") for c in ("n", "p", *_PARTS)))
 
 
 def similar_lines(docs: DataFrame, t: float = SIMILARITY, hot: int = HOT) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -137,8 +139,7 @@ def similar_lines(docs: DataFrame, t: float = SIMILARITY, hot: int = HOT) -> tup
             F.xxhash64("words").alias("th"),
             F.struct(
                 n.alias("n"),
-                _bits(F.col("words"), 0).alias("x"),
-                _bits(F.col("words"), 1).alias("y"),
+                *(_bits(F.col("words"), part).alias(part) for part in _PARTS),
                 F.slice("words", F.lit(1), _prefix_length(n, t)).alias("prefix"),
             ).alias("set"),
         ),
@@ -158,9 +159,9 @@ def similar_lines(docs: DataFrame, t: float = SIMILARITY, hot: int = HOT) -> tup
     # round 1: the sets of each word in many prefixes against the earliest of them
     least = _class(hot) << _HASH_BITS  # no word of a lower class is in more than `hot` prefixes
     b = _entries(sets, "b").where(F.col("word") >= least)
-    heads = b.groupBy("word").agg(F.count(F.lit(1)).alias("k"), F.min(F.struct("b", "nb", "pb", "xb", "yb")).alias("h")).where(F.col("k") > hot)
+    heads = b.groupBy("word").agg(F.count(F.lit(1)).alias("k"), F.min(F.struct("b", "nb", "pb", *(f"{part}b" for part in _PARTS))).alias("h")).where(F.col("k") > hot)
     # a table, so that its size is known and the join moves little where it is small
-    heads = materialize(heads.select("word", *(F.col(f"h.{c}b").alias(f"{c}a") for c in ("n", "p", "x", "y")), F.col("h.b").alias("a")), "line-heads")
+    heads = materialize(heads.select("word", *(F.col(f"h.{c}b").alias(f"{c}a") for c in ("n", "p", *_PARTS)), F.col("h.b").alias("a")), "line-heads")
     star = b.join(heads, "word").where("a < b")
     stars = materialize(star.where(_may_match(t)).select("a", "b").distinct(), "line-stars")
     del star, b, heads
