@@ -22,7 +22,6 @@ SYMBOLS = r"[#*$%&|<>]"
 BLANK = r"[\x20\x09-\x0D]"
 #: Documents score around 0; junk, whose n-grams trusted documents lack, well below.
 THRESHOLD = -0.05
-MAX_TRUSTED = 20_000
 
 
 def base_columns(text: Column) -> dict[str, Column]:
@@ -84,23 +83,22 @@ def _grams(hashes: Column, buckets: int) -> Column:
     return F.transform(both, lambda h: F.pmod(h, F.lit(buckets)).cast("int"))
 
 
-def trusted_ids(labels: DataFrame, max_trusted: int = MAX_TRUSTED) -> DataFrame:
-    """(doc_id) of documents labelled as good and not toxic, at most about max_trusted, chosen by a hash of doc_id."""
-    good = labels.where("quality = 1 and coalesce(toxic, 0) = 0 and doc_id is not null").select("doc_id").distinct()
-    n = good.count()
-    if n <= max_trusted:
-        return good
-    grain = 1 << 20
-    return good.where(F.pmod(F.xxhash64("doc_id"), F.lit(grain)) < F.lit(grain * max_trusted // n))
+def trusted_ids(labels: DataFrame) -> DataFrame:
+    """(doc_id) of all documents labelled as good and not toxic."""
+    return labels.where("quality = 1 and coalesce(toxic, 0) = 0 and doc_id is not null").select("doc_id").distinct()
 
 
 def gram_ratios(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS, smoothing: float = 1.0) -> list[int]:
     """log(p_trusted / p_raw) of each bucket, in units of 1 / SCALE, from counts over all documents."""
-    marked = docs.select(F.col("doc_id"), _word_hashes(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("h")).join(
-        F.broadcast(trusted.select(F.col("doc_id").alias("t"))), F.col("doc_id") == F.col("t"), "left"  # at most MAX_TRUSTED ids
+    # buckets, not hashes, go through the join's shuffle: two bytes a gram where they fit
+    narrow = _grams(F.col("h"), buckets).cast("array<smallint>" if buckets <= 1 << 15 else "array<int>")
+    read = docs.select("doc_id", _word_hashes(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("h"))
+    marked = read.select("doc_id", narrow.alias("g")).join(
+        trusted.select(F.col("doc_id").alias("t")).hint("merge"), F.col("doc_id") == F.col("t"), "left"  # ids grow with the corpus
     )
     counts = (
-        marked.select(F.col("t").isNotNull().cast("long").alias("t"), F.explode(_grams(F.col("h"), buckets)).alias("b"))
+        marked.select(F.col("t").isNotNull().cast("long").alias("t"), F.explode_outer("g").alias("b"))  # explode alone would filter below the join, and count the grams twice
+        .where("b is not null")
         .groupBy("b")
         .agg(F.count(F.lit(1)).alias("raw"), F.sum("t").alias("trusted"))
         .collect()  # at most `buckets` rows

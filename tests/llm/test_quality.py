@@ -43,6 +43,25 @@ def test_ratio_counts(spark):
     assert scored[1] > 0 > scored[2] and scored[3] == 0
 
 
+def test_all_trusted_documents_count(spark):
+    """Where every document is trusted, however many there are, both multinomials are the same."""
+    docs = spark.range(30_000).select(F.col("id").alias("doc_id"), F.concat(F.lit("w"), F.col("id") % 997, F.lit(" x"), F.col("id") % 31).alias("text"))
+    labels = docs.select("doc_id", F.lit(1).alias("quality"), F.lit(0).alias("toxic"))
+    assert set(quality_rules.gram_ratios(docs, quality_rules.trusted_ids(labels.union(labels)))) == {0}
+
+
+def test_trusted_join_by_shuffle(spark, documents):
+    """The counts are the same where the ids are joined by shuffle, and for more buckets than two bytes hold."""
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    want = {n: quality_rules.gram_ratios(documents, quality_rules.trusted_ids(labels), n) for n in (10_000, 40_000)}
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert want == {n: quality_rules.gram_ratios(documents, quality_rules.trusted_ids(labels), n) for n in want}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+
+
 def test_separates_labels(spark):
     docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
     rows = quality_rules.judge(docs, labels).join(labels, "doc_id").collect()
