@@ -10,13 +10,15 @@ entity gets the same surrogate, in the occurrence's own format and case.
 
 from __future__ import annotations
 
+import itertools
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import checkpoint, materialize, read_table
 
 EMAIL = r"(?<![\p{L}\p{N}._%+\-])[\p{L}\p{N}._%+\-]++@[\p{L}\p{N}\-]+(?:\.[\p{L}\p{N}\-]+)*\.\p{L}{2,}"
-SECRET = r"""(?<!\p{L})(?i:token|secret|password|passwd|api[_\-]?key)\s{0,3}[=:]\s{0,3}["'][^"'\s]{6,200}["']"""
+SECRET = r"""(?<!\p{L})(?i:token|secret|password|passwd|api[_\-]?key)\s{0,3}[=:]\s{0,3}["'][^"'\s]{6,}+["']"""
 PHONE = r"(?<![\w+])\+\d{1,3}[ .\-]?(?:\(\d{1,4}\)[ .\-]?)?\d{2,4}(?:[ .\-]?\d{2,4}){1,4}(?!\d)"
 LOCAL_PHONE = r"(?<![\w+])(?:\(\d{3}\) ?|\d{3}[\-.])\d{3}[\-.]\d{4}(?!\d)"
 IPV4 = r"(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?!\d|\.\d)"
@@ -57,6 +59,15 @@ SYLLABLES = {
     "cyrillic": "ба де фи га хо ка ле ми но пе ра со ти ве ва зу",
 }
 
+# Letters and marks to draw from, for characters outside ASCII letters and digits: fixed values.
+ALPHABETS = {
+    r"\p{IsCyrillic}": "абвгдежзийклмнопрстуфхцчшщъыьэюя",
+    r"\p{IsGreek}": "αβγδεζηθικλμνξοπρστυφχψω",
+    r"\p{IsHan}": "".join(chr(0x4E00 + k) for k in range(256)),
+    r"[\p{L}\p{M}\p{N}]": "abcdefghijklmnopqrstuvwxyz",
+}
+MARKS = "!#$%&*+,-./:;?@^_~"
+
 
 def kind_of(entity: Column) -> Column:
     out = F.lit(None).cast("string")
@@ -101,21 +112,34 @@ def _nibble(stream: Column, at: Column) -> Column:
     return F.conv(F.substring(stream, at % 256 + 1, F.lit(1)), 16, 10).cast("int")
 
 
+def _of(letters: str, at: Column) -> Column:
+    return F.substring(F.lit(letters), at % len(letters) + 1, F.lit(1))
+
+
+def _digit(stream: Column, i: Column) -> Column:
+    return ((_nibble(stream, i) * 7 + _nibble(stream, i + 101)) % 10).cast("string")
+
+
 def _redrawn(value: Column, stream: Column, fixed: int = 0) -> Column:
-    """Each character replaced by one of its class (digit, hexadecimal or other letter), the first `fixed` kept."""
+    """Each character replaced by one of its class (digit, hexadecimal, letter by script), the first `fixed` kept.
+    Other marks stay beside six or more letters and digits; with fewer, they are the value, and are replaced too."""
     hexadecimal = value.rlike("^[0-9a-f]+$")
-    return F.array_join(
-        F.transform(
-            F.filter(F.split(value, ""), lambda c: c != ""),
-            lambda c, i: F.when(i < fixed, c)
+    bare = F.char_length(F.regexp_replace(value, r"[^\p{L}\p{N}]", "")) < 6
+
+    def one(c: Column, i: Column) -> Column:
+        at = _nibble(stream, i) * 16 + _nibble(stream, i + 101)
+        out = (
+            F.when(i < fixed, c)
             .when(hexadecimal & value.rlike("[a-f]"), F.substring(stream, i % 256 + 1, F.lit(1)))
-            .when(c.rlike("[0-9]"), ((_nibble(stream, i) * 7 + _nibble(stream, i + 101)) % 10).cast("string"))
-            .when(c.rlike("[a-z]"), F.chr(97 + (_nibble(stream, i) * 16 + _nibble(stream, i + 101)) % 26))
-            .when(c.rlike("[A-Z]"), F.chr(65 + (_nibble(stream, i) * 16 + _nibble(stream, i + 101)) % 26))
-            .otherwise(c),
-        ),
-        "",
-    )
+            .when(c.rlike("[0-9]"), _digit(stream, i))
+            .when(c.rlike("[a-z]"), F.chr(97 + at % 26))
+            .when(c.rlike("[A-Z]"), F.chr(65 + at % 26))
+        )
+        for script, letters in ALPHABETS.items():
+            out = out.when(c.rlike(script), _of(letters, at))
+        return out.when(bare, _of(MARKS, at)).otherwise(c)
+
+    return F.array_join(F.transform(F.filter(F.split(value, ""), lambda c: c != ""), one), "")
 
 
 def _pick(words: str, n: Column) -> Column:
@@ -158,15 +182,34 @@ def draw(kind: Column, norm: Column, gender: Column, key: str, attempt: Column)
     )
 
 
+def draw_longer(kind: Column, norm: Column, gender: Column, key: str, attempt: Column) -> Column:
+    """A surrogate longer than the entity's format, for one attempt; no character of the entity is kept."""
+    s = _stream(F.concat_ws("|", F.lit(key), kind, norm, attempt.cast("string")))
+    many = F.sequence(F.lit(0), F.lit(15))
+    digits = F.array_join(F.transform(many, lambda i: _digit(s, i + 50)), "")
+    latin, cyrillic = (
+        F.array_join(F.transform(many, lambda i: _pick(SYLLABLES[script], _nibble(s, i + 20))), "") for script in ("latin", "cyrillic")
+    )
+    octets = F.array_join(F.transform(many, lambda i: (_nibble(s, 2 * i) * 16 + _nibble(s, 2 * i + 1)).cast("string")), ".")
+    return (
+        F.when(kind == "email", F.concat(latin, F.lit("."), digits, F.lit("@mail.example.org")))
+        .when(kind == "ip", F.concat(F.lit("10."), octets))
+        .when(kind == "name", F.initcap(F.when(norm.rlike(r"\p{IsCyrillic}"), cyrillic).otherwise(latin)))
+        .otherwise(F.concat(_redrawn(norm, s), digits))
+    )
+
+
 def surrogates(entities: DataFrame, key: str, rounds: int = 40) -> DataFrame:
     """(kind, norm, surrogate) for the distinct entities of (kind, norm, gender): surrogates of a kind are
     distinct from each other and from every entity of that kind."""
     real = checkpoint(
-        entities.where("norm is not null and norm <> ''").groupBy("kind", "norm").agg(F.min("gender").alias("gender"))
+        entities.where("kind is not null and norm is not null and norm <> ''").groupBy("kind", "norm").agg(F.min("gender").alias("gender"))
     )
     open_, done = real, None
-    for attempt in range(rounds):
-        drawn = open_.withColumn("surrogate", draw(F.col("kind"), F.col("norm"), F.col("gender"), key, F.lit(attempt)))
+    for attempt in itertools.count():
+        # a short format may have no free surrogate left: it gets a longer one
+        how = draw if attempt < rounds else draw_longer
+        drawn = open_.withColumn("surrogate", how(F.col("kind"), F.col("norm"), F.col("gender"), key, F.lit(attempt)))
         taken = real.select("kind", F.col("norm").alias("surrogate"))
         if done is not None:
             taken = taken.unionByName(done.select("kind", "surrogate"))
@@ -176,10 +219,6 @@ def surrogates(entities: DataFrame, key: str, rounds: int = 40) -> DataFrame:
         open_ = checkpoint(open_.join(done.select("kind", "norm"), ["kind", "norm"], "left_anti"))
         if open_.isEmpty():
             break
-    else:
-        # a short format has no free surrogate left: digits are added to the end until it is distinct
-        rest = open_.withColumn("surrogate", F.concat("norm", F.lit("-"), F.substring(F.sha2(F.concat(F.lit(key), "norm"), 256), 1, 16)))
-        done = done.unionByName(rest.select(*done.columns))
     return done.select("kind", "norm", "surrogate")
 
 

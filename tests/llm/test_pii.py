@@ -53,6 +53,26 @@ def test_distinct_under_collisions(spark, monkeypatch):
     assert len(table) == len(made) == 15 and not made & {r["norm"] for r in table}
 
 
+def test_secrets_of_any_script_and_length(spark):
+    """A secret is replaced whatever it is made of and however long it is."""
+    token = "eyJhbGciOi" * 60 + ".x-Y_z"
+    real = ["пароль-секрет", "密码密码密码", "كلمةالسر", "!?!?!?!?", "1+++///===", "κωδικός-μου", token]
+    got = out(spark, [(i, f"password = '{x}'") for i, x in enumerate(real)])
+    for i, x in enumerate(real):
+        new = re.fullmatch(r"password = '([^'\s]+)'", got[i]["text"])[1]
+        assert got[i]["n_pii"] == 1 and x not in new and len(new) == len(x) and new.lower() != x.lower()
+    assert "+++" not in got[4]["text"] and "eyJhbGciOi" not in got[6]["text"]
+
+
+def test_exhausted_space(spark):
+    """Where a format has no free surrogate left, the surrogate is drawn longer and holds nothing of the entity."""
+    real = [("account", str(i), "n") for i in range(10)] + [("secret", x, "n") for x in "абвгдежзийклмнопрстуфхцчшщъыьэюя"]
+    table = pii.surrogates(spark.createDataFrame(real, "kind string, norm string, gender string"), "k", rounds=1).collect()
+    assert len({(r["kind"], r["surrogate"]) for r in table}) == len(real)
+    assert all(len(r["surrogate"]) == 17 and "-" not in r["surrogate"] for r in table)
+    assert sum(r["surrogate"].startswith(r["norm"]) for r in table) < 10
+
+
 def test_documents(documents, texts):
     got = {r["doc_id"]: r for r in pii.pseudonymise(documents, "k").collect()}
     assert set(got) == set(texts)
