@@ -92,12 +92,12 @@ class WindowSet:
 
 def benchmark_windows(benchmark: DataFrame, n: int = 10) -> DataFrame:
     """(window, size, items): distinct windows as words joined by one space, with their items as strings.
-    Null texts, texts without a word and rows without item_id give none."""
+    Null texts and texts without a word give none; rows without item_id count together as one item, null."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             rows = [
-                (b" ".join(w).decode("utf-8", "replace"), len(w), str(item))
+                (b" ".join(w).decode("utf-8", "replace"), len(w), None if item is None else str(item))
                 for item, text in zip(b.column(0).to_pylist(), b.column(1).cast(pa.binary()).to_pylist(), strict=True)
                 for w in item_windows(normal_words(text), n)
             ]
@@ -106,18 +106,17 @@ def benchmark_windows(benchmark: DataFrame, n: int = 10) -> DataFrame:
                 [pa.array(window, pa.string()), pa.array(size, pa.int32()), pa.array(item, pa.string())], ["w", "n", "i"]
             )
 
-    items = benchmark.where("item_id is not null").select(
-        F.col("item_id").cast("string"), F.col("text").cast("string")
-    )
+    items = benchmark.select(F.col("item_id").cast("string"), F.col("text").cast("string"))
+    nameless = F.when(F.max(F.col("item").isNull()), F.array(F.lit(None).cast("string"))).otherwise(F.array().cast("array<string>"))
     return (
         items.mapInArrow(run, "window string, size int, item string")
         .groupBy("window", "size")
-        .agg(F.sort_array(F.collect_set("item")).alias("items"))
+        .agg(F.concat(F.sort_array(F.collect_set("item")), nameless).alias("items"))
     )
 
 
-def _digest(items: set[str]) -> str:
-    return hashlib.sha256(",".join(sorted(items)).encode()).hexdigest()
+def _digest(items: set[str | None]) -> str:
+    return hashlib.sha256(",".join(sorted(i for i in items if i is not None)).encode()).hexdigest()
 
 
 _SCAN = "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean"

@@ -86,3 +86,13 @@ def test_odd_rows(spark, odd):
     none = bench.where(F.lit(False))
     assert not any(r["contaminated"] for r in D.scan(odd, none).collect())
     assert D.scan(odd.where(F.lit(False)), bench).count() == 0
+
+
+@pytest.mark.parametrize("bound", [500_000, 0])
+def test_items_without_id(spark, bound):
+    """Passages of items without an id are hits as in the SQL: one item more, which the listing leaves out."""
+    items = spark.createDataFrame([(1, "short item"), (None, "no id here"), (None, "short item"), (None, "id here too")], "item_id long, text string")
+    docs = spark.createDataFrame([(1, "with no id here too"), (2, "a short item"), (3, "clean")], "doc_id long, text string")
+    got = {r["doc_id"]: tuple(r)[2:] for r in D.scan(docs, items, max_broadcast_windows=bound).collect()}
+    sha = {x: hashlib.sha256(x.encode()).hexdigest() for x in ("", "1")}
+    assert got == {1: (4, 1, sha[""], True), 2: (2, 2, sha["1"], True), 3: (0, 0, sha[""], False)}
