@@ -42,7 +42,7 @@ KINDS = {
 }
 PATTERN = "|".join(f"(?:{p})" for p in KINDS.values())
 #: A text without any of these has no entity: a cheap first look.
-HINT = rf"[@\d=:]|\b(?:{FEMALE}|{MALE}|{NEUTRAL})\b"
+HINT = rf"[@\d=:]|(?<!\p{{L}})(?:{FEMALE}|{MALE}|{NEUTRAL})"
 
 # Given names by script and gender: fixed values.
 GIVEN = {

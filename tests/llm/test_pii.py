@@ -64,6 +64,12 @@ def test_secrets_of_any_script_and_length(spark):
     assert "+++" not in got[4]["text"] and "eyJhbGciOi" not in got[6]["text"]
 
 
+def test_names_alone(spark):
+    """The cheap first look lets every name through, beside an underscore and in other scripts."""
+    got = out(spark, [(1, "_Mr. Bob Stone_"), (2, "Госпожа Анна Петрова"), (3, "aMr. Bob Stone")])
+    assert [got[i]["n_pii"] for i in (1, 2, 3)] == [1, 1, 0] and "Bob" not in got[1]["text"]
+
+
 def test_exhausted_space(spark):
     """Where a format has no free surrogate left, the surrogate is drawn longer and holds nothing of the entity."""
     real = [("account", str(i), "n") for i in range(10)] + [("secret", x, "n") for x in "абвгдежзийклмнопрстуфхцчшщъыьэюя"]
