@@ -8,10 +8,11 @@ task leaves no half-written shard, and any file system that Spark can write will
 
 from __future__ import annotations
 
+import json
 import re
 import zlib
-from array import array
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -26,9 +27,15 @@ END_ID = 2
 SHARD_TOKENS = 1 << 21
 #: Before a space or line feed that stands alone between other characters, the byte-level pattern always splits.
 _APART = re.compile(r"(?<!\s)(?=[ \n](?!\s))")
-_BLANKS = re.compile(r"\s\s")
+#: A mark before a piece that follows no space, and texts that hold it are encoded whole.
+_HEAD = "\0"
+_ODD = re.compile(r"\s\s")
 _STOPS = ".,;:!?"
-_MEMORY = 200_000
+#: Letters up to here (Latin, Greek, Cyrillic) are letters in every version of Unicode.
+_OLD_LETTERS = "\u0500"
+#: What an encoder remembers: pieces, and characters in them.
+_MEMORY = 1_200_000
+_CHARACTERS = 32_000_000
 
 
 def default_tokenizer() -> str:
@@ -37,80 +44,172 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def _byte_letters() -> str:
+    """The letter that stands for each byte in a byte-level vocabulary: printable Latin-1 for itself, the others from U+0100 on."""
+    own = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    other = iter(range(256, 512))
+    return "".join(chr(b if b in own else next(other)) for b in range(256))
+
+
+class _Codes(dict):
+    """Numbers of the pieces seen; new ones are noted down for encoding."""
+
+    def __init__(self) -> None:
+        super().__init__({None: 0})  # the end of a document
+        self.new: list[str] = []
+
+    def __missing__(self, piece: str) -> int:
+        self.new.append(piece)
+        code = self[piece] = len(self)
+        return code
+
+
 class Encoder:
-    """Encodes texts with the tokenizers library, remembering the ids of recent pieces.
+    """Encodes texts with the tokenizers library, remembering the ids of pieces.
 
     A byte-level tokenizer splits a text by a fixed pattern before any merge, and always
     splits before a lone space or line feed, so pieces between those can be encoded apart
-    and their ids joined.  Tokenizers of another make encode each text whole.
+    and their ids joined.  Tokenizers of another make encode each text whole, as do texts
+    that hold a special token's string.  That string counts as the library reads it: as the
+    token, or with special_as_text as ordinary text.
     """
 
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, end_id: int | None = END_ID, special_as_text: bool = False) -> None:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        made = str(self.tokenizer.pre_tokenizer)
-        self.apart = made.startswith("ByteLevel(") and "add_prefix_space=False" in made and "use_regex=True" in made and self.tokenizer.normalizer is None
-        self.young: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
+        self.tokenizer.encode_special_tokens = special_as_text
+        made = json.loads(self.tokenizer.to_str())
+        splits = made["pre_tokenizer"] or {}
+        self.apart = (
+            splits.get("type") == "ByteLevel"
+            and splits.get("use_regex", True)
+            and not splits["add_prefix_space"]
+            and made["model"].get("type", "BPE") == "BPE"
+            and not any(made.get(k) for k in ("normalizer", "truncation", "padding"))
+        )
+        self.special = [t["content"] for t in made["added_tokens"]]
+        self.letters = dict(enumerate(_byte_letters()))
+        self.end = [] if end_id is None else [end_id]
+        self.marks = {m: self.tokenizer.encode(m, add_special_tokens=False).ids[0] for m in _STOPS}
+        self._forget()
 
     @classmethod
-    def of(cls, path: str, made: dict[str, Encoder] = {}) -> Encoder:  # noqa: B006
+    def of(cls, path: str, end_id: int | None, special_as_text: bool, made: dict[tuple, Encoder] = {}) -> Encoder:  # noqa: B006
         """The process's encoder: what it remembers serves all tasks that the process runs."""
-        if path not in made:
-            made[path] = cls(path)
-        return made[path]
-
-    def _encoded(self, pieces: list[str]) -> Iterator[bytes]:
-        for at in range(0, len(pieces), 2000):
-            for e in self.tokenizer.encode_batch_fast(pieces[at : at + 2000], add_special_tokens=False):
-                yield array("I", e.ids).tobytes()
-
-    def _split(self, text: str) -> tuple[str, list[str]]:
-        """The piece before the first boundary, and the others; a space that begins a piece is left out."""
-        if _BLANKS.search(text):
+        key = path, end_id, special_as_text
+        if key not in made:
+            made[key] = cls(*key)
+        return made[key]
+
+    def _forget(self) -> None:
+        self.codes, self.characters, self.used = _Codes(), 0, len(self.end)
+        self.pool = np.zeros(1 << 16, np.uint32)  # ids of all pieces, one after the other
+        self.pool[: self.used] = self.end
+        self.begin, self.length = np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64)
+        self.length[0] = self.used
+
+    def _learn(self, pieces: list[str], length: np.ndarray, ids: np.ndarray) -> None:
+        codes = np.fromiter(map(self.codes.__getitem__, pieces), np.int64, len(pieces))
+        if self.used + len(ids) > len(self.pool):
+            self.pool = np.concatenate((self.pool, np.zeros(len(self.pool) + len(ids), np.uint32)))
+        if len(self.codes) > len(self.begin):
+            more = np.zeros(len(self.codes), np.int64)
+            self.begin, self.length = np.concatenate((self.begin, more)), np.concatenate((self.length, more))
+        self.pool[self.used : self.used + len(ids)] = ids
+        self.begin[codes], self.length[codes] = self.used + np.cumsum(length) - length, length
+        self.used += len(ids)
+        self.characters += sum(map(len, pieces))
+
+    def _learn_lists(self, pieces: list[str], encoded: list[list[int]]) -> None:
+        length = np.fromiter(map(len, encoded), np.int64, len(encoded))
+        self._learn(pieces, length, np.fromiter(chain.from_iterable(encoded), np.uint32, int(length.sum())))
+
+    def _places(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """How many ids each of the codes has, and where all of them stand in the pool."""
+        length = self.length[codes]
+        end = np.cumsum(length)
+        return length, np.repeat(self.begin[codes] - end + length, length) + np.arange(end[-1] if len(end) else 0)
+
+    def _whole(self, texts: list[str]) -> Iterator[list[int]]:
+        for at in range(0, len(texts), 2000):
+            for e in self.tokenizer.encode_batch_fast(texts[at : at + 2000], add_special_tokens=False):
+                yield e.ids
+
+    def _encode_new(self) -> None:
+        """Ids of the pieces noted down.  A piece that begins with _HEAD stands first in its text or line; others follow a space."""
+        single, spelled, mixed, ended = [], [], [], []
+        lead, letters = self.letters[ord(" ")], self.letters
+        while self.codes.new:
+            pieces, self.codes.new = self.codes.new, []
+            for piece in pieces:
+                word = piece[1:] if piece[:1] == _HEAD else piece
+                if not word.isalpha():
+                    if word[-1:] in _STOPS and word[:-1].isalpha() and (word.isascii() or max(word) < _OLD_LETTERS):
+                        self.codes[piece[:-1]]  # the pattern splits between a letter and a mark
+                        ended.append(piece)
+                    else:
+                        mixed.append(piece)
+                    continue
+                if not word.isascii():
+                    if max(word) >= _OLD_LETTERS:
+                        mixed.append(piece)
+                        continue
+                    word = word.encode().decode("latin-1").translate(letters)
+                single.append(piece)
+                spelled.append(word if piece[0] == _HEAD else lead + word)
+        self._learn_lists(single, [[t.id for t in x] for x in map(self.tokenizer.model.tokenize, spelled)])  # the pattern leaves them whole
+        self._learn_lists(mixed, list(self._whole([x[1:] if x[:1] == _HEAD else x if x[:1] == "\n" else " " + x for x in mixed])))
+        length, places = self._places(np.fromiter((self.codes[x[:-1]] for x in ended), np.int64, len(ended)))
+        marks = np.fromiter((self.marks[x[-1]] for x in ended), np.uint32, len(ended))
+        self._learn(ended, length + 1, np.insert(self.pool[places], np.cumsum(length), marks))
+
+    def _split(self, text: str) -> list[str]:
+        """The pieces of a text as _encode_new names them."""
+        if _ODD.search(text):
             first, *rest = _APART.split(text)
-            return first, [x[1:] if x[0] == " " else x for x in rest]
-        first, *rest = text.replace("\n", " \n").split(" ")
-        return first, rest
+            return [_HEAD + first, *(x[1:] if x[0] == " " else x for x in rest)]
+        return (_HEAD + text.replace("\n", " \n " + _HEAD)).split(" ")
 
-    def __call__(self, texts: list[str | None]) -> list[bytes]:
-        """Ids of each text as little-endian unsigned 32-bit integers; null counts as empty."""
+    def __call__(self, texts: list[str | None]) -> list[np.ndarray]:
+        """Ids of each text and the end id; null counts as empty."""
         if not self.apart:
-            return list(self._encoded([t or "" for t in texts]))
-        split = [self._split(t or "") for t in texts]
-        heads = list(self._encoded([first for first, _ in split]))
-        need = set().union(*(rest for _, rest in split)).difference(self.young)
-        if len(self.young) + len(need) > _MEMORY:
-            self.young, self.old = {}, self.young
-            need = set().union(*(rest for _, rest in split))
-        new, ended = [], []
-        for piece in need:
-            ids = self.old.get(piece)
-            if ids is not None:
-                self.young[piece] = ids
-            elif piece[-1:] in _STOPS and piece[-2:-1].isalpha():
-                ended.append(piece)  # the pattern splits between a letter and a mark
-            else:
-                new.append(piece)
-        new += {x[:-1] for x in ended}.difference(need, self.young)
-        whole = (x if x[:1] == "\n" else " " + x for x in new)
-        self.young.update(zip(new, self._encoded(list(whole)), strict=True))
-        marks = dict(zip(_STOPS, self._encoded(list(_STOPS)), strict=True))
-        self.young.update((x, self.young[x[:-1]] + marks[x[-1]]) for x in ended)
-        of = self.young.__getitem__
-        return [head + b"".join(map(of, rest)) for head, (_, rest) in zip(heads, split, strict=True)]
-
-
-def encode_shards(docs: DataFrame, tokenizer: str | None = None, end_id: int | None = END_ID, shard_tokens: int = SHARD_TOKENS) -> DataFrame:
+            return [np.array([*ids, *self.end], np.uint32) for ids in self._whole([t or "" for t in texts])]
+        if len(self.codes) > _MEMORY or self.characters > _CHARACTERS:
+            self._forget()
+        got: list[int] = []
+        code, cuts, out = self.codes.__getitem__, [0], {}
+        for k, text in enumerate(texts):
+            text = text or ""
+            if _HEAD in text or any(s in text for s in self.special):
+                out[k] = text
+                text = ""
+            pieces = self._split(text)
+            pieces.append(None)
+            got.extend(map(code, pieces))
+            cuts.append(len(got))
+        self._encode_new()
+        codes = np.array(got, np.int64)
+        length, places = self._places(codes)
+        ids = self.pool[places]
+        ends = np.concatenate(([0], np.cumsum(length)))[cuts].tolist()
+        found = [ids[a:b] for a, b in zip(ends, ends[1:], strict=False)]
+        for k, one in zip(out, self._whole(list(out.values())), strict=True):
+            found[k] = np.array([*one, *self.end], np.uint32)
+        return found
+
+
+def encode_shards(
+    docs: DataFrame, tokenizer: str | None = None, end_id: int | None = END_ID, shard_tokens: int = SHARD_TOKENS, special_as_text: bool = False
+) -> DataFrame:
     """(shard, n_docs, n_tokens, payload): shards in ascending doc_id order, each of about shard_tokens tokens
-    (more only if a single text has more).  Null ids come first; rows that repeat a doc_id stand together."""
+    (more only if a single text has more).  Null ids come first; rows that repeat a doc_id stand together, in
+    the order of their texts' hashes, by which a crowded id is split over tasks too.  A text's special tokens
+    count as the library reads them, unless special_as_text."""
     path = tokenizer or default_tokenizer()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, shard = Encoder.of(path), TaskContext.get().partitionId() << 24
-        end = b"" if end_id is None else np.array([end_id], "<u4").tobytes()
+        encode, shard = Encoder.of(path, end_id, special_as_text), TaskContext.get().partitionId() << 24
         ids: list[int | None] = []
         tokens: list[np.ndarray] = []
         held = 0
@@ -125,19 +224,20 @@ def encode_shards(docs: DataFrame, tokenizer: str | None = None, end_id: int | N
             )
 
         for b in batches:
-            for at in range(0, b.num_rows, 200):
-                part = b.slice(at, 200)
-                for doc_id, raw in zip(part.column(0).to_pylist(), encode(part.column(1).to_pylist()), strict=True):
+            for at in range(0, b.num_rows, 500):
+                part = b.slice(at, 500)
+                for doc_id, found in zip(part.column(0).to_pylist(), encode(part.column(1).to_pylist()), strict=True):
                     ids.append(doc_id)
-                    tokens.append(np.frombuffer(raw + end, "<u4"))
-                    held += len(tokens[-1])
+                    tokens.append(found)
+                    held += len(found)
                     if held >= shard_tokens:
                         yield flush()
         if ids:
             yield flush()
 
     narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    ordered = narrow.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    order = [F.col("doc_id"), F.xxhash64("text"), F.col("text")]
+    ordered = narrow.repartitionByRange(*order[:2]).sortWithinPartitions(*order)
     return ordered.mapInArrow(run, "shard long, n_docs long, n_tokens long, payload binary")
 
 

@@ -16,6 +16,7 @@ import numpy as np
 MAGIC = b"PLWM"
 VERSION = 1
 _BLOCK = 512
+_STRETCH = 1 << 15
 _HEAD = struct.Struct("<4sHHQQ")  # magic, version, levels, tokens, documents
 
 
@@ -25,6 +26,28 @@ def _directory(plane: np.ndarray) -> np.ndarray:
     return np.concatenate((np.zeros(1, np.uint64), np.cumsum(ones, dtype=np.uint64)))
 
 
+def _parted(a: np.ndarray, bit: np.ndarray) -> np.ndarray:
+    """The values without the bit, then those with it; by positions, stretch by stretch, which costs less than masks."""
+    out, zero, one = np.empty_like(a), 0, len(a) - int(np.count_nonzero(bit))
+    for at in range(0, len(a), _STRETCH):
+        part, on = a[at : at + _STRETCH], bit[at : at + _STRETCH]
+        no, yes = np.flatnonzero(~on), np.flatnonzero(on)
+        out[zero : zero + len(no)], out[one : one + len(yes)] = part[no], part[yes]
+        zero, one = zero + len(no), one + len(yes)
+    return out
+
+
+def _merged(a: np.ndarray, bit: np.ndarray, one: int) -> np.ndarray:
+    """What _parted parted: `one` is where the values with the bit begin."""
+    out, zero = np.empty_like(a), 0
+    for at in range(0, len(a), _STRETCH):
+        part, on = out[at : at + _STRETCH], bit[at : at + _STRETCH]
+        no, yes = np.flatnonzero(~on), np.flatnonzero(on)
+        part[no], part[yes] = a[zero : zero + len(no)], a[one : one + len(yes)]
+        zero, one = zero + len(no), one + len(yes)
+    return out
+
+
 @dataclass
 class WaveletMatrix:
     n: int
@@ -41,7 +64,7 @@ class WaveletMatrix:
             bit = (a & a.dtype.type(1 << level)) != 0
             planes.append(np.packbits(bit, bitorder="little"))
             directories.append(_directory(planes[-1]))
-            a = np.concatenate((a[~bit], a[bit]))
+            a = _parted(a, bit)
         return cls(len(ids), planes, directories)
 
     @property
@@ -123,11 +146,9 @@ class WaveletMatrix:
         a = np.zeros(self.n, kind)
         for level, plane in enumerate(reversed(self.planes)):
             bit = np.unpackbits(plane, count=self.n, bitorder="little").view(bool)
-            zeros = self.n - int(np.count_nonzero(bit))
-            b = np.empty(self.n, kind)
-            b[~bit] = a[:zeros]
-            b[bit] = a[zeros:] | kind(1 << level)
-            a = b
+            ones = int(np.count_nonzero(bit))
+            a = _merged(a, bit, self.n - ones)
+            a |= bit.astype(kind) << kind(level)
         return a
 
 

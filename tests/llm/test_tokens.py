@@ -15,7 +15,6 @@ from pagelattice.llm.wavelet import Shard, WaveletMatrix
 @pytest.fixture(scope="module")
 def plain():
     t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    t.encode_special_tokens = True
     return lambda text: t.encode(text or "", add_special_tokens=False).ids
 
 
@@ -34,28 +33,49 @@ def test_documents_against_the_library(documents, texts, plain):
 
 
 def test_odd_rows(odd, plain):
-    rows = sorted(odd.select("doc_id", "text").collect(), key=lambda r: (r[0] is not None, r[0] or 0, r[1] or ""))
+    rows = sorted(odd.select("doc_id", "text").collect(), key=lambda r: (r[0] is not None, r[0] or 0))
     got = [tuple(r) for r in tokens.token_table(odd).select("doc_id", "start", "n_tokens", "ids_crc32").orderBy("start").collect()]
     assert got == want([tuple(r) for r in rows], plain)
     assert tokens.token_table(odd.where(F.lit(False))).count() == 0
 
 
-@settings(max_examples=200, deadline=None)
-@given(st.lists(st.text(alphabet="ab'st 1\n\t  é世!\x1c<|endoftext|>", max_size=40), max_size=5))
-def test_pieces_apart_equal_whole(batch):
-    encode, plain = _encoder()
-    assert [np.frombuffer(x, "<u4").tolist() for x in encode(batch)] == [plain.encode(t, add_special_tokens=False).ids for t in batch]
-
-
-def _encoder(made=[]):
+def _encoders(made={}):
+    """This module's encoder and the library's plain one, for both readings of special tokens."""
     if not made:
         path = public_tokenizers.path("byte_bpe_50k.json")
-        t = Tokenizer.from_file(path)
-        t.encode_special_tokens = True
-        made += [tokens.Encoder(path), t]
+        for as_text in (False, True):
+            t = Tokenizer.from_file(path)
+            t.encode_special_tokens = as_text
+            made[as_text] = tokens.Encoder(path, None, as_text), t
     return made
 
 
+_TEXTS = st.lists(st.sampled_from([*"abAst'.,;:!?1| \n\t\r\0\x1c\u3000éЖ世ɐԱ\u0301²", "<|endoftext|>", " the", "\n- ", "don't"]), max_size=30).map("".join)
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.lists(_TEXTS, max_size=5), st.booleans())
+def test_pieces_apart_equal_whole(batch, as_text):
+    encode, plain = _encoders()[as_text]
+    assert encode.apart
+    assert [x.tolist() for x in encode(batch)] == [plain.encode(t, add_special_tokens=False).ids for t in batch]
+
+
+def test_forgetting_changes_nothing(texts, monkeypatch):
+    monkeypatch.setattr(tokens, "_MEMORY", 500)
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    encode, plain = tokens.Encoder(path, None), Tokenizer.from_file(path)
+    some = list(texts.values())
+    got = [x.tolist() for at in range(0, len(some), 20) for x in encode(some[at : at + 20])]
+    assert got == [plain.encode(t or "", add_special_tokens=False).ids for t in some] and len(encode.codes) < 20_000
+
+
+def test_special_tokens_are_read_as_the_library_reads_them(spark):
+    rows = spark.createDataFrame([(1, "a<|endoftext|>b")], "doc_id long, text string")
+    got = {s: tokens.token_table(rows, end_id=None, special_as_text=s).first()["n_tokens"] for s in (False, True)}
+    assert got == {False: 3, True: 9}
+
+
 def test_other_tokenizer(odd):
     path = public_tokenizers.path("word_bpe_49k.json")
     t = Tokenizer.from_file(path)
