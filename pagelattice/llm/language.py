@@ -25,7 +25,7 @@ LETTERS = re.compile(r"[^\W\d_]+")
 #: Expected counts are summed as whole numbers of this unit, so that the order of addition cannot matter.
 _UNIT = 1 << 20
 _GROUP = 2048
-_CACHE = 250_000
+_CACHE = 1_000_000
 
 
 def default_vocabulary() -> str:
@@ -47,119 +47,175 @@ def load_pieces(path: str) -> list[str]:
     return list(dict.fromkeys(p for p in pieces if p and p != "▁"))
 
 
-@dataclass
-class Lattice:
-    """Pieces as rows of a probability table; spans of a word are looked up here.  Row -1 is impossible."""
+_SLOT_BITS = 20
+_BASE, _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 
-    pieces: list[str]
 
-    def __post_init__(self) -> None:
-        self.row = {p: i for i, p in enumerate(self.pieces)}
-        self.longest = max(map(len, self.pieces), default=1)
-        self.n_rows = len(self.pieces) + 256 + 1
-        self.fallback = {}
+def _letters(words: list[str]) -> np.ndarray:
+    """(word, position) -> code point, for words of one length."""
+    return np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), "<u4").reshape(len(words), -1)
 
-    def byte_rows(self, char: str) -> list[int]:
-        return [len(self.pieces) + b for b in char.encode("utf-8", "replace")]
+
+class Lattice:
+    """Pieces as rows of a probability table; the spans of many words are looked up at once, by 64-bit
+    hashes that differ for all pieces.  Rows: pieces, 256 bytes, one impossible, then the characters met
+    outside the vocabulary, which `extended` fills from their bytes."""
+
+    def __init__(self, pieces: list[str]) -> None:
+        self.pieces = pieces
+        self.longest = max(map(len, pieces), default=1)
+        self.n_rows = len(pieces) + 256 + 1
+        self.fallback: dict[int, int] = {}  # code point -> row
+        self._of: np.ndarray | None = None  # the table that _grown extends
+        by_length: dict[int, list[int]] = {}
+        for r, p in enumerate(pieces):
+            by_length.setdefault(len(p), []).append(r)
+        rows, keys = [np.empty(0, np.int64)], [np.empty(0, np.uint64)]
+        for of in by_length.values():
+            codes = _letters([pieces[r] for r in of]).astype(np.uint64) + np.uint64(1)
+            h = np.zeros(len(of), np.uint64)
+            for column in codes.T:
+                h = h * _BASE + column
+            rows.append(np.array(of))
+            keys.append(h * _MIX)
+        key, row = np.concatenate(keys), np.concatenate(rows)
+        order = np.argsort(key)
+        self.key, self.piece = np.append(key[order], np.uint64(0)), np.append(row[order], 0).astype(np.int32)
+        if len(key) and (np.diff(key[order]) == 0).any():
+            raise ValueError("two pieces of one hash")
+        slot = (key[order] >> np.uint64(64 - _SLOT_BITS)).astype(np.int64)
+        self.first = np.full(1 << _SLOT_BITS, -1, np.int32)
+        self.first[slot[::-1]] = np.arange(len(slot))[::-1]
+        self.depth = int(np.bincount(slot).max(initial=0)) if len(slot) else 0
+
+    def byte_rows(self, code: int) -> list[int]:
+        return [len(self.pieces) + b for b in chr(code).encode("utf-8", "replace")]
 
     def spans(self, words: list[str]) -> np.ndarray:
-        """(word, end, length - 1) -> row, for words of one length; single characters outside the
-        vocabulary get rows from n_rows on, which `extended` fills from their bytes."""
-        n, row, miss, deep = len(words[0]), self.row, self.n_rows - 1, self.longest
-        out = np.full((len(words), n, deep), miss, np.int64)
-        for k, w in enumerate(words):
-            at = out[k]
-            for j in range(n):
-                for i in range(j, max(-1, j - deep), -1):
-                    r = row.get(w[i : j + 1])
-                    if r is not None:
-                        at[j, j - i] = r
-                    elif i == j:
-                        at[j, 0] = self.fallback.setdefault(w[j], self.n_rows + len(self.fallback))
+        """(end, length - 1, word) -> row, for words of one length."""
+        letters = _letters(words)
+        codes = letters.astype(np.uint64) + np.uint64(1)
+        m, n = codes.shape
+        deep, miss = min(self.longest, n), self.n_rows - 1
+        out = np.full((n, deep, m), miss, np.int32)
+        h = codes
+        for back in range(deep):
+            if back:
+                h = h[:, :-1] * _BASE + codes[:, back:]
+            mixed = (h * _MIX).ravel()
+            first = self.first[(mixed >> np.uint64(64 - _SLOT_BITS)).astype(np.int64)]
+            may = np.flatnonzero(first >= 0)
+            sought, at = mixed[may], first[may]
+            row = np.full(len(may), -1, np.int32)
+            for step in range(self.depth):
+                here = np.minimum(at + step, len(self.key) - 1)
+                row = np.where(self.key[here] == sought, self.piece[here], row)
+            may, row = may[row >= 0], row[row >= 0]
+            word, end = np.divmod(may, n - back)
+            out[end + back, back, word] = row
+        end, word = np.nonzero(out[:, 0] == miss)
+        if len(word):
+            alone = letters[word, end]
+            unique, which = np.unique(alone, return_inverse=True)
+            rows = [self.fallback.setdefault(c, self.n_rows + len(self.fallback)) for c in unique.tolist()]
+            out[end, 0, word] = np.array(rows, np.int32)[which]
         return out
 
     def extended(self, table: np.ndarray) -> np.ndarray:
+        """The table with the rows of the characters met so far: new ones are added to what was made before."""
         if not self.fallback:
             return table
-        extra = [np.prod(table[self.byte_rows(c)], axis=0) for c in self.fallback]
-        return np.vstack((table, np.array(extra)))
-
-
-def _forward(spans: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """alpha (position, word, language), each position scaled by its largest value, and the logarithms of the scales."""
-    m, n, deep = spans.shape
+        if self._of is not table:
+            self._of, self._filled, self._grown = table, 0, table
+        need = self.n_rows + len(self.fallback)
+        if need > len(self._grown):
+            more = np.zeros((need + 1000 - len(self._grown), table.shape[1]))
+            self._grown = np.vstack((self._grown, more))
+        for c in list(self.fallback)[self._filled :]:
+            self._grown[self.fallback[c]] = np.prod(table[self.byte_rows(c)], axis=0)
+        self._filled = len(self.fallback)
+        return self._grown
+
+    def forget(self) -> None:
+        """Let go of the characters met, if they have become many."""
+        if len(self.fallback) > 20_000:
+            self.fallback, self._of = {}, None
+
+
+def _forward(spans: np.ndarray, table: np.ndarray, miss: int, backward: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """alpha (position, word, language), each scaled to 1 at every position, and the logarithms of the scales;
+    backward, beta: the sums over what follows a position."""
+    n, deep, m = spans.shape
     alpha = np.zeros((n + 1, m, table.shape[1]))
-    logs = np.zeros((n + 1, m, 1))
-    alpha[0] = 1
-    scale = np.ones((n + 1, m, 1))
+    logs = np.zeros_like(alpha)
+    scale = np.ones_like(alpha)
+    used = (spans != miss).any(2)
+    alpha[n if backward else 0] = 1
     for j in range(n):
-        total = np.zeros_like(alpha[0])
-        factor = np.ones((m, 1))  # product of the scales between i and j
+        total, factor = np.zeros_like(alpha[0]), None  # factor: product of the scales since the other end of the span
         for back in range(min(deep, j + 1)):
-            i = j - back
-            total += alpha[i] * table[spans[:, j, back]] * factor
-            factor = factor / scale[i]
-        scale[j + 1] = np.maximum(total.max(1, keepdims=True), 1e-300)
-        alpha[j + 1] = total / scale[j + 1]
-        logs[j + 1] = logs[j] + np.log(scale[j + 1])
+            i = n - j + back if backward else j - back
+            end = i - 1 if backward else j
+            if back:
+                nearer = i - 1 if backward else i + 1
+                factor = scale[nearer] if factor is None else np.maximum(factor * scale[nearer], 1e-290)
+            if used[end, back]:
+                part = alpha[i] * table[spans[end, back]]
+                total += part if factor is None else part / factor
+        new, old = (n - j - 1, n - j) if backward else (j + 1, j)
+        scale[new] = np.maximum(total, 1e-300)
+        alpha[new] = total / scale[new]
+        logs[new] = logs[old] + np.log(scale[new])
     return alpha, logs
 
 
-def word_scores(words: list[str], lattice: Lattice, table: np.ndarray) -> np.ndarray:
-    """Log-probability of each word (without word mark) in each language, over all segmentations."""
-    out = np.empty((len(words), table.shape[1]))
+def _groups(words: list[str], lattice: Lattice) -> Iterator[list[int]]:
+    """Places of words of one length, a bounded number at a time."""
     by_length: dict[int, list[int]] = {}
     for k, w in enumerate(words):
         by_length.setdefault(len(w), []).append(k)
     for n, of in by_length.items():
-        step = max(1, min(_GROUP, (1 << 21) // ((n + 1) * lattice.longest)))
+        step = max(1, min(_GROUP, (1 << 21) // ((n + 1) * min(n + 1, lattice.longest))))
         for at in range(0, len(of), step):
-            part = of[at : at + step]
-            spans = lattice.spans(["▁" + words[k] for k in part])
-            alpha, logs = _forward(spans, lattice.extended(table))
-            out[part] = np.log(np.maximum(alpha[-1], 1e-300)) + logs[-1]
-    lattice.fallback.clear()
+            yield of[at : at + step]
+
+
+def word_scores(words: list[str], lattice: Lattice, table: np.ndarray) -> np.ndarray:
+    """Log-probability of each word (with the mark of a word's begin) in each language, over all segmentations."""
+    out = np.empty((len(words), table.shape[1]))
+    for part in _groups(words, lattice):
+        spans = lattice.spans(["▁" + words[k] for k in part])
+        _, logs = _forward(spans, lattice.extended(table), lattice.n_rows - 1)
+        out[part] = logs[-1]
+    lattice.forget()
     return out
 
 
 def expected_counts(words: list[str], counts: np.ndarray, lattice: Lattice, table: np.ndarray) -> np.ndarray:
     """Expected uses of each row, in units of 1 / _UNIT, for one language (table has one column)."""
     out = np.zeros(lattice.n_rows, np.int64)
-    by_length: dict[int, list[int]] = {}
-    for k, w in enumerate(words):
-        if len(w) < 100:  # a longer run of letters is no evidence of spelling
-            by_length.setdefault(len(w), []).append(k)
-    for n, of in by_length.items():
-        step = max(1, min(_GROUP, (1 << 21) // ((n + 1) * lattice.longest)))
-        for at in range(0, len(of), step):
-            part = of[at : at + step]
-            spans = lattice.spans(["▁" + words[k] for k in part])
-            prob = lattice.extended(table)[:, 0]
-            m, length, deep = spans.shape
-            alpha = np.zeros((length + 1, m))
-            beta = np.zeros((length + 1, m))
-            alpha[0] = beta[length] = 1
-            p = prob[spans] * 64.0  # one constant a character keeps the sums in range
-            p *= 64.0 ** np.arange(deep)
-            for j in range(length):
-                for back in range(min(deep, j + 1)):
-                    alpha[j + 1] += alpha[j - back] * p[:, j, back]
-            for j in range(length - 1, -1, -1):
-                for back in range(min(deep, j + 1)):
-                    beta[j - back] += beta[j + 1] * p[:, j, back]
-            weight = counts[part] * _UNIT / np.maximum(alpha[length], 1e-300)
-            back_of = {r: c for c, r in lattice.fallback.items()}
-            for j in range(length):
-                for back in range(min(deep, j + 1)):
-                    use = np.rint(alpha[j - back] * p[:, j, back] * beta[j + 1] * weight).astype(np.int64)
-                    rows = spans[:, j, back]
-                    hit = (use > 0) & (rows != lattice.n_rows - 1)
-                    plain = hit & (rows < lattice.n_rows)
-                    np.add.at(out, rows[plain], use[plain])
-                    for r, u in zip(rows[hit & ~plain].tolist(), use[hit & ~plain].tolist(), strict=True):
-                        for b in lattice.byte_rows(back_of[r]):
-                            out[b] += u
-            lattice.fallback.clear()
+    for part in _groups(words, lattice):
+        spans = lattice.spans(["▁" + words[k] for k in part])
+        n, deep, _ = spans.shape
+        grown = lattice.extended(table)
+        (alpha, before), (beta, after) = (_forward(spans, grown, lattice.n_rows - 1, backward) for backward in (False, True))
+        weight = counts[part] * _UNIT
+        others = np.zeros(len(grown), np.int64)
+        for j in range(n):
+            for back in range(min(deep, j + 1)):
+                rows, i = spans[j, back], j - back
+                on = np.flatnonzero(rows != lattice.n_rows - 1)
+                if len(on):
+                    p = alpha[i, on, 0] * grown[rows[on], 0] * beta[j + 1, on, 0]
+                    p *= np.exp(before[i, on, 0] + after[j + 1, on, 0] - before[n, on, 0])
+                    use = np.rint(p * weight[on]).astype(np.int64)
+                    np.add.at(others, rows[on], use)
+        out += others[: lattice.n_rows]
+        for c, r in lattice.fallback.items():
+            if r < len(others) and others[r]:
+                for b in lattice.byte_rows(c):
+                    out[b] += others[r]
+    lattice.forget()
     return out
 
 
@@ -190,11 +246,12 @@ def fit(
 
     At most about `max_docs_per_language` documents of each language are used, those with the
     smallest hash of doc_id; the bound keeps the fit small, and prediction covers everything.
-    Rows with null text or language teach nothing.
+    Rows with null doc_id, text or language teach nothing.  Words of any length count whole; more than
+    `max_languages` languages are refused, as the model holds vocabulary x languages numbers.
     """
     spark = docs.sparkSession
     known = docs.select("doc_id", F.col("text").cast("string").alias("text"), F.col(lang_col).alias("lang")).where(
-        "text is not null and lang is not null"
+        "doc_id is not null and text is not null and lang is not null"
     )
     sizes = known.groupBy("lang").count().orderBy("lang").limit(max_languages + 1).collect()
     if len(sizes) > max_languages:
@@ -242,34 +299,57 @@ def fit(
     return LanguageModel(languages, pieces, table)
 
 
+class _Numbers(dict):
+    """Words in the order met; new ones are noted down for scoring."""
+
+    def __init__(self) -> None:
+        super().__init__()
+        self.new: list[str] = []
+
+    def __missing__(self, word: str) -> int:
+        self.new.append(word)
+        number = self[word] = len(self)
+        return number
+
+
 class Scorer:
     """Scores texts batch by batch; words are scored once and remembered, up to a bound."""
 
     def __init__(self, model: LanguageModel) -> None:
         self.model, self.lattice = model, Lattice(model.pieces)
-        self.seen: dict[str, int] = {}
-        self.scores = np.empty((0, len(model.languages)))
+        self.memory = min(_CACHE, (1 << 24) // max(1, len(model.languages)))  # words remembered
+        self._forget()
+
+    def _forget(self) -> None:
+        self.words = _Numbers()
+        self.scores = np.empty((1 << 12, len(self.model.languages)))
+
+    def _score_new(self) -> None:
+        new, self.words.new = self.words.new, []
+        if len(self.words) > len(self.scores):
+            self.scores = np.vstack((self.scores, np.empty((len(self.words), self.scores.shape[1]))))
+        if new:  # they are the last ones numbered
+            self.scores[len(self.words) - len(new) : len(self.words)] = word_scores(new, self.lattice, self.model.table)
 
     def __call__(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
         if not self.model.languages:
             return [UNDETERMINED] * len(texts), [0.0] * len(texts)
-        split = [LETTERS.findall(t.lower()) if t else [] for t in texts]
-        new = list({w for words in split for w in words if w not in self.seen})
-        if len(self.seen) + len(new) > _CACHE:
-            self.seen.clear()
-            self.scores = self.scores[:0]
-            new = list({w for words in split for w in words})
-        if new:
-            first = len(self.seen)
-            self.seen.update(zip(new, range(first, first + len(new)), strict=True))
-            self.scores = np.vstack((self.scores, word_scores(new, self.lattice, self.model.table)))
+        if len(self.words) > self.memory:
+            self._forget()
+        number, got, cuts = self.words.__getitem__, [], [0]
+        for t in texts:
+            if t:
+                got.extend(map(number, LETTERS.findall(t.lower())))
+            cuts.append(len(got))
+        self._score_new()
+        codes = np.array(got, np.int64)
         names, best = [], []
-        for text, words in zip(texts, split, strict=True):
-            if not words or not any(c.isalpha() for w in words for c in w):
+        for text, a, b in zip(texts, cuts, cuts[1:], strict=False):
+            if a == b or not any(map(str.isalpha, text)):
                 names.append(UNDETERMINED)
                 best.append(0.0)
                 continue
-            total = self.scores[np.fromiter(map(self.seen.__getitem__, words), np.int64, len(words))].sum(0)
+            total = self.scores[codes[a:b]].sum(0)
             k = int(total.argmax())
             names.append(self.model.languages[k])
             best.append(float(1 / np.exp(total - total[k]).sum()))
@@ -283,8 +363,8 @@ def _apply(docs: DataFrame, model: LanguageModel, columns: list[str], text_at: i
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(shared.value)
         for b in batches:
-            for at in range(0, b.num_rows, 500):
-                part = b.slice(at, 500)
+            for at in range(0, b.num_rows, 1000):
+                part = b.slice(at, 1000)
                 names, scores = scorer(part.column(text_at).to_pylist())
                 if keep is None:
                     done = [*(c for i, c in enumerate(part.columns) if i != text_at), pa.array(names, pa.string()), pa.array(scores)]
@@ -319,6 +399,7 @@ def training_rows(docs: DataFrame) -> DataFrame:
 
 
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, held_out, lang_pred, score.  A row without doc_id has no remainder: it teaches nothing and is not held out."""
     docs = read_table(spark, sf_dir, "documents")
     found = predict(docs, fit(training_rows(docs)))
-    return found.select("doc_id", (crc_mod("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score")
+    return found.select("doc_id", F.coalesce(crc_mod("doc_id", 4) == 2, F.lit(False)).alias("held_out"), "lang_pred", "score")
