@@ -2,16 +2,16 @@
 
 A line is the set of its lower-cased words.  Words are ordered from rare to common (by
 counts over all lines, in hashed buckets: any fixed order is correct, a rarity order is
-fast), and two lines of Jaccard similarity `t` or more share a word within their prefixes.
-Prefix entries meet on the word; lengths and positions rule pairs out; the rest are
-verified on the words themselves.
+fast).  Two sets of Jaccard similarity `t` or more share a word within their prefixes.
+Prefix entries meet on the word; lengths and positions rule pairs out, and so do 64 bits an
+entry (more in long lines), of which each word flips one: two sets differ in at least as many
+words as in bits.  Pairs left are verified on the words of both lines.
 
 A line goes if an earlier line (by doc_id, then line number) is similar enough, whether or
-not that one stays.  So a line needs one witness, not all partners: where a word is in many
-prefixes, its lines are first compared with the earliest of them alone, and only lines left
-without a witness are compared with the others.  Lines with equal word sets collapse before
-anything else.  Entries carry 192 bits, one set by each word: as two sets differ in at least
-as many words as in bits, most pairs that meet by chance go before they are emitted.
+not that one stays.  So a line needs one witness, not all partners.  Where a word is in many
+prefixes, its sets are first compared with the earliest of them alone; those left without a
+witness meet the others on two shared words instead of one, which similar sets also have
+(within prefixes longer by one).  Lines with equal word sets collapse before anything else.
 """
 
 from __future__ import annotations
@@ -21,26 +21,28 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import WORD, checkpoint, free_shuffles, materialize, read_table
+from .common import WORD, drop_table, free_shuffles, materialize, read_table
 
 SIMILARITY = 0.8
-FREQUENCY_BUCKETS = 1 << 17
+FREQUENCY_BITS = 17
 _HASH_BITS = 56
-#: A word in more prefixes than this has its lines compared with the earliest of them first.
-HOT = 1000
-#: 64-bit parts of a set's map of words; a map says little about sets of over some 100 words a part.
-_PARTS = ("x", "y", "z")
+#: A word in more prefixes than this has its sets compared with the earliest of them first.
+HOT = 500
+#: Sets of more words than this carry a larger map of their words.
+_LONG = 80
+_PARTS = 4
+_BITS = [1 << k if k < 63 else -(1 << 63) for k in range(64)]
 
 
-def _words(line: Column) -> Column:
-    """The lower-cased words of a line; most lines have no white space but single blanks, and need no pattern."""
-    odd = F.contains(line, F.lit("\t")) | F.contains(line, F.lit("\r")) | F.contains(line, F.lit("\x0b")) | F.contains(line, F.lit("\x0c"))
-    by_pattern = F.regexp_extract_all(F.lower(line), F.lit(WORD), F.lit(0))
-    return F.when(odd, by_pattern).otherwise(F.array_remove(F.split(F.lower(line), " "), ""))
+def _clean(text: Column) -> Column:
+    """The text with blanks for other white space within its lines; few texts have any."""
+    text = text.cast("string")
+    return F.when(text.rlike(r"[\t\x0B\x0C\r]"), F.regexp_replace(text, r"[\t\x0B\x0C\r]", " ")).otherwise(text)
 
 
-def _hashes(line: Column) -> Column:
-    return F.transform(_words(line), lambda w: F.xxhash64(w))
+def _words(line: Column) -> Column:
+    """The lower-cased words of a line whose white space is blanks."""
+    return F.array_remove(F.split(F.lower(line), " "), "")
 
 
 def _numbered_lines(docs: DataFrame) -> DataFrame:
@@ -48,24 +50,24 @@ def _numbered_lines(docs: DataFrame) -> DataFrame:
     base = docs.select(
         _id(F.col("doc_id")).alias("doc_id"),
         F.xxhash64("text").alias("row"),
-        F.posexplode(F.split(F.col("text").cast("string"), "\n")).alias("line_no", "line"),
+        F.posexplode(F.split(_clean(F.col("text")), "\n")).alias("line_no", "line"),
     )
-    return base.where(F.col("line").rlike(WORD))
+    return base.where(F.ltrim("line") != "")
 
 
 def _id(doc_id: Column) -> Column:
     return F.coalesce(doc_id.cast("long"), F.lit(-(1 << 63)))
 
 
-def word_frequencies(docs: DataFrame, buckets: int = FREQUENCY_BUCKETS) -> list[int]:
+def word_frequencies(docs: DataFrame, bits: int = FREQUENCY_BITS) -> list[int]:
     """Class (up to 127) of each hash bucket of words by its count over all texts, four classes a doubling, rare first."""
     counts = (
-        docs.select(F.explode(_words(F.replace(F.col("text").cast("string"), F.lit("\n"), F.lit(" ")))).alias("w"))
-        .groupBy(F.pmod(F.xxhash64("w"), F.lit(buckets)).cast("int").alias("b"))
+        docs.select(F.explode(F.split(F.lower(F.replace(_clean(F.col("text")), F.lit("\n"), F.lit(" "))), " ")).alias("w"))
+        .groupBy(F.shiftrightunsigned(F.xxhash64("w"), 64 - bits).cast("int").alias("b"))
         .count()
-        .collect()  # at most `buckets` rows
+        .collect()  # at most 2 ** bits rows
     )
-    rank = [0] * buckets
+    rank = [0] * (1 << bits)
     for r in counts:
         rank[r["b"]] = _class(r["count"])
     return rank
@@ -75,17 +77,21 @@ def _class(count: int) -> int:
     return min(127, int(4 * math.log2(1 + count)))
 
 
-def _prefix_length(n: Column, t: float) -> Column:
-    return n - F.ceil(n * F.lit(t) - F.lit(1e-9)).cast("int") + 1
+def _least(n: Column, share: float) -> Column:
+    """The smallest whole number that is at least share * n."""
+    return F.ceil(n * F.lit(share) - F.lit(1e-9)).cast("int")
+
+
+def _table(values: list[int]) -> Column:
+    return F.split(F.lit(",".join(map(str, values))), ",").cast("array<bigint>")
 
 
 def _ordered(line: Column, rank: list[int]) -> Column:
     """A line's distinct words as longs that sort from rare to common: the bucket's class above the word's hash."""
-    table = F.split(F.lit(",".join(map(str, rank))), ",").cast("array<int>")
+    table, shift = _table([c << _HASH_BITS for c in rank]), 65 - len(rank).bit_length()
     coded = F.transform(
-        _hashes(line),
-        lambda h: F.shiftleft(F.get(table, F.pmod(h, F.lit(len(rank))).cast("int")).cast("long"), _HASH_BITS)
-        + F.shiftrightunsigned(h, 64 - _HASH_BITS),
+        F.transform(_words(line), lambda w: F.xxhash64(w)),
+        lambda h: F.get(table, F.shiftrightunsigned(h, shift).cast("int")).bitwiseOR(F.shiftrightunsigned(h, 64 - _HASH_BITS)),
     )
     return F.sort_array(F.array_distinct(coded))
 
@@ -95,111 +101,147 @@ def _jaccard_at_least(a: Column, b: Column, t: float) -> Column:
     return both >= F.lit(t) * (F.size(a) + F.size(b) - both) - F.lit(1e-9)
 
 
-def _bits(words: Column, part: str) -> Column:
-    """One of the 64-bit parts of a map of the words: the bit that the lowest six bits of h name, in the part that those above name."""
-    own = F.filter(words, lambda h: F.shiftrightunsigned(h, 6) % len(_PARTS) == _PARTS.index(part))
-    return F.aggregate(own, F.lit(0).cast("long"), lambda s, h: s.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), h.bitwiseAND(F.lit(63)).cast("int"))))
+def _flips(words: Column, values: list[int]) -> Column:
+    """The exclusive or of a value for each word, by the low bits of its hash."""
+    table = _table(values)
+    return F.aggregate(words, F.lit(0).cast("long"), lambda s, h: s.bitwiseXOR(F.get(table, h.bitwiseAND(F.lit(len(values) - 1)).cast("int"))))
 
 
-def _verified(pairs: DataFrame, words: DataFrame, t: float) -> DataFrame:
-    """(o) of the later sets of the pairs (a, b) whose words are similar enough; words is (o, words) of all sets in pairs."""
-    left, right = (words.select(F.col("o").alias(k), F.col("words").alias(f"w{k}")) for k in "ab")
-    close = pairs.join(left, "a").join(right, "b").where(_jaccard_at_least(F.col("wa"), F.col("wb"), t))
-    return close.select(F.col("b").alias("o")).distinct()
+def _maps(words: Column) -> tuple[Column, Column]:
+    """64 bits of every set; and _PARTS times as many of a long one, with the words dealt to the parts."""
+    parts = [_flips(words, [x for p in range(_PARTS) for x in (_BITS if p == part else [0] * 64)]) for part in range(_PARTS)]
+    return _flips(words, _BITS), F.when(F.size(words) > _LONG, F.array(*parts))
 
 
 def _may_match(t: float) -> Column:
-    """Length filter; positional filter (the words left after the shared one can still reach the overlap);
-    and the bits in which the sets differ are no more than the words in which they may."""
+    """Length filter; positional filter (similar sets also meet at the first word they share, and from
+    there on both still have the overlap before them); and the bits in which the sets differ are no more
+    than the words in which they may."""
     small, large = F.least("na", "nb"), F.greatest("na", "nb")
-    needed = F.ceil(F.lit(t / (1 + t)) * (F.col("na") + F.col("nb")) - F.lit(1e-9))
-    rest = 1 + F.least(F.col("na") - F.col("pa") - 1, F.col("nb") - F.col("pb") - 1)
-    seen = F.least("pa", "pb")
-    differ = sum(F.bit_count(F.col(f"{h}a").bitwiseXOR(F.col(f"{h}b"))) for h in _PARTS)
-    return (small >= F.lit(t) * large - F.lit(1e-9)) & (rest + seen >= needed) & (differ <= F.col("na") + F.col("nb") - 2 * needed)
+    needed = _least(F.col("na") + F.col("nb"), t / (1 + t))
+    may_differ = F.col("na") + F.col("nb") - 2 * needed
+    more = sum(F.bit_count(F.get("ma", F.lit(k)).bitwiseXOR(F.get("mb", F.lit(k)))) for k in range(_PARTS))
+    return (
+        (F.bit_count(F.col("xa").bitwiseXOR(F.col("xb"))) <= may_differ)
+        & (F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb")) >= needed)
+        & (small >= F.lit(t) * large - F.lit(1e-9))
+        & F.coalesce(more <= may_differ, F.lit(True))
+    )
+
+
+_ENTRY = ("s", "n", "p", "x", "m")
+
 
+def _entries(sets: DataFrame, t: float) -> DataFrame:
+    """(word, s, n, p, x, m): the prefix entries of the sets that can have a partner with other words."""
+    able = sets.where(F.col("n") >= F.lit(t / (1 - t) - 1e-9))
+    every = able.select(F.col("th").alias("s"), "n", "x", "m", F.posexplode("prefix").alias("p", "word"))
+    return every.where(F.col("p") <= F.col("n") - _least(F.col("n"), t))
 
-def _entries(sets: DataFrame, side: str) -> DataFrame:
-    """The prefix entries of the sets, named for one side of a pair: (word, side, n, p, x, y)."""
-    index = sets.select("o", "n", *_PARTS, F.posexplode("prefix").alias("p", "word"))
-    return index.select("word", F.col("o").alias(side), *(F.col(c).alias(f"{c}{side}") for c in ("n", "p", *_PARTS)))
+
+def _side(entries: DataFrame, side: str, key: str = "word") -> DataFrame:
+    return entries.select(key, *(F.col(c).alias(f"{c}{side}") for c in _ENTRY))
+
+
+def _word_pairs(sets: DataFrame, heads: DataFrame, t: float) -> DataFrame:
+    """(word, s, n, p, x, m): entries of two words, the first of them in many prefixes and the second from the prefix longer by one."""
+    able = sets.where(F.col("n") >= F.lit(t / (1 - t) - 1e-9))
+    first = able.select(F.col("th").alias("s"), "n", "x", "m", "prefix", F.posexplode("prefix").alias("p", "word"))
+    of_many = first.where(F.col("p") <= F.col("n") - _least(F.col("n"), t)).join(heads.select("word"), "word", "left_semi")
+    later = F.slice("prefix", F.col("p") + 2, F.size("prefix"))
+    return of_many.select("s", "n", "x", "m", "p", "word", F.explode(later).alias("next")).select(
+        F.xxhash64("word", "next").alias("word"), "s", "n", "p", "x", "m"
+    )
 
 
 def similar_lines(docs: DataFrame, t: float = SIMILARITY, hot: int = HOT) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """The lines (doc_id, row, line_no, th); the word sets (th, o, first); and the o of those with an earlier similar set.
+    """The lines (doc_id, row, line_no, th); the word sets (th, first); and the th of those with an earlier similar set.
 
     Sets are told apart by 64 bits of hash.  `hot` decides on the order of comparisons, not on the result."""
     rank, lines, spark = word_frequencies(docs), _numbered_lines(docs), docs.sparkSession
-    n = F.size("words")
-    keyed = materialize(
+    n, (x, more) = F.size("words"), _maps(F.col("words"))
+    full = materialize(
         lines.select("doc_id", "row", "line_no", _ordered(F.col("line"), rank).alias("words")).select(
             "doc_id",
             "row",
             "line_no",
             F.xxhash64("words").alias("th"),
-            F.struct(
-                n.alias("n"),
-                *(_bits(F.col("words"), part).alias(part) for part in _PARTS),
-                F.slice("words", F.lit(1), _prefix_length(n, t)).alias("prefix"),
-            ).alias("set"),
+            F.struct(n.alias("n"), x.alias("x"), more.alias("m"), F.slice("words", F.lit(1), n - _least(n, t) + 2).alias("prefix")).alias("set"),
         ),
         "lines",
     )
-    ordered = (
-        keyed.groupBy("th")
-        .agg(F.min(F.struct("doc_id", "line_no", "row")).alias("first"), F.first("set").alias("set"))
-        .select("th", "first", "set.*")
-        .repartitionByRange("first")
-        .sortWithinPartitions("first")
+    keyed = materialize(full.select("doc_id", "row", "line_no", "th"), "lines")
+    sets = materialize(
+        full.groupBy("th").agg(F.min(F.struct("doc_id", "line_no", "row")).alias("first"), F.first("set").alias("set")).select("th", "first", "set.*"),
+        "line-sets",
     )
-    # o numbers the sets in the order of their first lines, and names them from here on
-    sets = materialize(ordered.withColumn("o", F.monotonically_increasing_id()), "line-sets")
-    del ordered
+    drop_table(full)
     free_shuffles(spark)
-    # round 1: the sets of each word in many prefixes against the earliest of them
+    # words in many prefixes, and the earliest set of each
     least = _class(hot) << _HASH_BITS  # no word of a lower class is in more than `hot` prefixes
-    b = _entries(sets, "b").where(F.col("word") >= least)
-    heads = b.groupBy("word").agg(F.count(F.lit(1)).alias("k"), F.min(F.struct("b", "nb", "pb", *(f"{part}b" for part in _PARTS))).alias("h")).where(F.col("k") > hot)
-    # a table, so that its size is known and the join moves little where it is small
-    heads = materialize(heads.select("word", *(F.col(f"h.{c}b").alias(f"{c}a") for c in ("n", "p", *_PARTS)), F.col("h.b").alias("a")), "line-heads")
-    star = b.join(heads, "word").where("a < b")
-    stars = materialize(star.where(_may_match(t)).select("a", "b").distinct(), "line-stars")
-    del star, b, heads
-    free_shuffles(spark)
-    settled = materialize(_verified(stars, _words_of(lines, sets, stars, rank), t), "line-settled")
+    often = sets.where(F.element_at("prefix", -1) >= least)
+    crowd = often.join(_entries(often, t).where(F.col("word") >= least).withColumnRenamed("s", "th").select("th", "word", "p"), "th")
+    heads = crowd.groupBy("word").agg(F.count(F.lit(1)).alias("k"), F.min(F.struct("first", "th", "n", "p", "x", "m")).alias("h")).where(F.col("k") > hot)
+    heads = materialize(heads.select("word", F.col("h.th").alias("s"), "h.n", "h.p", "h.x", "h.m"), "line-heads")
+    del often, crowd
+    many = heads.select(F.col("word"), F.lit(1).alias("many"))
+    entries = _entries(sets, t)
+    few = entries if heads.isEmpty() else entries.join(many, "word", "left_anti")
+    pairs = _side(few, "a").join(_side(few, "b"), "word").where("sa < sb").where(_may_match(t)).select("sa", "sb")  # one shuffle serves both sides
+    if not heads.isEmpty():
+        star = _side(entries, "b").where(F.col("word") >= least).join(_side(heads, "a"), "word").where("sa <> sb")
+        pairs = pairs.unionByName(star.where(_may_match(t)).select("sa", "sb"))
+    ends = F.least("sa", "sb").alias("a"), F.greatest("sa", "sb").alias("b")
+    pairs = materialize(pairs.select(*ends).distinct(), "line-pairs")
+    del few, entries
     free_shuffles(spark)
-    # round 2: sets without a witness against all earlier sets that share a word of the prefix
-    # (both sides are the same entries, so they are shuffled once; o is doubled, odd where the set has a witness)
-    doubled = 2 * F.col("o") + F.coalesce("has", F.lit(0))
-    marked = sets.join(settled.withColumn("has", F.lit(1)), "o", "left").withColumn("o", doubled)
-    a, b = F.shiftright("a", 1), F.shiftright("b", 1)
-    met = _entries(marked, "b").join(_entries(marked, "a"), "word").where("a is not null and b is not null").where(a < F.when(F.col("b") % 2 == 0, b)).where(_may_match(t))
-    pairs = met.select(a.alias("a"), b.alias("b")).distinct()
-    pairs = materialize(pairs.join(stars, ["a", "b"], "left_anti"), "line-pairs")
-    del marked, met
+    gone = _later(docs, sets, pairs, rank, t)
+    if not heads.isEmpty():
+        # sets without a witness against all others, where they share a word of many prefixes and one more
+        double = _word_pairs(sets, heads, t).join(gone.select(F.col("th").alias("s"), F.lit(True).alias("has")), "s", "left")
+        double = materialize(double, "line-doubles")
+        left = _side(double.where("has is null"), "a").join(_side(double, "b"), "word").where("sa <> sb")
+        rest = materialize(left.where(_may_match(t)).select(*ends).distinct().join(pairs, ["a", "b"], "left_anti"), "line-pairs")
+        drop_table(double)
+        free_shuffles(spark)
+        if not rest.isEmpty():
+            gone = materialize(gone.unionByName(_later(docs, sets, rest, rank, t)).distinct(), "line-settled")
+            free_shuffles(spark)
+    return keyed, sets.select("th", "first"), gone
+
+
+def _later(docs: DataFrame, sets: DataFrame, pairs: DataFrame, rank: list[int], t: float) -> DataFrame:
+    """(th) of the later sets of the pairs whose words are similar enough."""
+    spark = docs.sparkSession
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("th")).distinct()
+    wanted = (
+        sets.select("th", "first")
+        .join(ends, "th", "left_semi")
+        .groupBy(F.col("first.doc_id").alias("doc_id"), F.col("first.row").alias("row"))
+        .agg(F.collect_list(F.struct("th", F.col("first.line_no").alias("line_no"))).alias("wanted"))
+    )
+    # whole texts move, of documents with such lines, and only those lines are read for words
+    texts = docs.select(_id(F.col("doc_id")).alias("doc_id"), F.xxhash64("text").alias("row"), F.col("text").cast("string").alias("text"))
+    found = texts.join(materialize(wanted, "line-ends"), ["doc_id", "row"])
+    found = found.select(F.split(_clean(F.col("text")), "\n").alias("lines"), F.explode("wanted").alias("e"))
+    words = found.select(F.col("e.th").alias("th"), _ordered(F.get("lines", F.col("e.line_no")), rank).alias("words"))
+    words = materialize(words.dropDuplicates(["th"]), "line-words")
+    del found, texts
     free_shuffles(spark)
-    gone = checkpoint(settled.unionByName(_verified(pairs, _words_of(lines, sets, pairs, rank), t)).distinct())
+    ended = words.join(sets.select("th", "first"), "th")
+    left, right = (ended.select(F.col("th").alias(k), F.col("words").alias(f"w{k}"), F.col("first").alias(f"f{k}")) for k in "ab")
+    close = pairs.join(left, "a").join(right, "b").where(_jaccard_at_least(F.col("wa"), F.col("wb"), t))
+    gone = materialize(close.select(F.when(F.col("fa") > F.col("fb"), F.col("a")).otherwise(F.col("b")).alias("th")).distinct(), "line-settled")
+    del close, left, right, ended
+    drop_table(words)
     free_shuffles(spark)
-    return keyed.select("doc_id", "row", "line_no", "th"), sets.select("th", "o", "first"), gone
-
-
-def _words_of(lines: DataFrame, sets: DataFrame, pairs: DataFrame, rank: list[int]) -> DataFrame:
-    """(o, words) of the sets in pairs, read again from the first line of each."""
-    ends = pairs.select(F.explode(F.array("a", "b")).alias("o")).distinct()
-    at = sets.join(ends, "o", "left_semi").select(
-        "o", F.col("first.doc_id").alias("doc_id"), F.col("first.row").alias("row"), F.col("first.line_no").alias("line_no")
-    )
-    found = lines.join(materialize(at, "line-ends"), ["doc_id", "row", "line_no"]).select("o", _ordered(F.col("line"), rank).alias("words"))
-    words = materialize(found.dropDuplicates(["o"]), "line-words")
-    del found
-    free_shuffles(lines.sparkSession)
-    return words
+    return gone
 
 
 def _verdicts(docs: DataFrame, t: float) -> DataFrame:
     """(doc_id, row, n_lines, removed): lines with a word, and the numbers (from 0) of those that go."""
     lines, sets, gone = similar_lines(docs, t)
-    judged = lines.join(sets.join(gone.withColumn("gone", F.lit(True)), "o", "left"), "th")
+    judged = lines.join(sets.join(gone.withColumn("gone", F.lit(True)), "th", "left"), "th")
     out = F.coalesce("gone", F.lit(False)) | (F.struct("doc_id", "line_no", "row") != F.col("first"))
     return (
         judged.select("doc_id", "row", "line_no", out.alias("out"))

@@ -69,5 +69,42 @@ def test_comparing_with_the_earliest_first_changes_nothing(spark):
     want = {i for i, (_, gone) in brute(dict(lined)).items() if gone}
     for hot in (1, 1 << 40):
         _, sets, gone = lines.similar_lines(rows, hot=hot)
-        kept = {r["doc_id"] for r in sets.join(gone, "o", "left_anti").select("first.doc_id").collect()}
+        kept = {r["doc_id"] for r in sets.join(gone, "th", "left_anti").select("first.doc_id").collect()}
         assert set(range(80)) - kept == want and 5 < len(want) < 75, hot
+
+
+def test_crowded_words_meet_on_two(spark):
+    """Words in many prefixes: sets left without a witness are found by pairs of words, near copies by the earliest."""
+    rng = np.random.default_rng(8)
+    common = [f"c{x}" for x in range(9)]
+    lined = []
+    for i in range(300):
+        if i % 3 == 0:
+            words = [*common, *(f"z{x}" for x in rng.choice(40, 2, replace=False))]
+        else:
+            words = list(rng.choice([*common, *(f"q{x}" for x in range(12))], int(rng.integers(4, 9)), replace=False))
+        lined.append((i, " ".join(words)))
+    rows = spark.createDataFrame(lined, "doc_id long, text string").repartition(3)
+    want = brute(dict(lined))
+    for hot in (3, 20, 1 << 40):
+        _, sets, gone = lines.similar_lines(rows, hot=hot)
+        kept = {r["doc_id"] for r in sets.join(gone, "th", "left_anti").select("first.doc_id").collect()}
+        first = {}
+        for i, t in lined:
+            first.setdefault(frozenset(t.split()), i)
+        assert kept == {i for i in first.values() if not want[i][1]} and 20 < len(kept) < len(first), hot
+
+
+def test_long_lines(spark):
+    """Lines of some hundred words, near copies and others that share many words."""
+    rng = np.random.default_rng(11)
+    lined, base = [], None
+    for i in range(60):
+        if i % 4 == 0:
+            base = [f"w{x}" for x in rng.choice(500, int(rng.integers(70, 300)), replace=False)]
+        words = list(base)
+        for k in rng.choice(len(base), int(len(base) * rng.choice([0.02, 0.09, 0.11, 0.13, 0.3])), replace=False):
+            words[k] = f"x{rng.integers(0, 300)}"
+        lined.append((i, "\t".join(words) if i % 5 == 0 else " ".join(words)))
+    want = brute(dict(lined))
+    assert marked(spark.createDataFrame(lined, "doc_id long, text string")) == want and 5 < sum(len(g) for _, g in want.values()) < 50
