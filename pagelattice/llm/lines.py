@@ -132,10 +132,10 @@ def _may_match(t: float) -> Column:
 _ENTRY = ("s", "n", "p", "x", "m")
 
 
-def _entries(sets: DataFrame, t: float) -> DataFrame:
+def _entries(sets: DataFrame, t: float, *more: str) -> DataFrame:
     """(word, s, n, p, x, m): the prefix entries of the sets that can have a partner with other words."""
     able = sets.where(F.col("n") >= F.lit(t / (1 - t) - 1e-9))
-    every = able.select(F.col("th").alias("s"), "n", "x", "m", F.posexplode("prefix").alias("p", "word"))
+    every = able.select(F.col("th").alias("s"), "n", "x", "m", *more, F.posexplode("prefix").alias("p", "word"))
     return every.where(F.col("p") <= F.col("n") - _least(F.col("n"), t))
 
 
@@ -143,11 +143,11 @@ def _side(entries: DataFrame, side: str, key: str = "word") -> DataFrame:
     return entries.select(key, *(F.col(c).alias(f"{c}{side}") for c in _ENTRY))
 
 
-def _word_pairs(sets: DataFrame, heads: DataFrame, t: float) -> DataFrame:
+def _word_pairs(sets: DataFrame, crowded: DataFrame, t: float) -> DataFrame:
     """(word, s, n, p, x, m): entries of two words, the first of them in many prefixes and the second from the prefix longer by one."""
     able = sets.where(F.col("n") >= F.lit(t / (1 - t) - 1e-9))
     first = able.select(F.col("th").alias("s"), "n", "x", "m", "prefix", F.posexplode("prefix").alias("p", "word"))
-    of_many = first.where(F.col("p") <= F.col("n") - _least(F.col("n"), t)).join(heads.select("word"), "word", "left_semi")
+    of_many = first.where(F.col("p") <= F.col("n") - _least(F.col("n"), t)).join(crowded, "word", "left_semi")
     later = F.slice("prefix", F.col("p") + 2, F.size("prefix"))
     return of_many.select("s", "n", "x", "m", "p", "word", F.explode(later).alias("next")).select(
         F.xxhash64("word", "next").alias("word"), "s", "n", "p", "x", "m"
@@ -179,26 +179,29 @@ def similar_lines(docs: DataFrame, t: float = SIMILARITY, hot: int = HOT) -> tup
     free_shuffles(spark)
     # words in many prefixes, and the earliest set of each
     least = _class(hot) << _HASH_BITS  # no word of a lower class is in more than `hot` prefixes
-    often = sets.where(F.element_at("prefix", -1) >= least)
-    crowd = often.join(_entries(often, t).where(F.col("word") >= least).withColumnRenamed("s", "th").select("th", "word", "p"), "th")
-    heads = crowd.groupBy("word").agg(F.count(F.lit(1)).alias("k"), F.min(F.struct("first", "th", "n", "p", "x", "m")).alias("h")).where(F.col("k") > hot)
-    heads = materialize(heads.select("word", F.col("h.th").alias("s"), "h.n", "h.p", "h.x", "h.m"), "line-heads")
-    del often, crowd
-    many = heads.select(F.col("word"), F.lit(1).alias("many"))
     entries = _entries(sets, t)
-    few = entries if heads.isEmpty() else entries.join(many, "word", "left_anti")
-    pairs = _side(few, "a").join(_side(few, "b"), "word").where("sa < sb").where(_may_match(t)).select("sa", "sb")  # one shuffle serves both sides
-    if not heads.isEmpty():
+    crowded = entries.where(F.col("word") >= least).groupBy("word").count().where(F.col("count") > hot).select("word")
+    crowded = materialize(crowded, "line-crowded")
+    free_shuffles(spark)
+    some = bool(crowded.head(1))
+    of_crowded = _entries(sets, t, "first").join(crowded, "word", "left_semi")
+    heads = of_crowded.groupBy("word").agg(F.min(F.struct("first", *_ENTRY)).alias("h")).select("word", *(f"h.{c}" for c in _ENTRY))
+    heads = materialize(heads, "line-heads") if some else None
+    few = entries.join(crowded, "word", "left_anti") if some else entries
+    # without the crowded words no key has many rows: hashed, not sorted, and one shuffle serves both sides
+    met = _side(few, "a").join(_side(few, "b").hint("shuffle_hash"), "word")
+    pairs = met.where("sa < sb").where(_may_match(t)).select("sa", "sb")
+    if some:
         star = _side(entries, "b").where(F.col("word") >= least).join(_side(heads, "a"), "word").where("sa <> sb")
         pairs = pairs.unionByName(star.where(_may_match(t)).select("sa", "sb"))
     ends = F.least("sa", "sb").alias("a"), F.greatest("sa", "sb").alias("b")
     pairs = materialize(pairs.select(*ends).distinct(), "line-pairs")
-    del few, entries
+    del few, entries, met, of_crowded
     free_shuffles(spark)
     gone = _later(docs, sets, pairs, rank, t)
-    if not heads.isEmpty():
+    if some:
         # sets without a witness against all others, where they share a word of many prefixes and one more
-        double = _word_pairs(sets, heads, t).join(gone.select(F.col("th").alias("s"), F.lit(True).alias("has")), "s", "left")
+        double = _word_pairs(sets, crowded, t).join(gone.select(F.col("th").alias("s"), F.lit(True).alias("has")), "s", "left")
         double = materialize(double, "line-doubles")
         left = _side(double.where("has is null"), "a").join(_side(double, "b"), "word").where("sa <> sb")
         rest = materialize(left.where(_may_match(t)).select(*ends).distinct().join(pairs, ["a", "b"], "left_anti"), "line-pairs")
