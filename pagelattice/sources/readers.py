@@ -19,12 +19,18 @@ PRODUCT_SCHEMA = (
     f"specByCode:array<struct<id:string,code:string,size:string,surface:string,priceBand:string,packing:map<string,string>,prov:{PROV}>>>>"
 )
 
+REVIEW_SCHEMA = (
+    "brand string, doc_id long, bindingVersion string, "
+    "items array<struct<page_no:long,word_no:long,code:string,reason:string,nameHint:struct<page:long,swatchIdx:long>>>, "
+    "skeletonSwatches array<struct<page_no:long,sw_idx:long,bbox:array<double>>>"
+)
+
 
 def scan_files(spark: SparkSession, folder: str, pattern: str = "*.pdf") -> DataFrame:
     """(path, vendor, file_name, stem, bytes, md5) of every file below folder, hidden resource files (._*) left out,
-    in path order when collected by it.  vendor is the first folder below `folder`."""
+    in path order when collected by it.  vendor is the first part of the path below `folder`."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", pattern).load(folder)
-    below = F.regexp_extract("path", r"([^/]+)/[^/]+$", 1)
+    below = F.regexp_extract("path", rf"(?:^|/)\Q{folder.strip('/')}\E/+([^/]+)", 1)
     name = F.regexp_extract("path", r"([^/]+)$", 1)
     return files.select(
         "path", below.alias("vendor"), name.alias("file_name"), F.regexp_replace(name, r"\.[^.]+$", "").alias("stem"), "length", F.md5("content").alias("md5")
@@ -45,13 +51,22 @@ def write_counts(counts: DataFrame, path: str) -> None:
 
 
 def write_products(products: DataFrame, path: str) -> None:
-    """One folder a brand, one JSON object a document."""
+    """One folder a brand, one JSON object a document; the brand is read back from the folder."""
     products.write.mode("overwrite").partitionBy("brand").json(path)
 
 
+def write_reviews(reviews: DataFrame, path: str) -> None:
+    """Review documents (brand, doc_id, bindingVersion, items, skeletonSwatches), as write_products does."""
+    reviews.write.mode("overwrite").partitionBy("brand").json(path)
+
+
+def read_reviews(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(REVIEW_SCHEMA).json(path)
+
+
 def read_products(spark: SparkSession, path: str, schema: str = PRODUCT_SCHEMA) -> DataFrame:
     """Product documents below path, without review and side-car files, under a declared schema."""
-    found = spark.read.schema(schema).option("recursiveFileLookup", True).option("basePath", path).json(path)
+    found = spark.read.schema(schema).json(path)
     file = F.col("_metadata.file_name")
     side = file.endswith(".review.json") | file.endswith(".capcodes.json") | file.startswith("._")
     return found.withColumn("file", file).where(~side)

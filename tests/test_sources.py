@@ -11,8 +11,8 @@ def test_scan_files(spark, tmp_path):
     for name, data in {"acme/a.pdf": b"1", "acme/._a.pdf": b"2", "beta/sub/b.pdf": b"3", "beta/c.txt": b"4"}.items():
         (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
         (tmp_path / name).write_bytes(data)
-    got = {r["file_name"]: (r["stem"], r["md5"]) for r in readers.scan_files(spark, str(tmp_path)).collect()}
-    assert got == {"a.pdf": ("a", hashlib.md5(b"1").hexdigest()), "b.pdf": ("b", hashlib.md5(b"3").hexdigest())}
+    got = {r["file_name"]: (r["vendor"], r["stem"], r["md5"]) for r in readers.scan_files(spark, str(tmp_path)).collect()}
+    assert got == {"a.pdf": ("acme", "a", hashlib.md5(b"1").hexdigest()), "b.pdf": ("beta", "b", hashlib.md5(b"3").hexdigest())}
 
 
 def test_counts_round_trip_and_unique_key(spark, tmp_path):
@@ -30,7 +30,15 @@ def test_products_round_trip(spark, tmp_path):
     readers.write_products(df, str(tmp_path / "out"))
     (tmp_path / "out" / "brand=acme" / "x.review.json").write_text('{"doc_id": 9}\n')
     got = readers.read_products(spark, str(tmp_path / "out")).collect()
-    assert [(r["doc_id"], r["series"][0]["seriesName"]) for r in got] == [(7, "S")]
+    assert [(r["brand"], r["doc_id"], r["series"][0]["seriesName"]) for r in got] == [("acme", 7, "S")]
+
+
+def test_reviews_round_trip(spark, tmp_path):
+    rows = [("acme", 7, "v12", [(1, 3, "AB12", "orphan", (2, 0)), (1, 5, "AB13", "icon_demoted", None)], []), ("beta", 8, "v12", [], [(1, 0, [1.0, 2.0, 3.0, 4.0])])]
+    readers.write_reviews(spark.createDataFrame(rows, readers.REVIEW_SCHEMA), str(tmp_path / "reviews"))
+    got = readers.read_reviews(spark, str(tmp_path / "reviews")).orderBy("doc_id").collect()
+    assert [(r["brand"], r["doc_id"], len(r["items"]), len(r["skeletonSwatches"])) for r in got] == [("acme", 7, 2, 0), ("beta", 8, 0, 1)]
+    assert got[0]["items"][0]["nameHint"]["page"] == 2 and got[0]["items"][1]["nameHint"] is None
 
 
 def test_census_keeps_failures(spark):

@@ -58,11 +58,11 @@ def test_geometry(spark):
 
 
 def words(spark, *rows):
-    return spark.createDataFrame([(1, 1, k, *r) for k, r in enumerate(rows)], "doc_id long, page_no long, word_no long, x0 double, y0 double, x1 double, y1 double, text string")
+    return spark.createDataFrame([(1, 1, k, *map(float, r[:4]), r[4]) for k, r in enumerate(rows)], "doc_id long, page_no long, word_no long, x0 double, y0 double, x1 double, y1 double, text string")
 
 
 def swatches(spark, *rows):
-    return spark.createDataFrame([(1, 1, k, *r) for k, r in enumerate(rows)], "doc_id long, page_no long, sw_idx long, x0 double, y0 double, x1 double, y1 double")
+    return spark.createDataFrame([(1, 1, k, *map(float, r)) for k, r in enumerate(rows)], "doc_id long, page_no long, sw_idx long, x0 double, y0 double, x1 double, y1 double")
 
 
 @pytest.mark.parametrize(
