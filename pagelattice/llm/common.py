@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from pagelattice.operators.components import checkpoint, ensure_checkpoint_dir
 
-__all__ = ["checkpoint", "crc_mod", "drop_table", "free_shuffles", "materialize", "read_table", "shared_path", "word_count"]
+__all__ = ["checkpoint", "crc_mod", "drop_table", "free_shuffles", "fresh", "materialize", "read_table", "row_key", "shared_path", "with_row_id", "word_count"]
 
 #: A word of the white-space split: anything but ASCII space and \t \n \v \f \r.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -60,6 +60,26 @@ def drop_table(df: DataFrame) -> None:
         _delete(df.sparkSession, file)
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name like `name` that df does not have, whatever the case of its letters."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def row_key(doc_id: Column, *more: Column) -> list[Column]:
+    """Two longs, never null, that are equal where doc_id and the other columns are."""
+    doc_id = doc_id.cast("long")
+    return [F.coalesce(doc_id, F.lit(-(1 << 63))), F.xxhash64(doc_id, *more)]
+
+
+def with_row_id(docs: DataFrame) -> tuple[DataFrame, str]:
+    """docs with a row number that stays the same, written once; and its name, which no column has."""
+    name = fresh(docs, "row_id")
+    return materialize(docs.withColumn(name, F.monotonically_increasing_id()), "rows"), name
+
+
 def free_shuffles(spark: SparkSession) -> None:
     """Let Spark remove the shuffle files of plans that nothing refers to any more: they go when the
     driver collects its garbage, which in a job of many steps may be long after their last use."""

@@ -1,9 +1,9 @@
 """Benchmark decontamination: a hash set of normalised test n-grams against training token windows.
 
-The set is broadcast after its size has been checked; each window of a document is looked
-up by a rolling 64-bit hash and every hit is verified word by word.  A test set over the
-bound takes the other way: windows of both sides are shuffled on their hash and joined on
-hash and text.
+The set is broadcast after its rows and bytes have been counted; each window of a document is
+looked up by a rolling 64-bit hash and every hit is verified word by word.  A test set over
+the bounds takes the other way: the documents send 64-bit hashes of their windows, those
+that a benchmark window shares are read again, and joined with the windows on their text.
 """
 
 from __future__ import annotations
@@ -13,10 +13,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import checkpoint, read_table
+from .common import checkpoint, fresh, read_table, with_row_id
 
 #: Word bytes: digits, a-z and every byte of a non-ASCII character; A-Z is lower-cased, the rest separates.
 NORMALISE = bytes(
@@ -91,7 +92,7 @@ class WindowSet:
 
 
 def benchmark_windows(benchmark: DataFrame, n: int = 10) -> DataFrame:
-    """(window, size, items): distinct windows as words joined by one space, with their items as strings.
+    """(window, size, item): the distinct windows of each item, as words joined by one space; items are strings.
     Null texts and texts without a word give none; rows without item_id count together as one item, null."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -107,12 +108,7 @@ def benchmark_windows(benchmark: DataFrame, n: int = 10) -> DataFrame:
             )
 
     items = benchmark.select(F.col("item_id").cast("string"), F.col("text").cast("string"))
-    nameless = F.when(F.max(F.col("item").isNull()), F.array(F.lit(None).cast("string"))).otherwise(F.array().cast("array<string>"))
-    return (
-        items.mapInArrow(run, "window string, size int, item string")
-        .groupBy("window", "size")
-        .agg(F.concat(F.sort_array(F.collect_set("item")), nameless).alias("items"))
-    )
+    return items.mapInArrow(run, "window string, size int, item string").distinct()
 
 
 def _digest(items: set[str | None]) -> str:
@@ -123,7 +119,16 @@ _SCAN = "doc_id long, n_words long, n_hit long, n_items long, items_sha256 strin
 
 
 def _window_set(windows: DataFrame) -> WindowSet:
-    return WindowSet([(tuple(r["window"].encode().split(b" ")), list(r["items"])) for r in windows.collect()])
+    """The windows on the driver: their number and bytes have been checked."""
+    items: dict[str, list[str | None]] = {}
+    for r in windows.collect():
+        items.setdefault(r["window"], []).append(r["item"])
+    return WindowSet([(tuple(w.encode().split(b" ")), own) for w, own in items.items()])
+
+
+def _fits(windows: DataFrame, most: int, most_bytes: int) -> bool:
+    size = windows.agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("window") + F.coalesce(F.octet_length("item"), F.lit(0))).alias("b")).first()
+    return size["n"] <= most and (size["b"] or 0) <= most_bytes
 
 
 def _scan_broadcast(docs: DataFrame, windows: DataFrame) -> DataFrame:
@@ -147,34 +152,52 @@ def _scan_broadcast(docs: DataFrame, windows: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, _SCAN)
 
 
-def _scan_joined(docs: DataFrame, windows: DataFrame) -> DataFrame:
-    """The way for a large benchmark: no side is broadcast, windows meet in a shuffle."""
+def _positions(base: DataFrame, windows: DataFrame) -> DataFrame:
+    """(row_id, at, size, window) of every occurrence of a window in base (row_id, text).  Nothing is broadcast:
+    documents send 16 bytes a window, and texts move again only where a hash is shared."""
     lengths = sorted(r["size"] for r in windows.select("size").distinct().collect())  # at most n values
-    base = checkpoint(docs.withColumn("row_id", F.monotonically_increasing_id()))
 
-    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for row, text in zip(b.column(2).to_pylist(), b.column(1).cast(pa.binary()).to_pylist(), strict=True):
+            for row, text in zip(b.column(0).to_pylist(), b.column(1).cast(pa.binary()).to_pylist(), strict=True):
                 words = normal_words(text)
                 for k in lengths:
                     n = max(0, len(words) - k + 1)
-                    for at in range(0, n, 10_000):
-                        part = [b" ".join(words[i : i + k]).decode("utf-8", "replace") for i in range(at, min(n, at + 10_000))]
-                        yield pa.RecordBatch.from_arrays(
-                            [
-                                pa.array([row] * len(part), pa.int64()),
-                                pa.array(range(at, at + len(part)), pa.int64()),
-                                pa.array(part, pa.string()),
-                            ],
-                            ["row_id", "at", "window"],
-                        )
-
-    found = checkpoint(
-        base.mapInArrow(emit, "row_id long, at long, window string")
-        .withColumn("h", F.xxhash64("window"))
-        .join(windows.withColumn("h", F.xxhash64("window")), ["h", "window"])
-        .select("row_id", "at", "size", "items")
-    )
+                    for at in range(0, n, 100_000):
+                        h = {xxhash.xxh64_intdigest(b" ".join(words[i : i + k])) for i in range(at, min(n, at + 100_000))}
+                        found = np.fromiter(h, np.uint64, len(h)).view(np.int64)
+                        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(h), row)), pa.array(found)], ["row_id", "h"])
+
+    def known(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            h = [xxhash.xxh64_intdigest(w) for w in b.column(0).cast(pa.binary()).to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array(np.array(h, np.uint64).view(np.int64))], ["h"])
+
+    sought = windows.select("window").distinct().mapInArrow(known, "h long").distinct()
+    shared = base.select("row_id", "text").mapInArrow(hashed, "row_id long, h long").join(sought, "h", "left_semi")
+    rows = checkpoint(shared.groupBy("row_id").agg(F.collect_set("h").alias("shared")))
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for row, text, own in zip(b.column(0).to_pylist(), b.column(1).cast(pa.binary()).to_pylist(), b.column(2).to_pylist(), strict=True):
+                words, own = normal_words(text), {h % (1 << 64) for h in own}
+                for k in lengths:
+                    windows = ((i, b" ".join(words[i : i + k])) for i in range(len(words) - k + 1))
+                    got = [(i, w.decode("utf-8", "replace")) for i, w in windows if xxhash.xxh64_intdigest(w) in own]
+                    if got:
+                        at, texts = zip(*got, strict=True)
+                        columns = [pa.array([row] * len(got), pa.int64()), pa.array(at, pa.int64()), pa.array([k] * len(got), pa.int32()), pa.array(texts, pa.string())]
+                        yield pa.RecordBatch.from_arrays(columns, ["row_id", "at", "size", "window"])
+
+    met = base.select("row_id", "text").join(rows, "row_id").mapInArrow(read, "row_id long, at long, size int, window string")
+    return checkpoint(met.join(windows.select("window").distinct(), "window", "left_semi").select("row_id", "at", "size", "window"))
+
+
+def _scan_joined(docs: DataFrame, windows: DataFrame) -> DataFrame:
+    """The way for a large benchmark: no side is broadcast."""
+    base, key = with_row_id(docs)
+    base = base.select(F.col(key).alias("row_id"), "doc_id", "text")
+    found = _positions(base, windows)
     before = Window.partitionBy("row_id").orderBy("at", "size").rowsBetween(Window.unboundedPreceding, -1)
     end = F.col("at") + F.col("size")
     reach = F.coalesce(F.max(end).over(before), F.lit(0))
@@ -184,7 +207,10 @@ def _scan_joined(docs: DataFrame, windows: DataFrame) -> DataFrame:
         .agg(F.sum("new").alias("n_hit"))
     )
     items = (
-        found.select("row_id", F.explode("items").alias("item"))
+        found.select("row_id", "window")
+        .distinct()
+        .join(windows.select("window", "item"), "window")
+        .select("row_id", "item")
         .distinct()
         .groupBy("row_id")
         .agg(F.count(F.lit(1)).alias("n_items"), F.array_join(F.sort_array(F.collect_list("item")), ",").alias("listed"))
@@ -211,35 +237,62 @@ def _narrow(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
 
-def scan(docs: DataFrame, benchmark: DataFrame, n: int = 10, max_broadcast_windows: int = 500_000) -> DataFrame:
+def scan(docs: DataFrame, benchmark: DataFrame, n: int = 10, max_broadcast_windows: int = 500_000, max_broadcast_bytes: int = 1 << 27) -> DataFrame:
     """One row per document row: doc_id, n_words, n_hit, n_items, items_sha256, contaminated.
 
     A null text has no words and no hit.  Repeated rows are scanned each; an empty benchmark
-    hits nothing; items with equal texts all count.  A benchmark of more than
-    `max_broadcast_windows` distinct windows is joined by shuffle instead of broadcast, with
-    the same result.  Other columns of either table are not read.
+    hits nothing; items with equal texts all count.  A benchmark of more windows (counted by
+    item) or bytes than the bounds is joined by shuffle instead of broadcast, with the same
+    result.  Other columns of either table are not read.
     """
     windows = checkpoint(benchmark_windows(benchmark, n))
-    small = windows.count() <= max_broadcast_windows
+    small = _fits(windows, max_broadcast_windows, max_broadcast_bytes)
     return (_scan_broadcast if small else _scan_joined)(_narrow(docs), windows)
 
 
 def remove(
-    docs: DataFrame, benchmark: DataFrame, n: int = 10, what: str = "documents", max_broadcast_windows: int = 500_000
+    docs: DataFrame,
+    benchmark: DataFrame,
+    n: int = 10,
+    what: str = "documents",
+    max_broadcast_windows: int = 500_000,
+    max_broadcast_bytes: int = 1 << 27,
 ) -> DataFrame:
     """The documents without benchmark passages, columns as they come.
 
-    what="documents" drops every document with a hit; what="spans" cuts the hit words out of
-    the text (from the first to the last byte of each run of hit words) and keeps the
-    document.  Over the bound, documents go by an anti-join on doc_id; spans then raise.
+    what="documents" drops every row with a hit; what="spans" cuts the hit words out of the
+    text (from the first to the last byte of each run of hit words) and keeps the row.  Each
+    row is judged by its own text, whatever its doc_id: rows without one, or that share one
+    with others, are told apart.  Null and empty texts have no hit and stay.  Both ways, for
+    benchmarks within the bounds and over them, return the same rows.
     """
-    windows = checkpoint(benchmark_windows(benchmark, n))
-    if windows.count() > max_broadcast_windows:
-        if what != "documents":
-            raise ValueError("spans need a benchmark within max_broadcast_windows")
-        gone = _scan_joined(_narrow(docs), windows).where("contaminated").select("doc_id").distinct()
-        return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
-    shared, at = docs.sparkSession.sparkContext.broadcast(_window_set(windows)), docs.columns.index("text")
+    if what not in ("documents", "spans"):
+        raise ValueError(what)
+    windows, at = checkpoint(benchmark_windows(benchmark, n)), docs.columns.index("text")
+    if not _fits(windows, max_broadcast_windows, max_broadcast_bytes):
+        base, key = with_row_id(docs)
+        found = _positions(base.select(F.col(key).alias("row_id"), F.col("text").cast("string").alias("text")), windows)
+        if what == "documents":
+            gone = found.select(F.col("row_id").alias(key)).distinct()
+            return base.join(gone, key, "left_anti").select(*docs.columns)
+        runs = fresh(docs, "runs")
+        rows = found.groupBy(F.col("row_id").alias(key)).agg(F.collect_list(F.array("at", F.col("at") + F.col("size"))).alias(runs))
+        joined = base.join(rows, key, "left").select(*docs.columns, runs)
+
+        def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                raw, done = b.column(at).cast(pa.binary()).to_pylist(), []
+                for text, own in zip(raw, b.column(len(b.columns) - 1).to_pylist(), strict=True):
+                    if own:
+                        covered = np.zeros(len(normal_words(text)), bool)
+                        for first, end in own:
+                            covered[first:end] = True
+                        text = cut_spans(text, covered)
+                    done.append(text)
+                yield _with_texts(pa.RecordBatch.from_arrays(b.columns[:-1], schema=pa.schema(list(b.schema)[:-1])), at, done)
+
+        return joined.mapInArrow(cut, docs.schema)
+    shared = docs.sparkSession.sparkContext.broadcast(_window_set(windows))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -247,15 +300,18 @@ def remove(
             hits = [shared.value.hits(normal_words(t))[0] for t in raw]
             if what == "documents":
                 yield b.filter(pa.array([not h.any() for h in hits], pa.bool_()))
-                continue
-            clean = [cut_spans(t, h) if h.any() else t for t, h in zip(raw, hits, strict=True)]
-            text = pa.array([None if t is None else t.decode("utf-8", "replace") for t in clean], pa.string())
-            columns = [text.cast(c.type) if i == at else c for i, c in enumerate(b.columns)]
-            yield pa.RecordBatch.from_arrays(columns, schema=b.schema)
+            else:
+                yield _with_texts(b, at, [cut_spans(t, h) if h.any() else t for t, h in zip(raw, hits, strict=True)])
 
     return docs.mapInArrow(run, docs.schema)
 
 
+def _with_texts(batch: pa.RecordBatch, at: int, texts: list[bytes | None]) -> pa.RecordBatch:
+    text = pa.array([None if t is None else t.decode("utf-8", "replace") for t in texts], pa.string())
+    columns = [text.cast(c.type) if i == at else c for i, c in enumerate(batch.columns)]
+    return pa.RecordBatch.from_arrays(columns, schema=batch.schema)
+
+
 def cut_spans(text: bytes, covered: np.ndarray) -> bytes:
     """The text without its covered words and what lies between neighbours among them."""
     plain = np.frombuffer(text.translate(NORMALISE), np.uint8) != 32

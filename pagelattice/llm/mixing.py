@@ -8,9 +8,9 @@ cut shares the budget by weight with a cap of twice each source's size.
 
 The running totals are two-level: the shuffle key's leading digits make buckets, bucket
 totals give each bucket its offset, and only one bucket is ever sorted in one task, so a
-source with a third of all documents is as many tasks as any other third.  The global sort
-is a range partitioning of finish times; whole ranges before the cut are taken as they
-are and only the range that holds the cut is put in order.
+source with a third of all documents is as many tasks as any other third.  The cut is found
+as a range sort finds its bounds: words are summed by range of finish times, the range that
+holds the cut is divided again until few rows are left, and only these are put in order.
 """
 
 from __future__ import annotations
@@ -18,14 +18,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import materialize, read_table, word_count
+from .common import fresh, materialize, read_table, row_key, with_row_id, word_count
 
 WEIGHTS = (3, 1, 2)
 PASSES = 2
+#: Ranges that a range of finish times is divided into.
+_RANGES = 4096
 
 
 def _targets(sizes: DataFrame, weights: tuple[int, ...], share: float) -> DataFrame:
-    """(source, s, weight, source_size, target), one row per source: a table as long as the list of sources."""
+    """(source, s, weight, source_size, target), one row per source.  Sources are ranked in one task: their list,
+    some 50 bytes each, is taken to fit there (millions do)."""
     every = Window.partitionBy(F.lit(1))
     by_name = Window.partitionBy(F.lit(1)).orderBy(F.col("source").isNull(), "source")
     by_cap = Window.partitionBy(F.lit(1)).orderBy("ratio", "s")
@@ -56,12 +59,20 @@ def _targets(sizes: DataFrame, weights: tuple[int, ...], share: float) -> DataFr
 
 
 def finish_times(
-    docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = 1.5, seed: str = "mix", bucket_rows: int = 200_000
+    docs: DataFrame,
+    weights: tuple[int, ...] = WEIGHTS,
+    share: float = 1.5,
+    seed: str = "mix",
+    bucket_rows: int = 200_000,
+    row_col: str | None = None,
 ) -> DataFrame:
-    """(doc_id, source, size, source_size, target, budget, s, key, f1): f1 is the finish time of the first pass;
-    the second pass ends source_size / weight later (column lap)."""
+    """(doc_id, doc_key, row, source, size, source_size, target, budget, s, key, f1, f2): f1 and f2 are the finish times of
+    the two passes.  row tells apart rows that share a doc_id: a hash of text and source, or what row_col holds."""
+    doc_key, row = row_key(F.col("doc_id"), F.col("text").cast("string"), F.col("source").cast("string"))
     base = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
+        doc_key.alias("doc_key"),
+        (F.col(row_col) if row_col else row).alias("row"),
         F.col("source").cast("string").alias("source"),
         word_count(F.col("text").cast("string")).alias("size"),
     ).withColumn("key", F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null")))))
@@ -78,11 +89,13 @@ def finish_times(
     )
     targets = _targets(bucketed, weights, share).withColumnRenamed("source", "source__")
     table = offsets.join(targets, F.col("source_").eqNullSafe(F.col("source__"))).drop("source__")
-    inside = Window.partitionBy("source", "bucket").orderBy("key", "doc_id").rowsBetween(Window.unboundedPreceding, 0)
+    inside = Window.partitionBy("source", "bucket").orderBy("key", "doc_id", "row").rowsBetween(Window.unboundedPreceding, 0)
     queued = base.withColumn("inside", F.sum("size").over(inside))
     joined = queued.join(table, F.col("source").eqNullSafe(F.col("source_")) & (F.col("bucket") == F.col("bucket_")))
     return joined.select(
         "doc_id",
+        "doc_key",
+        "row",
         "source",
         "size",
         "source_size",
@@ -95,68 +108,88 @@ def finish_times(
     )
 
 
+def _cut(copies: DataFrame, budget: float, last: float, order: list[str], range_rows: int):
+    """The first copy, in order, that does not fit within the budget; None if all do.  Copies of no words fit anywhere."""
+    part, low, high, left = copies.where("size > 0"), 0.0, last, budget
+    every = Window.partitionBy(F.lit(1))
+    while True:
+        width = (high - low) / _RANGES or 1.0
+        ranged = part.withColumn("r", F.floor((F.col("f") - F.lit(low)) / F.lit(width)))
+        totals = ranged.groupBy("r").agg(F.sum("size").alias("size"), F.count(F.lit(1)).alias("n"), F.min("f").alias("low"), F.max("f").alias("high"))
+        run = totals.withColumn("to", F.sum("size").over(every.orderBy("r")))  # some _RANGES rows
+        over = run.where(F.col("to") > F.lit(left)).orderBy("r").limit(1).first()
+        if over is None:
+            return None
+        left -= over["to"] - over["size"]
+        part = part.where((F.col("f") >= F.lit(over["low"])) & (F.col("f") <= F.lit(over["high"])))
+        # one finish time is that of one copy a source and pass, at most
+        if over["n"] <= range_rows or over["low"] == over["high"] or (over["low"], over["high"]) == (low, high):
+            break
+        low, high = over["low"], over["high"]
+    line = part.withColumn("to", F.sum("size").over(every.orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)))
+    return line.where(F.col("to") > F.lit(left)).orderBy(*order).limit(1).first()
+
+
 def plan_mix(
     docs: DataFrame,
     weights: tuple[int, ...] = WEIGHTS,
     share: float = 1.5,
     seed: str = "mix",
     bucket_rows: int = 200_000,
-    range_rows: int = 10_000,
+    range_rows: int = 100_000,
+    row_col: str | None = None,
 ) -> DataFrame:
-    """(doc_id, source, size, source_size, target, taken, copies, f1), one row per document row.
+    """(doc_id, source, size, source_size, target, taken, copies, f1, doc_key, row), one row per document row.
 
     size counts white-space words (null text: 0).  Sources are ranked by code point, null
     last, and weigh `weights` in turn.  taken = size x copies; copies is how many of the two
     passes end within the budget of `share` times all words.  The order is a function of
-    seed and doc_id: reruns agree, and rows that repeat a doc_id stand next to each other.
-    An empty table, or one without any word, takes nothing but empty documents.
+    seed, doc_id, text and source: reruns agree, and rows that repeat a doc_id stand next to
+    each other.  Rows without doc_id take part like others.  Rows equal in all of these have
+    their order from row_col, or are interchangeable without it.  An empty table, or one
+    without any word, takes nothing but empty documents.
     """
-    timed = materialize(finish_times(docs, weights, share, seed, bucket_rows), "mix-times")
-    order = ["f", "s", "key", "doc_id", "pass"]
+    timed = materialize(finish_times(docs, weights, share, seed, bucket_rows, row_col), "mix-times")
+    order = ["f", "s", "key", "doc_key", "row", "pass"]
+    common = ["s", "key", "doc_key", "row"]
     copies = timed.select(
-        F.explode(
-            F.array(
-                F.struct(F.col("f1").alias("f"), "s", "key", "doc_id", F.lit(1).alias("pass"), "size"),
-                F.struct(F.col("f2").alias("f"), "s", "key", "doc_id", F.lit(2).alias("pass"), "size"),
-            )
-        ).alias("c")
+        F.explode(F.array(*(F.struct(F.col(f"f{k}").alias("f"), *common, F.lit(k).alias("pass"), "size") for k in (1, 2)))).alias("c")
     ).select("c.*")
-    head = timed.agg(F.count(F.lit(1)).alias("n"), F.max("f2").alias("last"), F.max("budget").alias("budget")).first()
-    ranges = max(1000, head["n"] // range_rows)
-    width = (head["last"] or 0.0) / ranges or 1.0
-    ranged = copies.withColumn("r", F.floor(F.col("f") / F.lit(width)))
-    totals = ranged.groupBy("r").agg(F.sum("size").alias("size"))
-    run = totals.withColumn("to", F.sum("size").over(Window.partitionBy(F.lit(1)).orderBy("r")))
-    over = run.where(F.col("to") > F.lit(head["budget"] or 0.0)).orderBy("r").limit(1).first()
-    if over is None:
+    head = timed.agg(F.max("f2").alias("last"), F.max("budget").alias("budget")).first()
+    cut = _cut(copies, head["budget"] or 0.0, head["last"] or 0.0, order, range_rows)
+    if cut is None:
         inside = F.lit(True), F.lit(True)
     else:
-        # the range that holds the cut: about range_rows copies
-        before = over["to"] - over["size"]
-        line = ranged.where(F.col("r") == F.lit(over["r"])).withColumn(
-            "to", F.sum("size").over(Window.partitionBy(F.lit(1)).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))
-        )
-        cut = line.where(F.col("to") > F.lit(head["budget"] - before)).orderBy(*order).limit(1).first()
-        at = F.struct(
-            F.lit(cut["f"]), F.lit(cut["s"]), F.lit(cut["key"]), F.coalesce(F.lit(cut["doc_id"]).cast("long"), F.lit(-(1 << 63))), F.lit(cut["pass"])
-        )
-        doc = F.coalesce("doc_id", F.lit(-(1 << 63)))
-        inside = tuple(F.struct(f, "s", "key", doc, F.lit(k)) < at for k, f in ((1, "f1"), (2, "f2")))
+        at = F.struct(*(F.lit(cut[c]).cast(kind) for c, kind in zip(order, ("double", "long", "string", "long", "long", "int"), strict=True)))
+        place = [F.col(c).cast("long") if c == "s" else F.col(c) for c in common]
+        inside = tuple(F.struct(F.col(f"f{k}"), *place, F.lit(k)) < at for k in (1, 2))
     n = inside[0].cast("int") + inside[1].cast("int")
     return timed.withColumn("copies", n).select(
-        "doc_id", "source", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"), "copies", "f1"
+        "doc_id", "source", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"), "copies", "f1", "doc_key", "row"
     )
 
 
 def mix(docs: DataFrame, ordered: bool = False, **parameters) -> DataFrame:
-    """The mixed documents: each row as many times as the mix takes it, columns as they come.
-    ordered=True adds the global range sort by finish time (one more shuffle of the texts)."""
-    taken = plan_mix(docs, **parameters).where("copies > 0").groupBy("doc_id").agg(F.max("copies").alias("copies_"), F.min("f1").alias("f1_"))
-    out = docs.join(taken.withColumnRenamed("doc_id", "doc_id_"), F.col("doc_id") == F.col("doc_id_")).withColumn(
-        "copy_", F.explode(F.sequence(F.lit(1), "copies_"))
-    )
+    """The mixed documents: each row as many times as plan_mix takes it, columns as they come, whatever their names.
+
+    Rows without doc_id, and rows that share one, are taken each by its own plan.  Where rows
+    are equal in doc_id, text and source, the table is written once more with a row number,
+    which then tells them apart.  ordered=True adds the global range sort by finish time (one
+    more shuffle of the texts).
+    """
+    k, r, n, f, c = (fresh(docs, x) for x in ("doc_key", "row_key", "copies", "finish", "copy"))
+    plan = materialize(plan_mix(docs, **parameters).select("doc_key", "row", "copies", "f1"), "mix-plan")
+    if plan.groupBy("doc_key", "row").count().where("count > 1").head(1):
+        base, number = with_row_id(docs)
+        plan = materialize(plan_mix(base, row_col=number, **parameters).select("doc_key", "row", "copies", "f1"), "mix-plan")
+        keyed = base.withColumnsRenamed({number: r})
+    else:
+        keyed = docs.withColumn(r, row_key(F.col("doc_id"), F.col("text").cast("string"), F.col("source").cast("string"))[1])
+    keyed = keyed.withColumn(k, row_key(F.col("doc_id"))[0])
+    taken = plan.where("copies > 0").select(F.col("doc_key").alias(k), F.col("row").alias(r), F.col("copies").alias(n), F.col("f1").alias(f))
+    out = keyed.join(taken, [k, r]).withColumn(c, F.explode(F.sequence(F.lit(1), F.col(n))))
     if ordered:
-        out = out.orderBy("copy_", "f1_", "doc_id")
+        out = out.orderBy(c, f, k)
     return out.select(*docs.columns)
 
 

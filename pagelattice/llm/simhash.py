@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from pagelattice.operators.components import connected_components
 
-from .common import checkpoint, read_table
+from .common import checkpoint, fresh, read_table, row_key
 
 RADIUS = 3
 #: Bits blanked by each mask.
@@ -59,17 +59,18 @@ def text_fingerprint(text: bytes | None, shingle: int = 3, seed: int = 42) -> in
     return int.from_bytes(np.packbits(2 * ones > len(ends), bitorder="little").tobytes(), "little")
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3) -> DataFrame:
-    """(doc_id, fp): one row per input row, fp as a signed long.  A null or wordless text has fp 0."""
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, more: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, fp): one row per input row, fp as a signed long.  A null or wordless text has fp 0.
+    `more` names long columns that go along."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             texts = b.column(1).cast(pa.binary()).to_pylist()
             fps = np.fromiter((text_fingerprint(t, shingle) for t in texts), np.uint64, len(texts))
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps.view(np.int64))], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps.view(np.int64)), *b.columns[2:]], ["doc_id", "fp", *more])
 
-    ids = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return ids.mapInArrow(run, "doc_id long, fp long")
+    ids = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), *more)
+    return ids.mapInArrow(run, "doc_id long, fp long" + "".join(f", `{c}` long" for c in more))
 
 
 def _signed(x: int) -> int:
@@ -190,6 +191,13 @@ def fingerprint_links(classes: DataFrame, cap: int = 256) -> DataFrame:
     return links if members.isEmpty() else links.unionByName(_full_ball_links(members))
 
 
+def _rooted(fps: DataFrame) -> DataFrame:
+    """(fp, rep, root): each distinct fingerprint with its smallest doc_id and the fingerprint that names its component."""
+    classes = checkpoint(fps.groupBy("fp").agg(F.min("doc_id").alias("rep")))
+    roots = connected_components(fingerprint_links(classes), "a", "b").withColumnRenamed("node", "fp")
+    return checkpoint(classes.join(roots, "fp", "left").select("fp", "rep", F.coalesce("root", "fp").alias("root")))
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3) -> DataFrame:
     """(doc_id, fp, component_id), one row per input row.
 
@@ -201,18 +209,35 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     empty result.
     """
     fps = checkpoint(fingerprints(docs, id_col, text_col, shingle))
-    classes = checkpoint(fps.groupBy("fp").agg(F.min("doc_id").alias("rep")))
-    roots = connected_components(fingerprint_links(classes), "a", "b").withColumnRenamed("node", "fp")
-    rooted = checkpoint(classes.join(roots, "fp", "left").select("fp", "rep", F.coalesce("root", "fp").alias("root")))
+    rooted = _rooted(fps)
     named = rooted.groupBy("root").agg(F.min("rep").alias("component_id"))
     return fps.join(rooted.join(named, "root").select("fp", "component_id"), "fp").select("doc_id", "fp", "component_id")
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """The documents, one of each component: the one with the smallest doc_id.  Rows that repeat a doc_id
-    count as one document; rows without doc_id cannot be told apart by a decision and go."""
-    kept = near_duplicates(docs).where("doc_id = component_id").select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*docs.columns)
+    """The documents, one row of each component, columns as they come: the row with the smallest doc_id.
+
+    A row without doc_id stays only where no row of its component has one.  Of rows that
+    share the doc_id, the smallest hash of the text decides, and of rows equal in both, the
+    smallest JSON form of the row: reruns agree.  Every component keeps exactly one row, one
+    without doc_id or text too.
+    """
+    key, text = F.col("doc_id"), F.col("text").cast("string")
+    k, r = fresh(docs, "doc_key"), fresh(docs, "row_key")
+    named = [c.alias(n) for c, n in zip(row_key(key, text), (k, r), strict=True)]
+    fps = checkpoint(fingerprints(docs.select("doc_id", "text", *named), more=(k, r)))
+    rooted = _rooted(fps).select("fp", "root")
+    chosen = fps.join(rooted, "fp").groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), k, r)).alias("of"))
+    chosen = chosen.select(F.col(f"of.{k}").alias(k), F.col(f"of.{r}").alias(r))
+    often = fresh(docs, "often")
+    chosen = checkpoint(chosen.join(fps.groupBy(k, r).agg((F.count(F.lit(1)) > 1).alias(often)), [k, r]))
+    found = docs.select("*", *named).join(chosen, [k, r])
+    one = found.where(~F.col(often)).select(*docs.columns)
+    if not chosen.where(often).head(1):
+        return one
+    row = F.struct(*(F.col(f"`{c}`") for c in docs.columns))
+    first = found.where(often).groupBy(k, r).agg(F.min_by(row, F.to_json(row)).alias(often)).select(f"{often}.*")
+    return one.unionByName(first.select(*docs.columns))
 
 
 def op5_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

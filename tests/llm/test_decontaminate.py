@@ -73,10 +73,24 @@ def test_removal(spark):
     for bound in (0, 10**6):
         kept = D.remove(docs, bench, max_broadcast_windows=bound)
         assert sorted(r["doc_id"] for r in kept.collect()) == [2, 4, 6]
-    cut = {r["doc_id"]: r["text"] for r in D.remove(docs, bench, what="spans").collect()}
-    assert cut[1] == "x  then" and cut[3] == "a  and " and cut[4] is None and cut[2] == TEXTS[1][1] and cut[5] == " b ÉTÉ !"
+        cut = {r["doc_id"]: r["text"] for r in D.remove(docs, bench, what="spans", max_broadcast_windows=bound).collect()}
+        assert cut[1] == "x  then" and cut[3] == "a  and " and cut[4] is None and cut[2] == TEXTS[1][1] and cut[5] == " b ÉTÉ !"
     with pytest.raises(ValueError):
-        D.remove(docs, bench, what="spans", max_broadcast_windows=0)
+        D.remove(docs, bench, what="words")
+
+
+@pytest.mark.parametrize("bound", [{}, {"max_broadcast_windows": 0}, {"max_broadcast_bytes": 10}])
+@pytest.mark.parametrize("what", ["documents", "spans"])
+def test_removal_row_by_row(spark, bound, what):
+    """Rows without an id, rows that share one, repeated rows and odd column names: each is judged by its own text."""
+    rows = [(None, "with a short item"), (None, "clean"), (1, "the short item"), (1, "clean too"), (2, None), (2, None), (3, "short item"), (3, "short item"), (4, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumns({c: F.lit("own") for c in ("row_id", "runs", "at", "window")})
+    out = D.remove(docs, spark.createDataFrame(ITEMS, "item_id long, text string"), what=what, **bound)
+    want = [r for r in rows if "short" not in (r[1] or "")]
+    if what == "spans":
+        want += [(None, "with a "), (1, "the "), (3, ""), (3, "")]
+    assert out.columns == docs.columns and sorted(map(str, want)) == sorted(str(tuple(r)[:2]) for r in out.collect())
+    assert {r["runs"] for r in out.collect()} == {"own"}
 
 
 def test_odd_rows(spark, odd):

@@ -25,7 +25,7 @@ def brute(rows, weights=(3, 1, 2), share=1.5):
         open_ -= full
     queue, copies = [], [0] * len(rows)
     for n in names:
-        own = sorted((hashlib.md5(f"mix:{rows[k][0]}".encode()).hexdigest(), rows[k][0], k) for k in range(len(rows)) if rows[k][2] == n)
+        own = sorted((hashlib.md5(f"mix:{'null' if rows[k][0] is None else rows[k][0]}".encode()).hexdigest(), rows[k][0] or 0, k) for k in range(len(rows)) if rows[k][2] == n)
         cum = 0
         for lap in (0, 1):
             for key, i, k in own:
@@ -81,3 +81,36 @@ def test_odd_rows(odd):
     assert mixing.plan_mix(odd).count() == odd.count()
     assert mixing.plan_mix(odd.where(F.lit(False))).count() == 0
     assert all(r["taken"] == 0 for r in mixing.plan_mix(odd.where("doc_id in (1, 2, 3)")).collect())
+
+
+@pytest.mark.parametrize("repeats", [False, True])
+def test_rows_without_and_with_shared_ids(spark, repeats):
+    """Every row comes as often as planned: null ids, ids shared by different texts, and rows equal in all but other columns."""
+    rows = [(None, f"null {k} " * (1 + k % 3), "a", k) for k in range(12)] + [(7, "seven " * k, "b", k) for k in range(1, 9)]
+    rows += [(k, "w " * (k % 5), "ab"[k % 2], k) for k in range(20, 60)]
+    if repeats:
+        rows += [(99, "same same", "b", k) for k in range(100, 130)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, copies long").withColumns({c: F.lit(1) for c in ("copies_", "f1_", "copy_", "row_key", "row_id")})
+    planned = sorted((r["doc_id"] is None, r["doc_id"] or 0, r["size"], r["copies"]) for r in mixing.plan_mix(docs).collect())
+    for ordered in (False, True):
+        mixed = mixing.mix(docs, ordered=ordered)
+        assert mixed.columns == docs.columns
+        came = {}
+        for r in mixed.collect():
+            came[r["copies"]] = came.get(r["copies"], 0) + 1
+        own = {k: (i is None, i or 0, len((t or "").split())) for i, t, _, k in rows[20:]} | {100_000 + k: (i is None, i or 0, len(t.split())) for k, (i, t, _, _) in enumerate(rows[:20])}
+        total = sum(c for *_, c in planned)
+        assert sum(came.values()) == total and len(own) == len(rows)
+        if repeats:
+            assert sum(came.get(k, 0) for k in range(100, 130)) == sum(c for _, i, _, c in planned if i == 99)
+            assert max(came.get(k, 0) for k in range(100, 130)) <= 2
+    nulls = [r for r in mixing.mix(docs).collect() if r["doc_id"] is None]
+    assert sum(len(r["text"].split()) for r in nulls) == sum(z * c for none, _, z, c in planned if none) > 0
+
+
+def test_ranges_are_divided_until_few_rows_are_left(spark, monkeypatch):
+    """Many short documents beside one long source: the cut lies in a crowded range."""
+    rows = [(k, "w", "a") for k in range(600)] + [(k, "", "a") for k in range(600, 700)] + [(k, "w " * 400, "b") for k in range(1000, 1003)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(4)
+    monkeypatch.setattr(mixing, "_RANGES", 3)
+    check(plan(docs, range_rows=2), brute(rows))

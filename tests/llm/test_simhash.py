@@ -76,7 +76,18 @@ def test_odd_rows(odd):
     assert [r["component_id"] for r in by[5]] == [4, 4] and by[None][0]["component_id"] is None
     kept = simhash.keep_one(odd)
     assert kept.columns == odd.columns
-    assert sorted(r["doc_id"] for r in kept.select("doc_id").collect()) == [1, 4, 6, 7, 8, 9, 10]
+    assert sorted((r["doc_id"] or 0) for r in kept.select("doc_id").collect()) == [0, 1, 4, 6, 7, 8, 9, 10]
+
+
+def test_one_row_of_each_component_stays(spark):
+    """Null ids, ids shared by different texts, repeated rows and column names of our own: components lose all rows but one."""
+    long = "one two three four five six seven eight nine ten"
+    rows = [(None, "alone without an id", 1), (None, long, 2), (8, long, 3), (5, "apple pear plum cherry", 4), (5, "zebra lion tiger", 5)]
+    rows += [(6, "twice over and over", 6), (6, "twice over and over", 7), (None, "void", 8), (None, "void", 9), (3, None, 10), (4, "", 11)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, doc_key long").withColumns({c: F.lit(1) for c in ("row_key", "often", "root")})
+    kept = simhash.keep_one(docs.repartition(3))
+    got = sorted((r["doc_key"] for r in kept.collect()))
+    assert kept.columns == docs.columns and got == [1, 3, 4, 5, 6, 8, 10]
 
 
 def test_empty(odd):
