@@ -1,16 +1,19 @@
 """PII surrogates, in DataFrame functions only.
 
-Entities are found by one pattern.  Each distinct entity (kind and normal form) gets a
-surrogate derived from a keyed hash: digits for digits, hexadecimal for hexadecimal, a name
-of the title's gender and the name's script for a name, an address under a reserved domain
-for an address.  A surrogate that equals another entity's surrogate, or any entity found, is
-drawn again with the next attempt number until all are distinct.  Every occurrence of an
-entity gets the same surrogate, in the occurrence's own format and case.
+Entities are found by one pattern.  Each distinct entity (kind, normal form and, for names,
+gender) gets a surrogate derived from a keyed hash: digits for digits, hexadecimal for
+hexadecimal, a name of the title's gender and the name's script for a name, an address under
+a reserved domain for an address.  Phone numbers keep their country code, IBANs their country,
+and check digits hold where they held.  A surrogate that equals another entity's surrogate, or
+any entity found, is drawn again with the next attempt number until all are distinct; a format
+that has none left gets a longer one.  Nothing of an entity is ever written back.  Every
+occurrence of an entity gets the same surrogate, in the occurrence's own format and case.
 """
 
 from __future__ import annotations
 
 import itertools
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -66,6 +69,8 @@ ALPHABETS = {
     r"\p{IsHan}": "".join(chr(0x4E00 + k) for k in range(256)),
     r"[\p{L}\p{M}\p{N}]": "abcdefghijklmnopqrstuvwxyz",
 }
+# Telephone country codes of one and of two digits, all others have three: fixed values.
+SHORT_CODES = r"^(?:[17]|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58])"
 MARKS = "!#$%&*+,-./:;?@^_~"
 
 
@@ -83,7 +88,8 @@ def _digits(x: Column) -> Column:
 def normal_form(kind: Column, entity: Column) -> Column:
     """What makes two occurrences the same entity: case, separators, quotes and titles do not count."""
     return (
-        F.when(kind.isin("phone", "national_id", "account"), _digits(entity))
+        F.when(kind == "phone", F.concat(F.when(entity.startswith("+"), "+").otherwise(""), _digits(entity)))
+        .when(kind.isin("national_id", "account"), _digits(entity))
         .when(kind == "secret", F.lower(F.regexp_extract(entity, r"""["']([^"'\s]+)["']""", 1)))
         .when(kind == "iban", F.regexp_replace(entity, " ", ""))
         .when(kind == "name", F.lower(F.regexp_replace(entity, rf"^(?:{FEMALE}|{MALE}|{NEUTRAL})\.? ", "")))
@@ -120,7 +126,7 @@ def _digit(stream: Column, i: Column) -> Column:
     return ((_nibble(stream, i) * 7 + _nibble(stream, i + 101)) % 10).cast("string")
 
 
-def _redrawn(value: Column, stream: Column, fixed: int = 0) -> Column:
+def _redrawn(value: Column, stream: Column, fixed: Column | int = 0) -> Column:
     """Each character replaced by one of its class (digit, hexadecimal, letter by script), the first `fixed` kept.
     Other marks stay beside six or more letters and digits; with fewer, they are the value, and are replaced too."""
     hexadecimal = value.rlike("^[0-9a-f]+$")
@@ -164,6 +170,42 @@ def _name(norm: Column, gender: Column, stream: Column, attempt: Column) -> Colu
     return out
 
 
+def _mod(digits: Column, m: int) -> Column:
+    """A string of digits, however long, modulo m."""
+    return F.aggregate(F.filter(F.split(digits, ""), lambda c: c != ""), F.lit(0), lambda a, c: (a * 10 + c.cast("int")) % m)
+
+
+def _iban_rest(iban: Column) -> Column:
+    """97 times anything plus 1 for an IBAN with right check digits."""
+    moved = F.concat(F.substr(iban, F.lit(5)), F.substring(iban, 1, 4))
+    spelled = F.transform(F.split(moved, ""), lambda c: F.when(c.rlike("[A-Z]"), (F.ascii(c) - 55).cast("string")).otherwise(c))
+    return _mod(F.array_join(spelled, ""), 97)
+
+
+def _checked_iban(iban: Column) -> Column:
+    zero = F.concat(F.substring(iban, 1, 2), F.lit("00"), F.substr(iban, F.lit(5)))
+    return F.concat(F.substring(iban, 1, 2), F.lpad((98 - _iban_rest(zero)).cast("string"), 2, "0"), F.substr(iban, F.lit(5)))
+
+
+def _card_sum(digits: Column) -> Column:
+    """The sum that is 0 modulo 10 for a card number with a right check digit: every second digit from the right is doubled."""
+
+    def add(a: Column, c: Column) -> Column:
+        twice = 2 * c.cast("int")
+        doubled = F.when(twice > 9, twice - 9).otherwise(twice)
+        return F.struct((a["s"] + F.when(a["odd"], doubled).otherwise(c.cast("int"))).alias("s"), (~a["odd"]).alias("odd"))
+
+    start = F.struct(F.lit(0).alias("s"), F.lit(False).alias("odd"))
+    return F.aggregate(F.filter(F.split(F.reverse(digits), ""), lambda c: c != ""), start, add, lambda a: a["s"])
+
+
+def _checked_card(real: Column, drawn: Column) -> Column:
+    """The drawn digits with a right check digit, if the real number has one."""
+    body = F.concat(F.substr(drawn, F.lit(1), F.length(drawn) - 1), F.lit("0"))
+    last = F.pmod(10 - F.pmod(_card_sum(body), F.lit(10)), F.lit(10))
+    return F.when(F.pmod(_card_sum(real), F.lit(10)) == 0, F.concat(F.substr(body, F.lit(1), F.length(body) - 1), last.cast("string"))).otherwise(drawn)
+
+
 def draw(kind: Column, norm: Column, gender: Column, key: str, attempt: Column) -> Column:
     """The surrogate's normal form for one attempt; null where the entity leaves nothing to draw."""
     seed = F.concat_ws("|", F.lit(key), kind, norm, attempt.cast("string"))
@@ -171,13 +213,16 @@ def draw(kind: Column, norm: Column, gender: Column, key: str, attempt: Column)
     local = F.array_join(
         F.transform(F.sequence(F.lit(0), F.lit(5)), lambda i: _pick(SYLLABLES["latin"], _nibble(s, i))), ""
     )
+    digits = F.regexp_replace(norm, r"^\+", "")
+    code = F.when(digits.rlike(SHORT_CODES), F.when(digits.rlike("^[17]"), 1).otherwise(2)).otherwise(3)
     octet = [(_nibble(s, F.lit(2 * k)) * 16 + _nibble(s, F.lit(2 * k + 1))).cast("string") for k in range(4)]
     return (
         F.when(kind == "email", F.concat(local, F.lit("."), F.substring(_digits(s), 1, 3), F.lit("@mail.example.org")))
         .when(kind == "ip", F.concat(F.lit("10."), F.concat_ws(".", *octet[1:])))
         .when(kind == "name", _name(norm, gender, s, attempt))
-        .when(kind == "phone", _redrawn(norm, s, 1))
-        .when(kind == "iban", _redrawn(norm, s, 2))
+        .when(kind == "phone", _redrawn(digits, s, F.when(norm.startswith("+"), code).otherwise(1)))
+        .when(kind == "iban", _checked_iban(_redrawn(norm, s, 2)))
+        .when(kind == "account", _checked_card(norm, _redrawn(norm, s)))
         .otherwise(_redrawn(norm, s))
     )
 
@@ -195,31 +240,38 @@ def draw_longer(kind: Column, norm: Column, gender: Column, key: str, attempt: C
         F.when(kind == "email", F.concat(latin, F.lit("."), digits, F.lit("@mail.example.org")))
         .when(kind == "ip", F.concat(F.lit("10."), octets))
         .when(kind == "name", F.initcap(F.when(norm.rlike(r"\p{IsCyrillic}"), cyrillic).otherwise(latin)))
-        .otherwise(F.concat(_redrawn(norm, s), digits))
+        .otherwise(F.concat(_redrawn(F.regexp_replace(norm, r"^\+", ""), s), digits))
     )
 
 
-def surrogates(entities: DataFrame, key: str, rounds: int = 40) -> DataFrame:
-    """(kind, norm, surrogate) for the distinct entities of (kind, norm, gender): surrogates of a kind are
-    distinct from each other and from every entity of that kind."""
-    real = checkpoint(
-        entities.where("kind is not null and norm is not null and norm <> ''").groupBy("kind", "norm").agg(F.min("gender").alias("gender"))
-    )
-    open_, done = real, None
+def known_gender(entities: DataFrame) -> DataFrame:
+    """(kind, norm, gender, as): the gender under which an occurrence is one entity.  A name under titles of both
+    genders is two; under a neutral title it is the one of the name's only gender, where there is one."""
+    of = entities.groupBy("kind", "norm").agg(F.max((F.col("gender") == "f").cast("int")).alias("f"), F.max((F.col("gender") == "m").cast("int")).alias("m"))
+    only = F.when(F.col("f") > F.col("m"), "f").when(F.col("m") > F.col("f"), "m").otherwise("n")
+    every = F.explode(F.array(*map(F.lit, "fmn"))).alias("gender")
+    return of.select("kind", "norm", only.alias("only"), every).select("kind", "norm", "gender", F.when(F.col("gender") == "n", F.col("only")).otherwise(F.col("gender")).alias("as"))
+
+
+def surrogates(entities: DataFrame, key: str, rounds: int = 8) -> DataFrame:
+    """(kind, norm, gender, surrogate) for the distinct entities (kind, norm, gender): surrogates are distinct from
+    each other and from every entity, whatever their kinds."""
+    real = checkpoint(entities.where("kind is not null and norm is not null and norm <> ''").select("kind", "norm", "gender").distinct())
+    names = ["kind", "norm", "gender"]
+    # what must not be drawn: all entities, then all surrogates too, each written once
+    taken, done, open_ = [real.select(F.regexp_replace("norm", r"^\+", "").alias("surrogate"))], [], real
     for attempt in itertools.count():
         # a short format may have no free surrogate left: it gets a longer one
         how = draw if attempt < rounds else draw_longer
-        drawn = open_.withColumn("surrogate", how(F.col("kind"), F.col("norm"), F.col("gender"), key, F.lit(attempt)))
-        taken = real.select("kind", F.col("norm").alias("surrogate"))
-        if done is not None:
-            taken = taken.unionByName(done.select("kind", "surrogate"))
-        best = drawn.groupBy("kind", "surrogate").agg(F.min("norm").alias("best")).join(taken, ["kind", "surrogate"], "left_anti")
-        fresh = drawn.join(best, ["kind", "surrogate"]).where("norm = best").select("kind", "norm", "gender", "surrogate")
-        done = checkpoint(fresh if done is None else done.unionByName(fresh))
-        open_ = checkpoint(open_.join(done.select("kind", "norm"), ["kind", "norm"], "left_anti"))
+        drawn = checkpoint(open_.withColumn("surrogate", how(F.col("kind"), F.col("norm"), F.col("gender"), key, F.lit(attempt))))
+        free = drawn.join(reduce(DataFrame.unionByName, taken), "surrogate", "left_anti")
+        best = free.groupBy("surrogate").agg(F.min(F.struct(*names)).alias("b")).select("surrogate", "b.*")
+        done.append(checkpoint(best.select(*names, "surrogate")))
+        taken.append(done[-1].select("surrogate"))
+        open_ = checkpoint(drawn.join(done[-1].select(*names), names, "left_anti").select(*names))
         if open_.isEmpty():
             break
-    return done.select("kind", "norm", "surrogate")
+    return reduce(DataFrame.unionByName, done)
 
 
 def dressed(kind: Column, entity: Column, surrogate: Column) -> Column:
@@ -252,8 +304,11 @@ def pseudonymise(docs: DataFrame, key: str) -> DataFrame:
     Equal entities get equal surrogates across the corpus, different ones different
     surrogates.  A null text stays null with n_pii 0; a text without entities comes back
     unchanged and is not shuffled.  Rows that repeat a doc_id and a text are treated alike.
-    An empty table gives an empty result; other columns are not read.
+    An empty table gives an empty result; other columns are not read.  The key is the
+    caller's secret: with it, the surrogates of a corpus can be drawn again.
     """
+    if not key:
+        raise ValueError("a key is needed")
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     found = base.withColumn("found", find(F.col("text")))
     # entities alone: small beside the texts, and read three times
@@ -266,8 +321,10 @@ def pseudonymise(docs: DataFrame, key: str) -> DataFrame:
         .withColumn("gender", gender_of(F.col("entity"))),
         "pii-entities",
     )
+    genders = known_gender(listed.where("kind = 'name'"))
+    listed = listed.join(genders, ["kind", "norm", "gender"], "left").withColumn("gender", F.coalesce("as", "gender")).drop("as")
     table = surrogates(listed.select("kind", "norm", "gender"), key)
-    named = listed.join(table, ["kind", "norm"], "left").select(
+    named = listed.join(table, ["kind", "norm", "gender"], "left").select(
         "row", "doc_key", "at", F.coalesce(dressed(F.col("kind"), F.col("entity"), F.col("surrogate")), F.col("entity")).alias("new")
     )
     news = named.distinct().groupBy("row", "doc_key").agg(F.array_sort(F.collect_list(F.struct("at", "new"))).alias("news"))
@@ -290,4 +347,5 @@ def pseudonymise(docs: DataFrame, key: str) -> DataFrame:
 
 
 def op10_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, text, n_pii of every document; the key is fixed, so that the query's reruns agree."""
     return pseudonymise(read_table(spark, sf_dir, "documents"), key="pagelattice")

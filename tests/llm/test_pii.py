@@ -1,5 +1,8 @@
+import random
 import re
 
+import pytest
+import regex
 from pyspark.sql import functions as F
 
 from pagelattice.llm import pii
@@ -97,3 +100,108 @@ def test_odd_rows(odd):
     want = {r["doc_id"]: r["text"] for r in odd.collect()}
     assert len(rows) == odd.count() and all(r["text"] == want[r["doc_id"]] for r in rows)
     assert pii.pseudonymise(odd.where(F.lit(False)), "k").count() == 0
+
+
+def holds_card(d):
+    return sum(sum(divmod(2 * int(c), 10)) if k % 2 else int(c) for k, c in enumerate(reversed(d))) % 10 == 0
+
+
+def holds_iban(x):
+    return int("".join(str(int(c, 36)) for c in x[4:] + x[:4])) % 97 == 1
+
+
+def test_formats_hold(spark):
+    cards = ["4111 1111 1111 1111", "5500-0000-0000-0004", "4111 1111 1111 1112"]
+    ibans = ["DE89 3704 0044 0532 0130 00", "GB82 WEST 1234 5698 7654 32", "FR1420041010050500013M02606"]
+    phones = ["+49 30 1234567", "+1 (743) 555-3824", "+380 44 123 4567", "+7 495 123 45 67"]
+    got = out(spark, [(k, f"it is {x} here") for k, x in enumerate([*cards, *ibans, *phones])])
+    new = [re.fullmatch(r"it is (.+) here", got[k]["text"])[1] for k in range(10)]
+    for a, b in zip([*cards, *ibans, *phones], new, strict=True):
+        assert a != b and re.sub(r"[0-9A-Z]", "x", a) == re.sub(r"[0-9A-Z]", "x", b)
+    assert [holds_card(re.sub(r"\D", "", x)) for x in new[:2]] == [True, True]
+    assert [holds_iban(x.replace(" ", "")) for x in new[3:6]] == [True] * 3 and [x[:2] for x in new[3:6]] == ["DE", "GB", "FR"]
+    assert [x.split()[0] for x in new[6:]] == [x.split()[0] for x in phones]
+
+
+def test_gender_of_occurrences(spark):
+    """One name under titles of both genders is two people; a neutral title follows the name's only gender."""
+    got = out(spark, [(1, "Mr Alex Smith, Mrs Alex Smith, Dr Alex Smith."), (2, "Mrs Ann Lee and Dr. Ann Lee"), (3, "Prof Toni Ray")])
+    he, she, dr = re.fullmatch(r"Mr (\w+ \w+), Mrs (\w+ \w+), Dr (\w+ \w+)\.", got[1]["text"]).groups()
+    assert [x.split()[0] in pii.GIVEN["latin", g].split() for x, g in ((he, "m"), (she, "f"), (dr, "n"))] == [True] * 3
+    a, b = re.fullmatch(r"Mrs (\w+ \w+) and Dr\. (\w+ \w+)", got[2]["text"]).groups()
+    assert a == b and a.split()[0] in pii.GIVEN["latin", "f"].split() and got[3]["text"].split()[1] in pii.GIVEN["latin", "n"].split()
+
+
+def held_against_a_plain_version(rows, got):
+    """Entities found one by one with another pattern engine: what lies between them is unchanged, equal entities have
+    equal replacements and different ones different, and no replacement is an entity of the corpus."""
+    kinds = {k: regex.compile(p) for k, p in pii.KINDS.items()}
+    whole, titles = regex.compile(pii.PATTERN), regex.compile(rf"^(?:({pii.FEMALE})|({pii.MALE})|(?:{pii.NEUTRAL}))\.? ")
+    names, pairs = {}, []
+    for i, text in rows:
+        new, at = got[i]["text"], 0
+        found = [] if text is None else [m for m in whole.finditer(text)]
+        assert got[i]["n_pii"] == len(found) and (text is None) == (new is None)
+        between = [text[a:b] for a, b in zip([0, *(m.end() for m in found)], [*(m.start() for m in found), len(text)], strict=True)] if text else []
+        for k, m in enumerate(found):
+            kind = next(n for n, p in kinds.items() if p.fullmatch(m[0]))
+            assert new.startswith(between[k], at)
+            at += len(between[k])
+            end = len(new) if k == len(found) - 1 and not between[-1] else new.index(between[k + 1], at + 1) if between[k + 1] else None
+            assert end is not None
+            pairs.append((kind, m[0], new[at:end]))
+            at = end
+            if kind == "name" and (t := titles.match(m[0])):
+                names.setdefault(titles.sub("", m[0]).lower(), set()).add("f" if t[1] else "m" if t[2] else "n")
+        assert not text or new[at:] == between[-1]
+    one, other = {}, {}
+    for kind, old, new in pairs:
+        def norm(x):
+            if kind in ("phone", "national_id", "account"):
+                return "+" * x.startswith("+") + regex.sub(r"[^0-9]", "", x)
+            if kind == "secret":
+                return regex.search(r"""["']([^"'\s]+)["']""", x)[1].lower()
+            return titles.sub("", x).lower() if kind == "name" else x.replace(" ", "") if kind == "iban" else x.lower()
+
+        g = ""
+        if kind == "name":
+            t, known = titles.match(old), names[norm(old)] - {"n"}
+            g = "f" if t[1] else "m" if t[2] else known.copy().pop() if len(known) == 1 else "n"
+        key = kind, norm(old), g
+        assert one.setdefault(key, norm(new)) == norm(new), (key, new)
+        assert other.setdefault(norm(new), key) == key, (key, new)
+    assert not {new for *_, new in pairs} & {old for _, old, _ in pairs}
+    return len(one)
+
+
+def test_documents_against_a_plain_version(documents, texts):
+    got = {r["doc_id"]: r for r in pii.pseudonymise(documents, "k").collect()}
+    assert held_against_a_plain_version(texts.items(), got) > 10
+
+
+def test_generated_corpus_against_a_plain_version(spark):
+    """All kinds, scripts and short formats, many of each, repeated in other dress."""
+    r = random.Random(4)
+    digits = lambda n: "".join(r.choices("0123456789", k=n))
+    rows = []
+    for i in range(150):
+        own = [
+            f"u{r.randrange(60)}.x@mail{r.randrange(3)}.org",
+            f"password = '{''.join(r.choices('абвгдеж密码كلمAB12!?', k=6 + r.randrange(20)))}'",
+            f"+{r.choice(['1', '49', '380'])} {digits(2)} {digits(3)}",
+            f"({digits(3)}) {digits(3)}-{digits(4)}",
+            f"10.{r.randrange(2)}.{r.randrange(3)}.{r.randrange(250)}",
+            f"{digits(3)}-{digits(2)}-{digits(4)}",
+            f"4{digits(3)} {digits(4)} {digits(4)} {digits(4)}",
+            f"{r.choice(['Mr', 'Mrs', 'Dr.', 'Frau'])} {r.choice(['Ann', 'Bob', 'Zoë'])} {r.choice(['Lee', 'Ray', 'Öz'])}",
+            f"Госпожа {r.choice(['Анна', 'Вера'])} {r.choice(['Петрова', 'Ким'])}",
+        ]
+        r.shuffle(own)
+        rows.append((i, "see " + " ; ".join(own) + " end"))
+    got = out(spark, rows)
+    assert held_against_a_plain_version(rows, got) > 900
+
+
+def test_a_key_is_needed(spark):
+    with pytest.raises(ValueError):
+        out(spark, ROWS, "")
