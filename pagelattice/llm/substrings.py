@@ -4,16 +4,20 @@ A window is `size` consecutive words.  Every window has an anchor: the left-most
 of its 8-word grams by hash, so equal windows have equal anchors and one anchor serves some
 ten windows.  Pass 1 counts anchors in count-min sketches, one a partition, which are merged
 by adding; an estimate is never too small.  Pass 2 emits the windows whose anchor is
-estimated to occur twice or more, and groups those exactly by 128 bits of hash (64 of the
-anchor, 64 of the whole window).  A window that repeats is always among them; one that is
-let through by a collision in the sketch is told apart by its own hash.  The sketch has a
-bounded, documented width: over a corpus that fills it, more windows are let through, and
-the result stays the same.
+estimated to occur twice or more, and groups those exactly by hash: 64 bits over the anchor's
+words and 64 over all words of the window, from two independent hashes of each word.  A
+window that repeats is always among them; one that is let through by a collision in the
+sketch is told apart by its own hash.  Hashes decide; the words of windows that meet are not
+compared again.
+
+A sketch is broadcast, so its width is bounded.  A corpus that needs more cells than that has
+its anchors counted by a shuffle of their hashes instead (32 bytes an anchor, combined before
+they are sent), and only documents with a repeated anchor are read again.  The result is the
+same.
 """
 
 from __future__ import annotations
 
-import hashlib
 import zlib
 from collections.abc import Iterator
 
@@ -23,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import read_table
+from .common import materialize, read_table
 
 WINDOW = 35
 GRAM = 8
@@ -41,16 +45,17 @@ _FLUSH = 1_500_000
 
 
 class _Hashes(dict):
-    """64-bit hash of each word seen, forgotten when there are too many."""
+    """Two 64-bit hashes of each word seen, forgotten when there are too many."""
 
     def __missing__(self, word: bytes) -> bytes:
         if len(self) >= _MEMORY:
             self.clear()
-        h = self[word] = xxhash.xxh3_64_digest(word)
+        h = self[word] = xxhash.xxh3_128_digest(word)
         return h
 
-    def of(self, words: list[bytes]) -> np.ndarray:
-        return np.frombuffer(b"".join(map(self.__getitem__, words)), "<u8")
+    def of(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        both = np.frombuffer(b"".join(map(self.__getitem__, words)), "<u8").reshape(-1, 2)
+        return both[:, 0].copy(), both[:, 1].copy()
 
 
 def _rolled(h: np.ndarray, size: int, base: int) -> np.ndarray:
@@ -111,12 +116,10 @@ def _words(text: bytes | None) -> list[bytes]:
     return text.split() if text else []
 
 
-def _amount_bits(docs: DataFrame, max_width_bits: int) -> int:
+def _width_bits(docs: DataFrame) -> int:
+    """The sketch's width for some five cells an anchor."""
     amount = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    bits = min(16, max_width_bits)
-    while bits < max_width_bits and (1 << bits) < amount // 16:  # some five cells an anchor
-        bits += 1
-    return bits
+    return max(16, (amount // 16).bit_length())
 
 
 def _sketch(docs: DataFrame, size: int, bits: int) -> np.ndarray:
@@ -136,7 +139,7 @@ def _sketch(docs: DataFrame, size: int, bits: int) -> np.ndarray:
                 for text in b.column(0).slice(at, 1000).cast(pa.binary()).to_pylist():
                     words = _words(text)
                     if len(words) >= size:
-                        places, grams = anchors(known.of(words), size)
+                        places, grams = anchors(known.of(words)[0], size)
                         got.append(grams[np.unique(places)])
                 if got:
                     for row, cells in zip(sketch, _cells(np.concatenate(got), bits), strict=True):
@@ -278,6 +281,26 @@ def _settle(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordB
         yield from of(rest.combine_chunks())
 
 
+def _repeated_anchors(docs: DataFrame, size: int) -> DataFrame:
+    """(doc_id, th, often, crowded): for documents with anchors that occur twice or more, their hashes, and those that
+    occur HOT times or more.  Exact counts by shuffle; nothing is broadcast."""
+
+    def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = _Hashes()
+        for b in batches:
+            for doc_id, th, raw in zip(*(b.column(c).to_pylist() for c in (0, 1)), b.column(2).cast(pa.binary()), strict=True):
+                words = _words(raw.as_py())
+                if len(words) >= size:
+                    places, grams = anchors(known.of(words)[0], size)
+                    h, n = np.unique(grams[np.unique(places)], return_counts=True)
+                    same = (pa.array(np.full(len(h), x)) for x in (doc_id, th))
+                    yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), *same, pa.array(n)], ["h", "doc_id", "th", "n"])
+
+    every = materialize(docs.mapInArrow(listed, "h long, doc_id long, th long, n long"), "anchors")
+    counts = every.groupBy("h").agg(F.sum("n").alias("n")).where("n > 1").select("h", (F.col("n") >= HOT).alias("crowd"))
+    return every.join(counts, "h").groupBy("doc_id", "th").agg(F.collect_set("h").alias("often"), F.collect_set(F.when(F.col("crowd"), F.col("h"))).alias("crowded"))
+
+
 def repeated_spans(docs: DataFrame, size: int = WINDOW, max_width_bits: int = MAX_WIDTH_BITS) -> DataFrame:
     """(doc_id, th, begin, end): word ranges covered by windows whose word sequence also starts elsewhere.
 
@@ -285,30 +308,40 @@ def repeated_spans(docs: DataFrame, size: int = WINDOW, max_width_bits: int = MA
     Candidate rows are shuffled by their anchor, so that neighbours travel packed.  An anchor
     estimated to be frequent (HOT) is dealt by window instead, and equal windows of one task
     travel once: no key's rows exceed a few hundred or the number of tasks."""
-    bits = _amount_bits(docs, max_width_bits)
-    shared = docs.sparkSession.sparkContext.broadcast(_sketch(docs, size, bits))  # 4 x 2^max_width_bits bits at most
+    bits = _width_bits(docs)
+    if bits <= max_width_bits:
+        shared = docs.sparkSession.sparkContext.broadcast(_sketch(docs, size, bits))  # 4 x 2^max_width_bits bits at most
+    else:
+        docs = docs.join(_repeated_anchors(docs, size), ["doc_id", "th"])
+        shared = None
+
+    def repeated(grams: np.ndarray, row: list) -> list[np.ndarray]:
+        """Which anchors may occur twice or more, and which HOT times or more."""
+        if shared is None:
+            return [np.isin(grams, np.array(own, np.int64).view(np.uint64)) for own in row]
+        cells = _cells(grams, bits)
+        return [
+            np.logical_and.reduce([(m[c >> 3] >> (c & 7).astype(np.uint8)) & 1 == 1 for m, c in zip(level, cells, strict=True)])
+            for level in shared.value
+        ]
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, maps, out = _Hashes(), shared.value, _Emitter()
+        known, out = _Hashes(), _Emitter()
         ids: list[tuple[int, int]] = []
         for b in batches:
-            for doc_id, th, raw in zip(*(b.column(c).to_pylist() for c in (0, 1)), b.column(2).cast(pa.binary()), strict=True):
+            for doc_id, th, raw, *row in zip(*(b.column(c).to_pylist() for c in (0, 1)), b.column(2).cast(pa.binary()), *b.columns[3:], strict=True):
                 words = _words(raw.as_py())
                 if len(words) < size:
                     continue
-                h = known.of(words)
-                places, grams = anchors(h, size)
+                low, high = known.of(words)
+                places, grams = anchors(low, size)
                 of = np.unique(places)
-                cells = _cells(grams[of], bits)
-                may, hot = (
-                    np.logical_and.reduce([(m[c >> 3] >> (c & 7).astype(np.uint8)) & 1 == 1 for m, c in zip(level, cells, strict=True)])
-                    for level in maps
-                )
+                may, hot = repeated(grams[of], [x.as_py() for x in row])
                 if not may.any():
                     continue
                 where = np.searchsorted(of, places)
                 at = np.flatnonzero(may[where])
-                window = _rolled(h, size, _B1)[at]
+                window = _rolled(high, size, _B1)[at]
                 gram = grams[places[at]]
                 key = np.where(hot[where[at]], _mixed(gram ^ window), gram)
                 out.add(len(ids), at, key, window)
@@ -367,25 +400,6 @@ def remove_repeats(docs: DataFrame, size: int = WINDOW, max_width_bits: int = MA
     return joined.mapInArrow(cut, "doc_id long, n_words long, n_removed long, kept string")
 
 
-def plain_repeats(texts: dict[int, str | None], size: int = WINDOW) -> dict[int, tuple[int, int, str]]:
-    """The same by comparing all windows in one place, for small fixtures: id -> (n_words, n_removed, sha256 of the kept words)."""
-    words = {i: (t or "").encode().split() for i, t in texts.items()}
-    seen: dict[tuple[bytes, ...], int] = {}
-    for w in words.values():
-        for k in range(len(w) - size + 1):
-            window = tuple(w[k : k + size])
-            seen[window] = seen.get(window, 0) + 1
-    out = {}
-    for i, w in words.items():
-        gone = [False] * len(w)
-        for k in range(len(w) - size + 1):
-            if seen[tuple(w[k : k + size])] > 1:
-                gone[k : k + size] = [True] * size
-        left = b" ".join(x for x, g in zip(w, gone, strict=True) if not g)
-        out[i] = (len(w), sum(gone), hashlib.sha256(left).hexdigest())
-    return out
-
-
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = remove_repeats(read_table(spark, sf_dir, "documents"))
     return done.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
