@@ -3,9 +3,8 @@
 A line is the set of its lower-cased words.  Words are ordered from rare to common (by
 counts over all lines, in hashed buckets: any fixed order is correct, a rarity order is
 fast).  Two sets of Jaccard similarity `t` or more share a word within their prefixes.
-Prefix entries meet on the word; lengths and positions rule pairs out, and so do 64 bits an
-entry (more in long lines), of which each word flips one: two sets differ in at least as many
-words as in bits.  Pairs left are verified on the words of both lines.
+Prefix entries meet on the word; lengths and positions rule pairs out, and so do 128 bits an
+entry, of which each word flips one: two sets differ in at least as many words as in bits.  Pairs left are verified on the words of both lines.
 
 A line goes if an earlier line (by doc_id, then line number) is similar enough, whether or
 not that one stays.  So a line needs one witness, not all partners.  Where a word is in many
@@ -28,10 +27,9 @@ FREQUENCY_BITS = 17
 _HASH_BITS = 56
 #: A word in more prefixes than this has its sets compared with the earliest of them first.
 HOT = 500
-#: Sets of more words than this carry a larger map of their words.
-_LONG = 80
-_PARTS = 4
 _BITS = [1 << k if k < 63 else -(1 << 63) for k in range(64)]
+#: Documents with lines to verify are told to the scan of the texts up to this number; beyond, texts are shuffled to them.
+_TOLD = 1_000_000
 
 
 def _clean(text: Column) -> Column:
@@ -82,17 +80,19 @@ def _least(n: Column, share: float) -> Column:
     return F.ceil(n * F.lit(share) - F.lit(1e-9)).cast("int")
 
 
-def _table(values: list[int]) -> Column:
-    return F.split(F.lit(",".join(map(str, values))), ",").cast("array<bigint>")
+def _table(values: list[int], kind: str) -> Column:
+    return F.split(F.lit(",".join(map(str, values))), ",").cast(f"array<{kind}>")
 
 
 def _ordered(line: Column, rank: list[int]) -> Column:
     """A line's distinct words as longs that sort from rare to common: the bucket's class above the word's hash."""
-    table, shift = _table([c << _HASH_BITS for c in rank]), 65 - len(rank).bit_length()
-    coded = F.transform(
-        F.transform(_words(line), lambda w: F.xxhash64(w)),
-        lambda h: F.get(table, F.shiftrightunsigned(h, shift).cast("int")).bitwiseOR(F.shiftrightunsigned(h, 64 - _HASH_BITS)),
-    )
+    table, shift = _table(rank, "int"), 65 - len(rank).bit_length()
+
+    def code(h: Column) -> Column:
+        kind = F.get(table, F.shiftrightunsigned(h, shift).cast("int")).cast("long")
+        return F.shiftleft(kind, _HASH_BITS).bitwiseOR(F.shiftrightunsigned(h, 64 - _HASH_BITS))
+
+    coded = F.transform(F.transform(_words(line), lambda w: F.xxhash64(w)), code)
     return F.sort_array(F.array_distinct(coded))
 
 
@@ -101,16 +101,10 @@ def _jaccard_at_least(a: Column, b: Column, t: float) -> Column:
     return both >= F.lit(t) * (F.size(a) + F.size(b) - both) - F.lit(1e-9)
 
 
-def _flips(words: Column, values: list[int]) -> Column:
-    """The exclusive or of a value for each word, by the low bits of its hash."""
-    table = _table(values)
-    return F.aggregate(words, F.lit(0).cast("long"), lambda s, h: s.bitwiseXOR(F.get(table, h.bitwiseAND(F.lit(len(values) - 1)).cast("int"))))
-
-
-def _maps(words: Column) -> tuple[Column, Column]:
-    """64 bits of every set; and _PARTS times as many of a long one, with the words dealt to the parts."""
-    parts = [_flips(words, [x for p in range(_PARTS) for x in (_BITS if p == part else [0] * 64)]) for part in range(_PARTS)]
-    return _flips(words, _BITS), F.when(F.size(words) > _LONG, F.array(*parts))
+def _flips(words: Column, half: int) -> Column:
+    """64 of the 128 bits, each flipped once for each word that falls on it (by the low bits of its hash)."""
+    table = _table(_BITS + [0] * 64 if half == 0 else [0] * 64 + _BITS, "bigint")
+    return F.aggregate(words, F.lit(0).cast("long"), lambda s, h: s.bitwiseXOR(F.get(table, h.bitwiseAND(F.lit(127)).cast("int"))))
 
 
 def _may_match(t: float) -> Column:
@@ -120,22 +114,21 @@ def _may_match(t: float) -> Column:
     small, large = F.least("na", "nb"), F.greatest("na", "nb")
     needed = _least(F.col("na") + F.col("nb"), t / (1 + t))
     may_differ = F.col("na") + F.col("nb") - 2 * needed
-    more = sum(F.bit_count(F.get("ma", F.lit(k)).bitwiseXOR(F.get("mb", F.lit(k)))) for k in range(_PARTS))
+    differ = F.bit_count(F.col("xa").bitwiseXOR(F.col("xb"))) + F.bit_count(F.col("ya").bitwiseXOR(F.col("yb")))
     return (
-        (F.bit_count(F.col("xa").bitwiseXOR(F.col("xb"))) <= may_differ)
+        (differ <= may_differ)
         & (F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb")) >= needed)
         & (small >= F.lit(t) * large - F.lit(1e-9))
-        & F.coalesce(more <= may_differ, F.lit(True))
     )
 
 
-_ENTRY = ("s", "n", "p", "x", "m")
+_ENTRY = ("s", "n", "p", "x", "y")
 
 
 def _entries(sets: DataFrame, t: float, *more: str) -> DataFrame:
-    """(word, s, n, p, x, m): the prefix entries of the sets that can have a partner with other words."""
+    """(word, s, n, p, x, y): the prefix entries of the sets that can have a partner with other words."""
     able = sets.where(F.col("n") >= F.lit(t / (1 - t) - 1e-9))
-    every = able.select(F.col("th").alias("s"), "n", "x", "m", *more, F.posexplode("prefix").alias("p", "word"))
+    every = able.select(F.col("th").alias("s"), "n", "x", "y", *more, F.posexplode("prefix").alias("p", "word"))
     return every.where(F.col("p") <= F.col("n") - _least(F.col("n"), t))
 
 
@@ -144,13 +137,13 @@ def _side(entries: DataFrame, side: str, key: str = "word") -> DataFrame:
 
 
 def _word_pairs(sets: DataFrame, crowded: DataFrame, t: float) -> DataFrame:
-    """(word, s, n, p, x, m): entries of two words, the first of them in many prefixes and the second from the prefix longer by one."""
+    """(word, s, n, p, x, y): entries of two words, the first of them in many prefixes and the second from the prefix longer by one."""
     able = sets.where(F.col("n") >= F.lit(t / (1 - t) - 1e-9))
-    first = able.select(F.col("th").alias("s"), "n", "x", "m", "prefix", F.posexplode("prefix").alias("p", "word"))
+    first = able.select(F.col("th").alias("s"), "n", "x", "y", "prefix", F.posexplode("prefix").alias("p", "word"))
     of_many = first.where(F.col("p") <= F.col("n") - _least(F.col("n"), t)).join(crowded, "word", "left_semi")
     later = F.slice("prefix", F.col("p") + 2, F.size("prefix"))
-    return of_many.select("s", "n", "x", "m", "p", "word", F.explode(later).alias("next")).select(
-        F.xxhash64("word", "next").alias("word"), "s", "n", "p", "x", "m"
+    return of_many.select("s", "n", "x", "y", "p", "word", F.explode(later).alias("next")).select(
+        F.xxhash64("word", "next").alias("word"), "s", "n", "p", "x", "y"
     )
 
 
@@ -159,14 +152,14 @@ def similar_lines(docs: DataFrame, t: float = SIMILARITY, hot: int = HOT) -> tup
 
     Sets are told apart by 64 bits of hash.  `hot` decides on the order of comparisons, not on the result."""
     rank, lines, spark = word_frequencies(docs), _numbered_lines(docs), docs.sparkSession
-    n, (x, more) = F.size("words"), _maps(F.col("words"))
+    n, (x, y) = F.size("words"), (_flips(F.col("words"), half) for half in (0, 1))
     full = materialize(
         lines.select("doc_id", "row", "line_no", _ordered(F.col("line"), rank).alias("words")).select(
             "doc_id",
             "row",
             "line_no",
             F.xxhash64("words").alias("th"),
-            F.struct(n.alias("n"), x.alias("x"), more.alias("m"), F.slice("words", F.lit(1), n - _least(n, t) + 2).alias("prefix")).alias("set"),
+            F.struct(n.alias("n"), x.alias("x"), y.alias("y"), F.slice("words", F.lit(1), n - _least(n, t) + 2).alias("prefix")).alias("set"),
         ),
         "lines",
     )
@@ -188,8 +181,8 @@ def similar_lines(docs: DataFrame, t: float = SIMILARITY, hot: int = HOT) -> tup
     heads = of_crowded.groupBy("word").agg(F.min(F.struct("first", *_ENTRY)).alias("h")).select("word", *(f"h.{c}" for c in _ENTRY))
     heads = materialize(heads, "line-heads") if some else None
     few = entries.join(crowded, "word", "left_anti") if some else entries
-    # without the crowded words no key has many rows: hashed, not sorted, and one shuffle serves both sides
-    met = _side(few, "a").join(_side(few, "b").hint("shuffle_hash"), "word")
+    # without the crowded words no key has many rows; one shuffle serves both sides
+    met = _side(few, "a").join(_side(few, "b"), "word")
     pairs = met.where("sa < sb").where(_may_match(t)).select("sa", "sb")
     if some:
         star = _side(entries, "b").where(F.col("word") >= least).join(_side(heads, "a"), "word").where("sa <> sb")
@@ -223,9 +216,11 @@ def _later(docs: DataFrame, sets: DataFrame, pairs: DataFrame, rank: list[int],
         .groupBy(F.col("first.doc_id").alias("doc_id"), F.col("first.row").alias("row"))
         .agg(F.collect_list(F.struct("th", F.col("first.line_no").alias("line_no"))).alias("wanted"))
     )
-    # whole texts move, of documents with such lines, and only those lines are read for words
+    # only those lines are read for words; whole texts move where there are more documents than can be told to the scan
+    wanted = materialize(wanted, "line-ends")
+    wanted = F.broadcast(wanted) if wanted.count() <= _TOLD else wanted
     texts = docs.select(_id(F.col("doc_id")).alias("doc_id"), F.xxhash64("text").alias("row"), F.col("text").cast("string").alias("text"))
-    found = texts.join(materialize(wanted, "line-ends"), ["doc_id", "row"])
+    found = texts.join(wanted, ["doc_id", "row"])
     found = found.select(F.split(_clean(F.col("text")), "\n").alias("lines"), F.explode("wanted").alias("e"))
     words = found.select(F.col("e.th").alias("th"), _ordered(F.get("lines", F.col("e.line_no")), rank).alias("words"))
     words = materialize(words.dropDuplicates(["th"]), "line-words")
