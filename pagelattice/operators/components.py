@@ -15,12 +15,14 @@ from pyspark.sql import functions as F
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder for cut lineage: what the cluster names, or (only where none is
-    set, as in tests) a fresh temporary folder."""
+    """The shared folder for cut lineage: what the cluster names.  Where none is set, a local session
+    gets a fresh temporary folder and a cluster an error: a machine's own folder would not do there."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return named or current
+    if not named and not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("name a shared folder in spark.checkpoint.dir")
     folder = named or tempfile.mkdtemp(prefix="checkpoints-")
     spark.sparkContext.setCheckpointDir(folder)
     return folder

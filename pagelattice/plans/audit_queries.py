@@ -11,10 +11,18 @@ from pagelattice.functions import tokens as T
 from pagelattice.operators import assemble, audit, detect, emit, layout, scan
 
 from . import layout_sql as Q
-from .queries import KEY, PK, WNC, WNS, Bridge, query
+from .queries import KEY, PK, STATES, WNC, WNS, Bridge, query
 
 CL = f"with recursive {Q.DENSE}, {Q.COMPONENTS}"
 
+#: The same without the bindings of bridge codes, which go to the queue before anything is merged.
+BRIDGED = f"""with recursive {Q.DENSE.replace("b as (", "b0 as (")}, {Q.C}, pl as (select distinct doc_id, sw, code from b0), hd as (select doc_id, sw, list(distinct code) cs from pl group by all),
+ow as (select pl.*, cs from pl join hd using (doc_id, sw) where (doc_id, substr(code, 1, 1)) in (select (doc_id, substr(token, 1, 1)) from routed where bucket = 'band')),
+en as (select doc_id, code from ow group by all having count(*) >= 2 and count(*) filter (where len(cs) > 1) >= 2),
+bc as (select distinct x.doc_id, x.code from ow x join ow y on x.doc_id = y.doc_id and x.code = y.code and x.sw < y.sw
+  where (x.doc_id, x.code) in (select (doc_id, code) from en) and len(list_intersect(x.cs, y.cs)) = 1),
+b as (select b0.* from b0 left join bc using (doc_id, code) where bc.code is null), {Q.COMPONENTS}"""
+
 # Assembly
 
 
@@ -110,13 +118,14 @@ def _(b):
 
 @query(
     "a26_q3_conservation",
-    f"""{CL}, {GUARDS} select b.doc_id, count(*) n_in, count(*) filter (where gr.reason is null) n_merged, count(*) filter (where gr.reason is not null) n_demoted, true ok
-from b join cl using (doc_id, id) join gr on gr.doc_id = cl.doc_id and gr.cluster = cl.cluster group by all""",
+    f"""{BRIDGED}, {GUARDS}, me as (select doc_id, count(*) n from cl join gr using (doc_id, cluster) where reason is null group by all),
+de as (select doc_id, count(*) n from (select doc_id, id from cl join gr using (doc_id, cluster) where reason is not null union all select doc_id, id from b0 join bc using (doc_id, code)) group by all),
+i as (select doc_id, count(*) n_in from b0 group by all)
+select doc_id, n_in, coalesce(me.n, 0) n_merged, coalesce(de.n, 0) n_demoted, n_in = coalesce(me.n, 0) + coalesce(de.n, 0) ok from i left join me using (doc_id) left join de using (doc_id)""",
 )
 def _(b):
     bound = b.dense
-    none = bound.select("doc_id", F.lit("?").alias("letter")).distinct()
-    variants, queue = assemble.assemble(bound, b.spec_rows, none, _areas(b))
+    variants, queue = assemble.assemble(bound, b.spec_rows, b.band_letters, _areas(b))
     return assemble.conservation(bound, variants, queue)
 
 
@@ -178,12 +187,13 @@ def _(b):
 
 @query(
     "u1_u2_u4_version_diff",
-    rf"""{WNC}, k1 as (select doc_id, token from cand), k2 as (select doc_id, token from codes union select doc_id, token from n where {Q.ALPHA} and word_no < 20)
-select *, 'gone' change from (select * from k1 except select * from k2) union all select *, 'new' from (select * from k2 except select * from k1)""",
+    f"""{WNC} select doc_id, token, 'gone' change from (select doc_id, token from cand except select doc_id, token from codes)
+union all select doc_id, token, 'new' from (select doc_id, token from codes except select doc_id, token from cand)""",
 )
 def _(b):
-    alpha = detect.normed(b.words).where(T.is_alpha(F.col("token")) & (F.col("word_no") < 20)).select("doc_id", "token")
-    return audit.set_diff(detect.candidates(b.words).select("doc_id", "token"), b.codes.union(alpha).distinct())
+    """Codes of version 3, which routes nothing, against those of version 7."""
+    kept = (detect.detect_codes(b.words, b.pages, rules=RuleConfig(v)).where("bucket = 'kept'").select("doc_id", "token") for v in (3, 7))
+    return audit.set_diff(*kept)
 
 
 @query("u5_disjoint", f"{WNC} select count(*) n from (select doc_id, token from codes intersect select doc_id, token from routed where bucket = 'band')")
@@ -192,11 +202,11 @@ def _(b):
     return b.codes.intersect(banded).agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("u7_coverage", f"with {Q.W}, {Q.PG} select count(*) pages, cast(sum(t) as bigint) covered from (select doc_id, page_no, 1 t from pg)")
+@query("u7_coverage", f"with {STATES} select state, count(*) pages, cast(sum(count(*)) over () as bigint) = (select count(*) from every) covered from st group by state")
 def _(b):
-    state = scan.dispositions(b.pages, *(b.pages.where(c) for c in ("page_no = 1", "page_no = 2", "page_no < 5", "page_no < 7")))
-    covered = state.groupBy("state").agg(F.count(F.lit(1)).alias("n")).agg(F.sum("n")).scalar()
-    return b.pages.agg(F.count(F.lit(1)).alias("pages")).withColumn("covered", covered)
+    """Pages by state; every page has one."""
+    every = b.every_page.agg(F.count(F.lit(1))).scalar()
+    return b.states.groupBy("state").agg(F.count(F.lit(1)).alias("pages")).withColumn("covered", F.sum("pages").over(Window.partitionBy(F.lit(1))) == every)
 
 
 # Overlaps
@@ -206,12 +216,13 @@ IX = "greatest(least(a.x1, z.x1) - greatest(a.x0, z.x0), 0) * greatest(least(a.y
 
 @query(
     "j16_iou_pairs",
-    f"""with {Q.R}, p as (select a.doc_id, a.page_no, a.sw_idx a, z.sw_idx b, {IX} i, (a.x1-a.x0)*(a.y1-a.y0) + (z.x1-z.x0)*(z.y1-z.y0) u
-  from r a join r z on a.doc_id = z.doc_id and a.page_no = z.page_no and a.sw_idx < z.sw_idx)
-select doc_id, page_no, a, b, i / (u - i) iou from p where i > 0 and i / (u - i) >= 0.05""",
+    f"""with {Q.W}, p as (select a.doc_id, a.page_no, a.word_no a, z.word_no b, {IX} i, (a.x1-a.x0)*(a.y1-a.y0) + (z.x1-z.x0)*(z.y1-z.y0) u
+  from w a join w z on a.doc_id = z.doc_id and a.page_no = z.page_no and a.word_no < z.word_no)
+select doc_id, page_no, a, b, i / (u - i) iou from p where i > 0 and i / (u - i) >= 0.25""",
 )
 def _(b):
-    return audit.overlapping(b.rects, PK, "sw_idx", RuleConfig(iou=0.05))
+    """Words printed over each other."""
+    return audit.overlapping(b.words, PK, "word_no", RuleConfig(iou=0.25))
 
 
 @query(
@@ -225,11 +236,12 @@ def _(b):
 
 @query(
     "j18_unclaimed",
-    f"""with {Q.R} select a.doc_id, a.page_no, a.sw_idx from r a where not exists (select 1 from r z where z.rid % 3 = 0 and z.doc_id = a.doc_id and z.page_no = a.page_no
-  and {IX} / ((a.x1-a.x0)*(a.y1-a.y0)) > 0.3)""",
+    f"""with {Q.scan()}, cl as (select distinct r.* from r join v using (doc_id, page_no, sw_idx) where aligned)
+select a.doc_id, a.page_no, a.sw_idx from r a where not exists (select 1 from cl z where z.doc_id = a.doc_id and z.page_no = a.page_no and {IX} / ((a.x1-a.x0)*(a.y1-a.y0)) > 0.3)""",
 )
 def _(b):
-    return audit.unclaimed(b.rects, b.rects.where("rid % 3 = 0"), PK, "sw_idx")
+    bound = b.rects.join(b.judged().where("aligned").select(*PK, "sw_idx").distinct(), [*PK, "sw_idx"], "left_semi")
+    return audit.unclaimed(b.rects, bound, PK, "sw_idx")
 
 
 @query(
@@ -300,17 +312,14 @@ def _(b):
 
 @query(
     "a29_lifecycle",
-    f"""with {Q.scan()}, de as (select distinct doc_id, token from cw), pr as (select distinct doc_id, token from v where aligned),
-rv as (select distinct doc_id, token from v where not aligned and word_no % 2 = 0 union select distinct doc_id, 'X' || token from v where word_no % 97 = 0)
+    f"""with {Q.scan()}, de as (select distinct doc_id, token from cw), pr as (select distinct doc_id, token from v where aligned), rv as (select distinct doc_id, token from v where not aligned)
 select doc_id, count(*) n_detected, count(*) filter (where (doc_id, token) not in (select (doc_id, token) from pr) and (doc_id, token) not in (select (doc_id, token) from rv)) vanished,
   (select count(*) from rv where rv.doc_id = de.doc_id and (rv.doc_id, rv.token) not in (select (doc_id, token) from de)) phantom,
   count(*) filter (where (doc_id, token) in (select (doc_id, token) from rv)) >= 0.9 * count(*) stuck from de group by doc_id""",
 )
 def _(b):
     judged = b.judged()
-    review = judged.where("not aligned and word_no % 2 = 0").select("doc_id", "token")
-    ghosts = judged.where("word_no % 97 = 0").select("doc_id", F.concat(F.lit("X"), "token").alias("token"))
-    return audit.lifecycle(b.code_words, judged.where("aligned"), review.unionByName(ghosts))
+    return audit.lifecycle(b.code_words, judged.where("aligned"), judged.where("not aligned").select("doc_id", "token"))
 
 
 @query(
@@ -555,29 +564,35 @@ def _(b):
 
 @query(
     "q8_read_model",
-    f"""with {Q.scan()}, p as (select doc_id, page_no, string_agg(distinct token, ',' order by token) codes, count(*) filter (where aligned) bound,
+    f"""with {Q.scan()}, {Q.S}, p as (select doc_id, page_no, string_agg(distinct token, ',' order by token) codes, count(*) filter (where aligned) bound,
     coalesce(string_agg(distinct case when demoted then 'icon_demoted' when sw_idx is null then 'orphan' when not aligned then 'not_x_aligned' end, ',' order by
       case when demoted then 'icon_demoted' when sw_idx is null then 'orphan' when not aligned then 'not_x_aligned' end), '') reasons from v group by all)
-select pg.doc_id, pg.page_no, case when bound > 0 then 'auto' when codes is not null then 'review' else 'nonspec' end state, codes, bound, reasons from pg left join p using (doc_id, page_no)""",
+select pg.doc_id, pg.page_no, case when bound > 0 then 'auto' when codes is not null then 'review' when (doc_id, page_no) in (select (doc_id, page_no) from s group by all having count(*) >= 3) then 'noprod'
+  else 'nonspec' end state, codes, bound, reasons from pg left join p using (doc_id, page_no)""",
 )
 def _(b):
     judged, pages = b.judged(), b.pages
-    none = pages.where("false")
-    return emit.read_model(judged, scan.dispositions(pages, judged.where("aligned"), judged, none, pages))
+    spec = b.words.groupBy(*PK).agg(F.sum(T.size_hits(F.col("text"))).alias("hits")).where("hits >= 3")
+    return emit.read_model(judged, scan.dispositions(pages, judged.where("aligned"), judged, spec, pages))
 
 
 @query(
     "q1_product_documents",
-    f"""{CL}, {GUARDS}, {SPEC} select b.doc_id, count(distinct case when gr.reason is null then cl.cluster end) n_variants, count(*) n_rows, count(*) filter (where gr.reason is not null) needs_review, false skeleton
-from b join cl using (doc_id, id) join gr on gr.doc_id = cl.doc_id and gr.cluster = cl.cluster group by all""",
+    f"""{BRIDGED}, {GUARDS}, vr as (select doc_id, cluster, list_sort(list(id)) ids, count(distinct code) n_codes, case when count(distinct color) = 1 then max(color) end color
+    from cl join gr using (doc_id, cluster) where reason is null group by all),
+vn as (select doc_id, count(*) n_variants, string_agg(array_to_string(ids, ',') || '=' || coalesce(color, '?'), ';' order by ids) variant_ids from vr group by all),
+i as (select doc_id, count(*) n_rows, string_agg(id, ',' order by id) row_ids from b0 group by all), me as (select doc_id, sum(len(ids)) n from vr group by all)
+select doc_id, n_variants, variant_ids, n_rows, row_ids, cast(n_rows - coalesce(n, 0) as bigint) needs_review, n_variants is null skeleton from i left join vn using (doc_id) left join me using (doc_id)""",
 )
 def _(b):
     bound, rows = b.dense, b.spec_rows
-    none = bound.select("doc_id", F.lit("?").alias("letter")).distinct()
-    variants, queue = assemble.assemble(bound, rows, none, _areas(b))
+    variants, queue = assemble.assemble(bound, rows, b.band_letters, _areas(b))
     made = emit.product_documents(variants, rows, queue)
-    n_variants, n_rows = F.size("variants").cast("long").alias("n_variants"), F.size("spec_by_code").cast("long").alias("n_rows")
-    return made.select("doc_id", n_variants, n_rows, "needs_review", "skeleton")
+    one = F.transform("variants", lambda v: F.struct(v["merged_from"].alias("ids"), F.concat(F.array_join(v["merged_from"], ","), F.lit("="), F.coalesce(v["color"], F.lit("?"))).alias("t")))
+    ids = F.array_join(F.transform(F.sort_array(one), lambda x: x["t"]), ";").alias("variant_ids")
+    rows = F.array_join(F.transform("spec_by_code", lambda r: r["id"]), ",").alias("row_ids")
+    n_variants = F.when(~F.col("skeleton"), F.size("variants").cast("long")).alias("n_variants")
+    return made.select("doc_id", n_variants, ids, F.size("spec_by_code").cast("long").alias("n_rows"), rows, "needs_review", "skeleton")
 
 
 def _ladder(version: int) -> None:

@@ -14,6 +14,7 @@ from pagelattice.config import RuleConfig
 from pagelattice.functions import geometry as G
 from pagelattice.functions import tokens as T
 from pagelattice.operators import assemble, audit, detect, fields, layout, scan
+from pagelattice.operators.components import checkpoint
 from pagelattice.sources import bridge
 
 from . import layout_sql as Q
@@ -27,11 +28,15 @@ KEY = [*PK, "word_no"]
 
 @dataclass
 class Bridge:
-    """The bridge tables of one folder, built lazily and composed as plans."""
+    """The bridge tables of one folder, composed as plans.  Verdicts, which many plans read more than once,
+    are computed once and kept (checkpoint)."""
 
     spark: SparkSession
     sf_dir: str
 
+    def __post_init__(self) -> None:
+        self._judged: dict[int, DataFrame] = {}
+
     def table(self, name: str) -> DataFrame:
         return bridge.table(self.spark, self.sf_dir, name)
 
@@ -60,7 +65,27 @@ class Bridge:
         return detect.normed(self.words).join(self.codes, ["doc_id", "token"], "left_semi")
 
     def judged(self, version: int = 6) -> DataFrame:
-        return scan.verdicts(self.words, self.rects, self.codes, self.pages, RuleConfig(version))
+        if version not in self._judged:
+            self._judged[version] = checkpoint(scan.verdicts(self.words, self.rects, self.codes, self.pages, RuleConfig(version)))
+        return self._judged[version]
+
+    @property
+    def band_letters(self) -> DataFrame:
+        """(doc_id, letter) of the routed bands."""
+        return self.routed.where("bucket = 'band'").select("doc_id", F.substring("token", 1, 1).alias("letter")).distinct()
+
+    @property
+    def every_page(self) -> DataFrame:
+        """Pages with a word or a rectangle."""
+        known = self.words.select(*PK).unionByName(self.rects.select(*PK)).distinct()
+        return known.withColumn("width", F.lit(600.0)).withColumn("height", F.lit(800.0))
+
+    @property
+    def states(self) -> DataFrame:
+        judged = self.judged()
+        bound = F.col("aligned") | F.col("blocked")
+        spec = self.words.groupBy(*PK).agg(F.sum(T.size_hits(F.col("text"))).alias("hits")).where("hits >= 3")
+        return scan.dispositions(self.every_page, judged.where(bound), judged.where(~bound), spec, self.words)
 
     @property
     def dense(self) -> DataFrame:
@@ -381,7 +406,7 @@ sws as (select doc_id, page_no, rid, is_raster from ras union all
 
 @query("p13_swatch_candidates", f"with {Q.R}, {SWATCHES} select * from sws")
 def _(b):
-    images, drawings = b.rects.where("rid % 3 = 0"), b.rects.where("rid % 3 = 1").withColumn("has_fill", F.lit(True))
+    images, drawings = b.rects.where("rid % 3 = 0"), b.rects.where("rid % 3 <> 0").withColumn("has_fill", F.col("rid") % 3 == 1)
     every = b.rects.select(*PK).distinct().withColumn("width", F.lit(600.0)).withColumn("height", F.lit(800.0))
     return layout.candidate_rects(images, drawings, every).select(*PK, "rid", "is_raster")
 
@@ -541,21 +566,17 @@ def _(b):
     return scan.page_types(b.rects, b.judged(), b.pages, rasters)
 
 
-@query(
-    "p20_dispositions",
-    f"""with {Q.scan()}, {Q.S}, auto as (select distinct doc_id, page_no from v where aligned and word_no % 11 = 0),
-rev as (select distinct doc_id, page_no from v where not aligned and word_no % 13 = 0),
-sp as (select doc_id, page_no from s group by all having count(*) >= 23),
-tx as (select distinct doc_id, page_no from w where word_no >= 70)
-select pg.doc_id, pg.page_no, case when auto.doc_id is not null then 'auto' when rev.doc_id is not null then 'review' when sp.doc_id is not null then 'noprod'
-  when tx.doc_id is not null then 'nonspec' else 'image' end state
-from pg left join auto using (doc_id, page_no) left join rev using (doc_id, page_no) left join sp using (doc_id, page_no) left join tx using (doc_id, page_no)""",
-)
+STATES = f"""{Q.scan()}, {Q.S}, every as (select distinct doc_id, page_no from w union select distinct doc_id, page_no from r),
+auto as (select distinct doc_id, page_no from v where aligned), rev as (select distinct doc_id, page_no from v where not aligned),
+sp as (select doc_id, page_no from s group by all having count(*) >= 3),
+st as (select every.doc_id, every.page_no, case when auto.doc_id is not null then 'auto' when rev.doc_id is not null then 'review' when sp.doc_id is not null then 'noprod'
+    when pg.doc_id is not null then 'nonspec' else 'image' end state
+  from every left join auto using (doc_id, page_no) left join rev using (doc_id, page_no) left join sp using (doc_id, page_no) left join pg using (doc_id, page_no))"""
+
+
+@query("p20_dispositions", f"with {STATES} select * from st")
 def _(b):
-    judged = b.judged()
-    spec = b.words.groupBy(*PK).agg(F.sum(T.size_hits(F.col("text"))).alias("hits")).where(F.col("hits") >= 23)
-    auto, review = judged.where("aligned and word_no % 11 = 0"), judged.where("not aligned and word_no % 13 = 0")
-    return scan.dispositions(b.pages, auto, review, spec, b.words.where("word_no >= 70"))
+    return b.states
 
 
 @query("p22_photo_demotion_v9")
