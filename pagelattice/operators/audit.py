@@ -106,13 +106,6 @@ def scale_aliases(sizes: DataFrame) -> DataFrame:
     return a.join(sizes.withColumnRenamed("size", "large"), ["doc_id", "w", "h"]).select("doc_id", "small", "large").distinct()
 
 
-def disjoint_families(tokens: DataFrame, length: int = 2) -> DataFrame:
-    """(doc_id, a, b): prefixes of codes whose page ranges do not meet.  tokens is (doc_id, token, page_no)."""
-    ranges = tokens.groupBy("doc_id", F.substring("token", 1, length).alias("prefix")).agg(F.min("page_no").alias("lo"), F.max("page_no").alias("hi"))
-    a, b = (ranges.select("doc_id", F.col("prefix").alias(k), F.col("lo").alias(f"lo_{k}"), F.col("hi").alias(f"hi_{k}")) for k in "ab")
-    return a.join(b, "doc_id").where("a < b and (hi_a < lo_b or hi_b < lo_a)").select("doc_id", "a", "b")
-
-
 def text_inside(words: DataFrame, boxes: DataFrame, key: list[str], id_col: str) -> DataFrame:
     """(key, id, raw): words whose centre is within a point of each box, in document order."""
     w, b = _pair(words, "w_", key, "word_no", "text"), _pair(boxes, "b_", key, id_col)

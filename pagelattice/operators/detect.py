@@ -196,6 +196,40 @@ def alpha_codes(
     )
 
 
+def effective_anchors(words: DataFrame, anchors: DataFrame, pages: DataFrame, rules: RuleConfig = PRODUCTION) -> DataFrame:
+    """(doc_id, token): anchors with a size on the row of an occurrence."""
+    own = normed(words).join(anchors.select("doc_id", "token"), ["doc_id", "token"], "left_semi")
+    return own.join(in_row_with_size(words, page_sizes(words, rules), pages, rules), [*PAGE_KEY, "word_no"], "left_semi").select("doc_id", "token").distinct()
+
+
+def dominance_suspects(codes: DataFrame, effective: DataFrame, rules: RuleConfig = PRODUCTION) -> DataFrame:
+    """(doc_id, token): alphabetic codes of documents in which no length holds dominance_margin of the effective anchors."""
+    lengths = effective.groupBy("doc_id", F.length("token").alias("len")).agg(F.count(F.lit(1)).alias("k"))
+    loose = lengths.groupBy("doc_id").agg(F.max("k").alias("most"), F.sum("k").alias("all")).where(F.col("most") / F.col("all") < rules.dominance_margin)
+    return codes.where(T.is_alpha(F.col("token"))).join(loose, "doc_id", "left_semi").select("doc_id", "token")
+
+
+def detection_gap(words: DataFrame, detected: DataFrame, swatches: DataFrame, alpha_vocab: DataFrame | None = None) -> DataFrame:
+    """(doc_id, detected, long_missed, alpha_missed, table_pages): detected codes, and what detection may have missed: tokens of
+    9 to 14 letters and digits that occur twice, and words of 4 to 6 capitals that occur twice and stand on a page with
+    three detected words; table_pages are pages of size texts with five detected words and two swatches at most."""
+    named = normed(words).join(detected.select("doc_id", "token", F.lit(True).alias("known")).distinct(), ["doc_id", "token"], "left")
+    per_page = named.groupBy(*PAGE_KEY).agg(F.count("known").alias("k"), F.sum(T.size_hits(F.col("text"))).alias("hits"))
+    long_ = F.col("token").rlike("^[A-Za-z0-9]{9,14}$") & F.col("token").rlike("[0-9]") & F.col("token").rlike(r"\p{L}") & T.size_of(F.col("token"), 3).isNull()
+    alpha = F.col("token").rlike("^[A-Z]{4,6}$")
+    if alpha_vocab is not None:
+        named = named.join(alpha_vocab.select("token", F.lit(True).alias("trade")).distinct(), "token", "left")
+        alpha = alpha & F.col("trade").isNull()
+    kind = F.when(long_, "long").when(alpha, "alpha")
+    marked = named.withColumn("kind", kind).where("kind is not null").join(per_page.select(*PAGE_KEY, "k"), PAGE_KEY)
+    tokens = marked.groupBy("doc_id", "token", "kind").agg(F.count(F.lit(1)).alias("n"), F.max("k").alias("k")).where("n >= 2 and (kind = 'long' or k >= 3)")
+    missed = tokens.groupBy("doc_id").agg(F.count_if(F.col("kind") == "long").alias("long_missed"), F.count_if(F.col("kind") == "alpha").alias("alpha_missed"))
+    n_sw = swatches.groupBy(*PAGE_KEY).agg(F.count(F.lit(1)).alias("n_sw"))
+    tables = per_page.join(n_sw, PAGE_KEY, "left").where("hits >= 3 and k >= 5 and coalesce(n_sw, 0) <= 2").groupBy("doc_id").agg(F.count(F.lit(1)).alias("table_pages"))
+    out = detected.groupBy("doc_id").agg(F.count_distinct("token").alias("detected"))
+    return out.join(missed, "doc_id", "left").join(tables, "doc_id", "left").na.fill(0)
+
+
 def size_rows(words: DataFrame, pages: DataFrame, rules: RuleConfig = PRODUCTION) -> DataFrame:
     """(doc_id, n_rows): rows that hold a size, counted per page and side; a row ends at a gap of 1.5 word heights."""
     folded = pages.select(*PAGE_KEY, G.fold(F.col("width"), F.col("height"), rules.fold_ratio).alias("fold"))

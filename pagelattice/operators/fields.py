@@ -191,3 +191,11 @@ def bind_names(
         .agg(F.min(F.struct("to_page", "to_sw")).alias("t"))
         .select(*KEY, "t.to_page", "t.to_sw")
     )
+
+
+def name_collisions(index: DataFrame, rules: RuleConfig = PRODUCTION) -> DataFrame:
+    """(doc_id, n_unique, n_shared, shared): names of the index with one target, and those with two to name_targets, listed."""
+    per = index.groupBy("doc_id", "token").agg(F.count(F.lit(1)).alias("k"))
+    few = F.col("k").between(2, rules.name_targets)
+    listed = F.array_join(F.sort_array(F.collect_list(F.when(few, F.concat_ws("=", "token", F.col("k").cast("string"))))), ",")
+    return per.groupBy("doc_id").agg(F.count_if(F.col("k") == 1).alias("n_unique"), F.count_if(few).alias("n_shared"), listed.alias("shared"))

@@ -301,15 +301,6 @@ def _(b):
     return audit.scale_aliases(sizes.distinct().withColumn("size", F.concat_ws("x", F.col("w").cast("string"), F.col("h").cast("string"))))
 
 
-@query(
-    "j21_disjoint_families",
-    f"""{WNC}, g as (select doc_id, substr(token, 1, 3) prefix, min(page_no) lo, max(page_no) hi from cw group by all)
-select a.doc_id, a.prefix a, b.prefix b from g a join g b on a.doc_id = b.doc_id and a.prefix < b.prefix where a.hi < b.lo or b.hi < a.lo""",
-)
-def _(b):
-    return audit.disjoint_families(b.code_words, 3)
-
-
 @query(
     "a29_lifecycle",
     f"""with {Q.scan()}, de as (select distinct doc_id, token from cw), pr as (select distinct doc_id, token from v where aligned), rv as (select distinct doc_id, token from v where not aligned)
@@ -383,8 +374,10 @@ def _(b):
     return audit.first_unused(pool, pool.where("doc_id % 10 = 0"), "source", "h", "doc_id")
 
 
-FOOT = """fw as (select doc_id, page_no, word_no, x0, y0, x1, y1, case when word_no % 8 = 0 then cast(page_no + 40 + doc_id % 3 as varchar) else cast(word_no % 50 as varchar) end "text" from w),
-nm as (select *, (y0 + y1) / 2 cy from fw),
+FOOT = """ft as (select distinct doc_id, page_no, unnest([0, 1]) k from w),
+fw as (select doc_id, page_no, word_no, x0, y0, x1, y1, "text" from w union all select doc_id, page_no, 900000 + k, 300.0 + 200 * k, 780.0, 312.0 + 200 * k, 790.0,
+  cast((case when k = 0 or doc_id % 2 = 0 then page_no else page_no * 3 end) + 40 + doc_id % 3 + k * 500 as varchar) from ft),
+nm as (select *, (y0 + y1) / 2 cy from fw where regexp_matches("text", '^[0-9]{1,4}$')),
 bd as (select *, case when x0 - lag(x0) over o > 3 or lag(x0) over o is null then 1 else 0 end brk from nm where cy < 64 or cy > 736 window o as (partition by doc_id order by x0, page_no, word_no)),
 ck as (select *, sum(brk) over (partition by doc_id order by x0, page_no, word_no rows unbounded preceding) cluster, cast("text" as bigint) - page_no off from bd),
 fm as (select doc_id, cluster, off from ck group by all having count(distinct page_no) >= 5),
@@ -396,9 +389,13 @@ fi as (select ck.doc_id, page_no, word_no from ck join fm using (doc_id, cluster
     f"""with {Q.W}, {FOOT} select doc_id, "text" token from nm left join (select *, true f from fi) using (doc_id, page_no, word_no) group by all having bool_and(coalesce(f, false))""",
 )
 def _(b):
-    no = F.col("word_no")
-    text = F.when(no % 8 == 0, (F.col("page_no") + 40 + F.col("doc_id") % 3).cast("string")).otherwise((no % 50).cast("string"))
-    return audit.page_foot_tokens(b.words.withColumn("text", text), b.pages)
+    """Pages with a running number at the foot, and another that runs on half of the documents only."""
+    foot = b.pages.select(*PK, F.explode(F.array(F.struct(F.lit(900000).cast("long").alias("no"), F.lit(300.0).alias("x")), F.struct(F.lit(900001).cast("long").alias("no"), F.lit(500.0).alias("x")))).alias("f"))
+    step = F.when((F.col("f.no") == 900000) | (F.col("doc_id") % 2 == 0), F.col("page_no")).otherwise(F.col("page_no") * 3)
+    running = foot.select(
+        *PK, F.col("f.no").alias("word_no"), F.col("f.x").alias("x0"), F.lit(780.0).alias("y0"), (F.col("f.x") + 12).alias("x1"), F.lit(790.0).alias("y1"), (step + 40 + F.col("doc_id") % 3 + F.col("f.no") % 900000 * 500).cast("string").alias("text")
+    )
+    return audit.page_foot_tokens(b.words.unionByName(running), b.pages)
 
 
 @query(
@@ -413,28 +410,6 @@ def _(b):
     return audit.score(bound.select("doc_id", "token", "sw_idx"), truth, ["doc_id", "token"])
 
 
-@query(
-    "a28_token_roles",
-    f"""with {Q.DENSE}, {SPEC}, x as (select doc_id, 'code' field, substr(code, 1, 1) token from sr union all select doc_id, 'surface', substr(surface, 1, 1) from sr union all select doc_id, 'size', size from sr)
-select doc_id, token, string_agg(distinct field, ',' order by field) roles from x where token is not null group by all having count(distinct field) > 1""",
-)
-def _(b):
-    rows = b.spec_rows
-    letters = [rows.select("doc_id", F.lit(c).alias("field"), F.substring(c, 1, 1).alias("token")) for c in ("code", "surface")]
-    return audit.token_roles(letters[0].unionByName(letters[1]).unionByName(rows.select("doc_id", F.lit("size").alias("field"), F.col("size").alias("token"))))
-
-
-@query(
-    "a37_detection_gap",
-    rf"""{WNC}, big as (select doc_id, page_no from cw group by all having count(distinct token) >= 3)
-select doc_id, count(distinct token) missing from n where (doc_id, page_no) in (select (doc_id, page_no) from big) and regexp_matches(token, '^[A-Z]{{3,8}}$') group by doc_id""",
-)
-def _(b):
-    big = b.code_words.groupBy(*PK).agg(F.count_distinct("token").alias("k")).where("k >= 3").select(*PK)
-    alpha = detect.normed(b.words).where(F.col("token").rlike("^[A-Z]{3,8}$")).join(big, PK, "left_semi")
-    return alpha.groupBy("doc_id").agg(F.count_distinct("token").alias("missing"))
-
-
 @query(
     "s8_code_sidecar",
     f"""{WNC} select doc_id, token, count(*) n, min({{'p': page_no, 'w': word_no}}).p first_page, string_agg(distinct cast(page_no as varchar), ',' order by cast(page_no as varchar)) pages from cw group by all""",
