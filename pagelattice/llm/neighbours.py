@@ -105,8 +105,9 @@ def fit(
     """Vectors of at most about `max_labelled` labelled documents, those with the smallest hash of doc_id.
 
     Rows with a null label, id or text teach nothing; a document with several labels
-    teaches their rounded mean.  The sample is a documented bound on what is learned from and
-    broadcast; every document is scored.
+    teaches their rounded mean.  The sample is a documented bound on what is learned from,
+    collected (a document has at most ROWS features of eight bytes, so 0.5 GB in the worst case
+    at 4,000) and broadcast (one vector of `dimensions` each); every document is scored.
     """
     known = (
         labels.where(F.col("doc_id").isNotNull() & F.col(label_col).isNotNull())
@@ -193,7 +194,8 @@ def predict(docs: DataFrame, model: NeighbourModel, threshold: float = 0.3) -> D
 
 
 def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, held_out, score, predicted.  A row without doc_id has no remainder: it teaches nothing and is not held out."""
     docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
     model = fit(docs, labels.where(crc_mod("doc_id", 5) != 0))
     scored = predict(docs, model)
-    return scored.select("doc_id", (crc_mod("doc_id", 5) == 0).alias("held_out"), "score", "predicted")
+    return scored.select("doc_id", F.coalesce(crc_mod("doc_id", 5) == 0, F.lit(False)).alias("held_out"), "score", "predicted")

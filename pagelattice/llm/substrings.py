@@ -10,7 +10,7 @@ window that repeats is always among them; one that is let through by a collision
 sketch is told apart by its own hash.  Hashes decide; the words of windows that meet are not
 compared again.
 
-A sketch is broadcast, so its width is bounded.  A corpus that needs more cells than that has
+A sketch is broadcast, so its width is bounded.  A corpus that needs over four times as many cells has
 its anchors counted by a shuffle of their hashes instead (32 bytes an anchor, combined before
 they are sent), and only documents with a repeated anchor are read again.  The result is the
 same.
@@ -309,7 +309,8 @@ def repeated_spans(docs: DataFrame, size: int = WINDOW, max_width_bits: int = MA
     estimated to be frequent (HOT) is dealt by window instead, and equal windows of one task
     travel once: no key's rows exceed a few hundred or the number of tasks."""
     bits = _width_bits(docs)
-    if bits <= max_width_bits:
+    if bits <= max_width_bits + 2:  # up to some four anchors to five cells, the sketch still rules most out
+        bits = min(bits, max_width_bits)
         shared = docs.sparkSession.sparkContext.broadcast(_sketch(docs, size, bits))  # 4 x 2^max_width_bits bits at most
     else:
         docs = docs.join(_repeated_anchors(docs, size), ["doc_id", "th"])

@@ -4,6 +4,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
@@ -40,3 +41,31 @@ def test_stages(spark):
             last.append((i, at, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
             at += len(ids)
     assert sorted(tuple(r) for r in seen[5].select("doc_id", "start", "n_tokens", "ids_crc32").collect()) == last
+
+
+def _folder(spark, tmp_path, docs):
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    for table in ("benchmark", "labels"):
+        spark.read.parquet(f"{SF}/{table}.parquet").write.parquet(f"{tmp_path}/{table}.parquet")
+    return str(tmp_path)
+
+
+def test_nulls_empties_and_extra_columns(spark, tmp_path, odd, documents):
+    """Rows without an id, shared ids, blanks and columns named as the stages' own: no clean row is lost before the mix."""
+    columns = {c: "own" for c in ("copies", "row_key", "row_id", "finish")}
+    docs = documents.limit(60).unionByName(odd.select(*documents.columns)).withColumns({c: F.lit(v) for c, v in columns.items()})
+    folder = _folder(spark, tmp_path, docs)
+    rows = read_table(spark, folder, "documents")
+    kept = {}
+    for name, stage in corpus_pipeline.STAGES[:4]:
+        rows = materialize(stage(spark, rows, folder), f"test-{name}")
+        assert rows.columns == docs.columns
+        kept[name] = {(r["doc_id"], r["text"]) for r in rows.collect()}
+    assert (None, "a row without an id") in kept["decontaminate"]
+    assert not any(t is None or not any(map(str.isalpha, t)) for _, t in kept["language_id"])
+    last = corpus_pipeline.STAGES[4][1](spark, rows, folder)
+    assert last.count() == rows.count() > 0
+
+
+def test_empty_table(spark, tmp_path, documents):
+    assert corpus_pipeline.run(spark, _folder(spark, tmp_path, documents.where(F.lit(False)))).count() == 0

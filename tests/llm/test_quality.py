@@ -1,9 +1,11 @@
+import math
 import re
 import zlib
 from collections import Counter
 
 import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from pagelattice.llm import neighbours, quality_rules
@@ -35,6 +37,28 @@ def test_base_against_brute_force(spark, documents, texts):
     assert base(quality_rules.score(docs, [0] * 100)) == {i: brute(t) for i, t in (texts | made).items()}
 
 
+def plain_grams(text, buckets):
+    """Hashed uni- and bigrams with the library's XXH64, word by word."""
+    h = [xxhash.xxh64_intdigest(w.encode(), 42) for w in re.findall(WORD, text or "")]
+    pairs = [xxhash.xxh64_intdigest(b.to_bytes(8, "little"), xxhash.xxh64_intdigest(a.to_bytes(8, "little"), 42)) for a, b in zip(h, h[1:], strict=False)]
+    return [(x - (x >> 63 << 64)) % buckets for x in (*h, *pairs)]
+
+
+def test_verdicts_against_brute_force(spark, documents, texts):
+    """score and kept of every document, from counts made one gram at a time."""
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    trusted = {r["doc_id"] for r in labels.collect() if r["quality"] == 1 and not r["toxic"]}
+    grams = {i: plain_grams(t, quality_rules.BUCKETS) for i, t in texts.items()}
+    raw, good = Counter(g for x in grams.values() for g in x), Counter(g for i, x in grams.items() if i in trusted for g in x)
+    bottom = math.log((good.total() + quality_rules.BUCKETS) / (raw.total() + quality_rules.BUCKETS))
+    ratio = [round(quality_rules.SCALE * (math.log((good[b] + 1) / (raw[b] + 1)) - bottom)) for b in range(quality_rules.BUCKETS)]
+    got = {r["doc_id"]: (r["score"], r["kept"]) for r in quality_rules.op4_quality_rules(spark, SF).collect()}
+    for i, x in grams.items():
+        score = sum(ratio[g] for g in x) / max(len(x), 1) / quality_rules.SCALE
+        assert got[i][0] == pytest.approx(score, abs=1e-12)
+        assert got[i][1] == (not brute(texts[i])[-1] and got[i][0] >= quality_rules.THRESHOLD)
+
+
 def test_ratio_counts(spark):
     """Words of trusted documents alone score above, words of the others below."""
     docs = spark.createDataFrame([(1, "good fine good"), (2, "bad worse bad bad"), (3, None)], "doc_id long, text string")
@@ -99,6 +123,38 @@ def test_neighbours_are_exact():
         assert s == pytest.approx(((w * y[top]).sum() + 0.0005) / (w.sum() + 0.001))
 
 
+def test_predictions_against_a_plain_version(spark, documents, texts):
+    """Features counted word by word, vectors summed one by one, all cosines sorted."""
+    model = neighbours.fit(documents, spark.read.parquet(f"{SF}/labels.parquet"))
+
+    def plain(text):
+        words = re.findall(rb"[^\x20\x09-\x0D]+", (text or "").encode())
+        if not words:
+            return np.zeros(model.projection.shape[1])
+        shape = lambda w: b"A" if w.isupper() else b"a" if w.islower() else b"x"
+        n = Counter(f for w in words for f in (zlib.crc32(w) % neighbours.FEATURES, zlib.crc32(shape(w) + w[-3:]) % neighbours.FEATURES))
+        value = {f: 1 + math.log(k) for f, k in n.items()}
+        again = sum(zlib.crc32(a) % neighbours.FEATURES == zlib.crc32(b) % neighbours.FEATURES for a, b in zip(words, words[1:], strict=False)) / len(words)
+        length = math.sqrt(sum(v * v for v in value.values()))
+        value |= {neighbours.FEATURES + k: 0.4 * length for k, x in enumerate(neighbours.AGAIN) if again >= x}
+        v = sum(w * model.projection[f].astype(float) for f, w in value.items())
+        return v / max(np.linalg.norm(v), 1e-9)
+
+    got = {r["doc_id"]: r for r in neighbours.predict(documents, model).collect()}
+    for i, text in sorted(texts.items())[:120]:
+        near = model.vectors.astype(float) @ plain(text)
+        top = np.argsort(-near, kind="stable")[: model.neighbours]
+        w = np.maximum(near[top], 0) ** 4
+        assert got[i]["score"] == pytest.approx(((w * model.labels[top]).sum() + 1e-3 * model.prior) / (w.sum() + 1e-3), abs=2e-3)
+
+
+def test_query_without_ids(spark, odd, tmp_path):
+    odd.write.parquet(f"{tmp_path}/documents.parquet")
+    spark.read.parquet(f"{SF}/labels.parquet").write.parquet(f"{tmp_path}/labels.parquet")
+    rows = neighbours.op7_quality_classifier(spark, str(tmp_path)).collect()
+    assert len(rows) == odd.count() and [r["held_out"] for r in rows if r["doc_id"] is None] == [False]
+
+
 def test_neighbours_odd_rows(spark, odd, documents):
     labels = spark.read.parquet(f"{SF}/labels.parquet")
     model = neighbours.fit(documents, labels)
