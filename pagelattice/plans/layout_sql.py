@@ -25,6 +25,10 @@ R = """r as (
     cast((o_orderkey*71) % 520 + 30 + o_custkey % 60 as double) x1, cast((o_orderkey*29) % 700 + 20 + o_custkey % 80 as double) y1
   from orders))"""
 
+#: Odd documents on spreads: odd words and rectangles stand on the right-hand page.
+SPREAD_W = f"""{W.replace("w as (", "w0 as (", 1)}, w as (select doc_id, page_no, word_no, x0 + s x0, y0, x1 + s x1, y1, "text" from (select *, case when doc_id % 2 = 1 and word_no % 2 = 1 then 600 else 0 end s from w0))"""
+SPREAD_R = f"""{R.replace("r as (", "r0 as (", 1)}, r as (select doc_id, page_no, sw_idx, rid, x0 + s x0, y0, x1 + s x1, y1 from (select *, case when doc_id % 2 = 1 and rid % 2 = 1 then 600 else 0 end s from r0))"""
+
 #: Words with their normal form, and the two kinds of shapes.
 N = r"""n as (select *, upper(trim("text", '*,;:().')) token, (x0 + x1) / 2 cx, (y0 + y1) / 2 cy, y1 - y0 h from w)"""
 SIZE = r"(?i)\b\d{1,4}(?:[.,]\d{1,2})?\s*[x×]\s*\d{1,4}(?:[.,]\d{1,2})?\s*(?:cm|mm)?"

@@ -116,6 +116,43 @@ def _(b):
     return pages.caption_windows(found, tall, b.codes).select(*KEY[:2], "sw_idx", "word_no", "window")
 
 
+# Spreads: odd documents have a fold, across which nothing is read
+
+FOLDED = "(cw.doc_id % 2 = 0 or (s_x0 < 600) = (cw.cx < 600))"
+
+
+@query(
+    "j3_spread_sizes",
+    f"""with {Q.SPREAD_W}, {Q.N}, {Q.S}, {Q.C}, {ROWSIZE.replace("where abs(", f"where {FOLDED} and (abs(").replace(" group by all)", ") group by all)")} select doc_id, page_no, word_no, m.size size from rs""",
+)
+def _(b):
+    words = b.spread_words
+    own = detect.normed(words).join(b.codes, ["doc_id", "token"], "left_semi")
+    return fields.row_size(words, own, b.spread_pages)
+
+
+@query(
+    "w6_spread_captions",
+    rf"""with {Q.SPREAD_W}, {Q.SPREAD_R}, {Q.N}, {CAPTIONS.replace("greatest(1.5 * (r.y1 - r.y0), 40))", "greatest(1.5 * (r.y1 - r.y0), 40) and (a.doc_id % 2 = 0 or (n.cx < 600) = ((r.x0 + r.x1) / 2 < 600)))")}
+select doc_id, page_no, sw_idx, word_no from cap""",
+)
+def _(b):
+    words, rects = b.spread_words, b.spread_rects
+    assigned = layout.assign_words(words, rects, RuleConfig(3))
+    return fields.captions(words, assigned, rects, b.spread_pages).select(*PK, "sw_idx", "word_no")
+
+
+@query(
+    "w4_spread_size_rows",
+    f"""with {Q.SPREAD_W}, {Q.N}, {Q.S}, sr0 as (select s.*, mid, case when doc_id % 2 = 1 then (s_x0 + s_x1) / 2 < 600 end side from s
+  join (select doc_id, page_no, list_sort(list(h))[cast(floor(count(*) / 2) as bigint) + 1] mid from n group by all) using (doc_id, page_no)),
+sr as (select doc_id, case when s_cy - lag(s_cy) over o > 1.5 * mid or lag(s_cy) over o is null then 1 else 0 end brk from sr0 window o as (partition by doc_id, page_no, side order by s_cy, s_no))
+select doc_id, cast(sum(brk) as bigint) n_rows from sr group by doc_id""",
+)
+def _(b):
+    return detect.size_rows(b.spread_words, b.spread_pages)
+
+
 # Detection and names
 
 

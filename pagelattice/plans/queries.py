@@ -52,6 +52,18 @@ class Bridge:
     def pages(self) -> DataFrame:
         return bridge.pages(self.words)
 
+    @property
+    def spread_words(self) -> DataFrame:
+        return bridge.spread_words(self.words)
+
+    @property
+    def spread_rects(self) -> DataFrame:
+        return bridge.spread_rects(self.rects)
+
+    @property
+    def spread_pages(self) -> DataFrame:
+        return bridge.spread_pages(self.words)
+
     @property
     def routed(self) -> DataFrame:
         return detect.route_junk(detect.candidates(self.words))
@@ -173,11 +185,13 @@ def _(b):
 
 @query(
     "p7_p8_fold_sides",
-    f"{WN} select page_no, cx < 300 left_side, count(*) n from n group by 1, 2",
+    f"""with {Q.SPREAD_W}, {Q.N} select doc_id, page_no, case when doc_id % 2 = 1 then cx < 600 end left_side, count(*) n from n group by all""",
 )
 def _(b):
-    fold = G.fold(F.lit(600.0), F.lit(400.0))
-    return b.words.groupBy("page_no", G.side(G.cx(), fold).alias("left_side")).agg(F.count(F.lit(1)).alias("n"))
+    """Words by side of the fold, on spreads and on single pages, which have none."""
+    placed = b.spread_words.join(b.spread_pages, PK)
+    side = G.side(G.cx(), G.fold(F.col("width"), F.col("height")))
+    return placed.groupBy(*PK, side.alias("left_side")).agg(F.count(F.lit(1)).alias("n"))
 
 
 NAMES = rf"""named as (select *, {Q.ALPHA} and not ("text" = lower("text") and "text" <> upper("text")) is_name from n)"""

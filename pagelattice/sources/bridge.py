@@ -70,6 +70,24 @@ def pages(words_: DataFrame, spread: bool = False) -> DataFrame:
     return words_.select("doc_id", "page_no").distinct().withColumn("width", F.lit(w)).withColumn("height", F.lit(h))
 
 
+def spread_words(words_: DataFrame) -> DataFrame:
+    """The words with every odd document on spreads: its words with an odd number stand on the right-hand page."""
+    right = F.when((F.col("doc_id") % 2 == 1) & (F.col("word_no") % 2 == 1), F.lit(600.0)).otherwise(F.lit(0.0))
+    return words_.withColumns({c: F.col(c) + right for c in ("x0", "x1")})
+
+
+def spread_rects(rects_: DataFrame) -> DataFrame:
+    """The rectangles for spread_words: odd ones of odd documents stand on the right-hand page."""
+    right = F.when((F.col("doc_id") % 2 == 1) & (F.col("rid") % 2 == 1), F.lit(600.0)).otherwise(F.lit(0.0))
+    return rects_.withColumns({c: F.col(c) + right for c in ("x0", "x1")})
+
+
+def spread_pages(words_: DataFrame) -> DataFrame:
+    """The pages of spread_words: wide ones have a fold."""
+    wide = F.when(F.col("doc_id") % 2 == 1, F.lit(SPREAD[0])).otherwise(F.lit(PAGE[0]))
+    return words_.select("doc_id", "page_no").distinct().withColumns({"width": wide, "height": F.lit(PAGE[1])})
+
+
 def dense_code(text) -> F.Column:
     """A coarser code, so that merging finds large groups: three values where the plain one has ten."""
     return F.concat(F.substring(text, 1, 2), F.lit("0"), (F.substring(text, 4, 1).cast("int") % 3).cast("string"))
