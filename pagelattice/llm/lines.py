@@ -26,7 +26,7 @@ SIMILARITY = 0.8
 FREQUENCY_BITS = 17
 _HASH_BITS = 56
 #: A word in more prefixes than this has its sets compared with the earliest of them first.
-HOT = 2000
+HOT = 500
 _BITS = [1 << k if k < 63 else -(1 << 63) for k in range(64)]
 #: Documents with lines to verify are told to the scan of the texts up to this number; beyond, texts are shuffled to them.
 _TOLD = 1_000_000
