@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, language, lines, mixing, neighbours, pii, quality_rules, simhash, substrings, tokens
+from . import decontaminate, infilling, language, lines, mixing, neighbours, pii, quality_rules, simhash, substrings, tokens
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": decontaminate.op1_decontaminate,
@@ -19,10 +19,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_substring_dedup": substrings.op8_substring_dedup,
     "op9_line_dedup": lines.op9_line_dedup,
     "op10_pii_surrogates": pii.op10_pii_surrogates,
+    "op13_fill_in_middle": infilling.op13_fill_in_middle,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op1_decontaminate": decontaminate.OP1_SQL,
     "op6_mixing": mixing.OP6_SQL,
     "op8_substring_dedup": substrings.OP8_SQL,
+    "op13_fill_in_middle": infilling.OP13_SQL,
 }

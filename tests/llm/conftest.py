@@ -1,3 +1,4 @@
+import duckdb
 import pytest
 from pyspark.sql import types as T
 
@@ -48,3 +49,20 @@ def documents(spark):
 @pytest.fixture(scope="session")
 def texts(documents):
     return {r["doc_id"]: r["text"] for r in documents.select("doc_id", "text").collect()}
+
+
+@pytest.fixture(scope="session")
+def equals_sql():
+    """Asserts that a DataFrame has the rows of DuckDB SQL over the smallest tables."""
+
+    def check(df, sql, tables):
+        con = duckdb.connect()
+        for t in tables:
+            con.sql(f"create view {t} as select * from '{SF}/{t}.parquet'")
+        columns = sorted(df.columns)
+        want = con.sql(sql)
+        assert sorted(want.columns) == columns
+        got = sorted(map(str, map(tuple, df.select(*columns).collect())))
+        assert got == sorted(map(str, want.select(*(f'"{c}"' for c in columns)).fetchall()))
+
+    return check
