@@ -255,7 +255,7 @@ def _(b):
     return reports.family_ranges(_risks(b)[1], F.substring("token", 1, 2), 1)
 
 
-PARTS = """pt as (select cast(l_suppkey as bigint) doc_id, ['variant', 'swatch_crop', 'color', 'merged_from', 'variant_size', 'all_size', 'spec_row', 'review'][(l_partkey + l_linenumber) % 8 + 1] kind,
+PARTS = """pt as (select row_number() over () part, cast(l_suppkey as bigint) doc_id, ['variant', 'swatch_crop', 'color', 'merged_from', 'variant_size', 'all_size', 'spec_row', 'review'][(l_partkey + l_linenumber) % 8 + 1] kind,
   l_orderkey || '-' || l_linenumber token, case when l_orderkey % 6 = 0 then null else 'v' end "value", case when l_partkey % 9 = 0 then '' else 'a.pdf' end pdf, case when l_partkey % 10 = 0 then null else 1 end page,
   l_partkey % 11 <> 0 has_box, case when l_partkey % 12 = 0 then null else 'geom' end "method", case when l_partkey % 13 = 0 then null else 'c.png' end crop from lineitem)"""
 _NEEDS = " union all ".join(f"select '{kind}' kind, '{n}' need, {k} k" for kind, needs in reports.PROVENANCE.items() for k, n in enumerate(needs))
@@ -265,7 +265,7 @@ _NEEDS = " union all ".join(f"select '{kind}' kind, '{n}' need, {k} k" for kind,
     "p23_provenance_gaps",
     f"""with {PARTS}, nd as ({_NEEDS})
 select doc_id, kind, token, string_agg(need, ',' order by k) missing from pt join nd using (kind) where "value" is not null and
-  case need when 'pdf' then pdf = '' when 'page' then page is null when 'bbox' then not has_box when 'method' then "method" is null else crop is null end group by doc_id, kind, token""",
+  case need when 'pdf' then pdf = '' when 'page' then page is null when 'bbox' then not has_box when 'method' then "method" is null else crop is null end group by part, doc_id, kind, token""",
 )
 def _(b):
     key, li = F.col("l_partkey"), b.table("lineitem")
