@@ -55,9 +55,9 @@ class Files(InputPartition):
 
 
 def _page_rows(page: dict, known: dict, grain: str) -> Iterator[dict]:
-    base = known | {k: page[k] for k in ("page_no", "width", "height")} | {"error": None}
+    base = known | {"page_no": int(page["page_no"]), "width": page.get("width"), "height": page.get("height"), "error": None}
     if grain == "page":
-        yield base | {"n_words": len(page["words"]), "text": " ".join(w["text"] or "" for w in page["words"])}
+        yield base | {"n_words": len(page["words"]), "text": " ".join(w.get("text") or "" for w in page["words"])}
     else:
         for w in page["words"]:
             yield base | w

@@ -12,16 +12,19 @@ COUNT_SCHEMA = (
     "doc string, page int, n_sw int, n_codes int, code_orphan int, code_far int, code_x_aligned int, code_name_bound int, "
     "code_needs_review int, code_with_size int, sw_no_code int, ptype string"
 )
-PROV = "struct<pdf:string,page:int,bbox:array<double>,method:string>"
+PROV = "struct<pdf:string,page:long,bbox:array<double>,method:string>"
 PRODUCT_SCHEMA = (
-    f"brand string, doc_id long, series array<struct<seriesName:string,variants:array<struct<code:string,color:string,"
-    f"mergedFrom:array<string>,variantSizes:array<struct<size:string,finish:string,orderCode:string,priceBand:string>>,prov:{PROV}>>,"
-    f"specByCode:array<struct<id:string,code:string,size:string,surface:string,priceBand:string,packing:map<string,string>,prov:{PROV}>>>>"
+    f"brand string, doc_id long, bindingVersion string, seriesSkeleton boolean, needsReviewCount long, series array<struct<seriesName:string,seriesProv:{PROV},"
+    f"allSizes:array<struct<size:string,prov:{PROV}>>,"
+    f"specByCode:array<struct<id:string,code:string,size:string,surface:string,priceBand:string,packing:map<string,string>,prov:{PROV}>>,"
+    f"variants:array<struct<id:string,code:string,color:string,colorProv:{PROV},regime:string,swatch:struct<page:long,bbox:array<double>>,swatchCrop:struct<png:string,prov:{PROV}>,"
+    f"mergedFrom:array<struct<id:string,code:string,prov:{PROV}>>,"
+    f"variantSizes:array<struct<size:string,finish:string,orderCode:string,priceBand:string,derivedFrom:array<string>,prov:{PROV}>>,pseudoCodeSuspect:array<string>,prov:{PROV}>>>>"
 )
 
 REVIEW_SCHEMA = (
     "brand string, doc_id long, bindingVersion string, "
-    "items array<struct<page_no:long,word_no:long,code:string,reason:string,nameHint:struct<page:long,swatchIdx:long>>>, "
+    f"items array<struct<page_no:long,word_no:long,code:string,reason:string,nameHint:struct<page:long,swatchIdx:long>,prov:{PROV}>>, "
     "skeletonSwatches array<struct<page_no:long,sw_idx:long,bbox:array<double>>>"
 )
 

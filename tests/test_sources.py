@@ -34,7 +34,7 @@ def test_products_round_trip(spark, tmp_path):
 
 
 def test_reviews_round_trip(spark, tmp_path):
-    rows = [("acme", 7, "v12", [(1, 3, "AB12", "orphan", (2, 0)), (1, 5, "AB13", "icon_demoted", None)], []), ("beta", 8, "v12", [], [(1, 0, [1.0, 2.0, 3.0, 4.0])])]
+    rows = [("acme", 7, "v12", [(1, 3, "AB12", "orphan", (2, 0), ("a.pdf", 1, [0.0, 0.0, 1.0, 1.0], "geom")), (1, 5, "AB13", "icon_demoted", None, None)], []), ("beta", 8, "v12", [], [(1, 0, [1.0, 2.0, 3.0, 4.0])])]
     readers.write_reviews(spark.createDataFrame(rows, readers.REVIEW_SCHEMA), str(tmp_path / "reviews"))
     got = readers.read_reviews(spark, str(tmp_path / "reviews")).orderBy("doc_id").collect()
     assert [(r["brand"], r["doc_id"], len(r["items"]), len(r["skeletonSwatches"])) for r in got] == [("acme", 7, 2, 0), ("beta", 8, 0, 1)]
