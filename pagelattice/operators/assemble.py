@@ -105,6 +105,14 @@ def variant_sizes(clustered: DataFrame, spec_rows: DataFrame) -> DataFrame:
     )
 
 
+def rows_by_code(clustered: DataFrame, spec_rows: DataFrame) -> DataFrame:
+    """(doc_id, cluster, code, n, sizes, unsized): the spec rows that each code of a cluster can claim, by code."""
+    codes = clustered.select("doc_id", "cluster", "code").distinct()
+    return codes.join(spec_rows, ["doc_id", "code"]).groupBy("doc_id", "cluster", "code").agg(
+        F.count(F.lit(1)).alias("n"), F.count_distinct("size").alias("sizes"), F.count_if(F.col("size").isNull()).alias("unsized")
+    )
+
+
 def regimes(clustered: DataFrame, spec_rows: DataFrame) -> DataFrame:
     """(doc_id, cluster, n_codes, most_sizes, regime, regime_conflict)."""
     codes = clustered.select("doc_id", "cluster", "code").distinct()

@@ -196,6 +196,15 @@ def first_unused(pool: DataFrame, used: DataFrame, by: str, hash_col: str, order
     return unique.groupBy(by).agg(F.min(order).alias(order), F.count(F.lit(1)).alias("left"))
 
 
+def batches_left(left: DataFrame, by: str, count: str) -> DataFrame:
+    """(need, batches): how many more batches can be built that take one document from each of `need` vendors or more, after
+    the batch just built has taken one from every vendor.  Each batch lowers all remainders by one, so the last one that
+    finds `need` vendors is the need-th largest remainder.  One row a vendor with a remainder."""
+    rest = left.select(by, (F.col(count) - 1).alias("batches")).where("batches > 0")
+    ranked = F.row_number().over(Window.orderBy(F.desc("batches"), by)).cast("long")  # vendors are few
+    return rest.select(ranked.alias("need"), "batches")
+
+
 def page_foot_tokens(words: DataFrame, pages: DataFrame, edge: float = 0.08, tolerance: float = 0.005, least: int = 5) -> DataFrame:
     """(doc_id, token): numbers in the edge band that run with the page number: clusters in x, one constant
     difference over `least` pages; a token counts if all its occurrences belong."""
@@ -226,6 +235,23 @@ def score(bindings: DataFrame, truth: DataFrame, key: list[str]) -> DataFrame:
     return truth.join(found, key, "left").select(*key, F.coalesce((F.col("n") == 1) & (F.col("got") == F.col("sw_idx")), F.lit(False)).alias("hit"))
 
 
+def score_texts(texts: DataFrame, truth: DataFrame, key: list[str]) -> DataFrame:
+    """(key, code_hit, full_hit): a true code is hit if exactly one swatch's text on its page holds it, and in full if that text
+    also holds the first word of its name.  texts is (doc_id, page_no, sw_idx, text) of bound words, truth (key, code,
+    name); both meet in an index of the texts' words."""
+    on = ["doc_id", "page_no"]
+
+    def bare(x: Column) -> Column:
+        return F.upper(F.btrim(x, F.lit("*,;:()")))
+
+    index = texts.select(*on, "sw_idx", F.explode(F.split("text", " ")).alias("t")).select(*on, "sw_idx", bare(F.col("t")).alias("token")).distinct()
+    asked = truth.select(*key, F.upper("code").alias("token"), bare(F.element_at(F.split("name", " "), 1)).alias("name_token"))
+    one = asked.join(index, [*on, "token"]).groupBy(*key).agg(F.count(F.lit(1)).alias("n"), F.min("sw_idx").alias("sw_idx")).where("n = 1").drop("n")
+    named = index.select(*on, "sw_idx", F.col("token").alias("name_token"), F.lit(True).alias("named"))
+    met = asked.join(one, key, "left").join(named, [*on, "sw_idx", "name_token"], "left")
+    return met.select(*key, F.col("sw_idx").isNotNull().alias("code_hit"), F.coalesce("named", F.lit(False)).alias("full_hit"))
+
+
 def token_roles(rows: DataFrame) -> DataFrame:
     """(doc_id, token, roles): tokens that appear in more than one field.  rows is (doc_id, field, token)."""
     return (

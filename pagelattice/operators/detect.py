@@ -301,14 +301,19 @@ def file_name_suspects(codes: DataFrame, names: DataFrame) -> DataFrame:
     return codes.join(clean, "doc_id").where(F.contains("clean", "token")).select("doc_id", "token")
 
 
-def cap_suspects(codes: DataFrame, words: DataFrame, pages: DataFrame, rules: RuleConfig = PRODUCTION) -> DataFrame:
-    """(doc_id, token): alphabetic codes whose occurrences reach their cap."""
+def cap_suspects(
+    codes: DataFrame, words: DataFrame, pages: DataFrame, anchors: DataFrame, alpha_vocab: DataFrame | None = None, rules: RuleConfig = PRODUCTION
+) -> DataFrame:
+    """(doc_id, token): alphabetic codes whose occurrences reach their cap, a multiple of the upper median over the document's
+    effective anchors.  A document without an effective anchor has no cap; trade words are left out of the count."""
     counts = normed(words).groupBy("doc_id", "token").agg(F.count(F.lit(1)).alias("n"))
-    own = codes.join(counts, ["doc_id", "token"])
-    mid = own.where(F.col("token").rlike("[0-9]")).groupBy("doc_id").agg(G.upper_median(F.col("n")).alias("mid"))
+    effective = effective_anchors(words, anchors, pages, rules)
+    mid = effective.join(counts, ["doc_id", "token"]).groupBy("doc_id").agg(G.upper_median(F.col("n")).alias("mid"))
     n_pages = pages.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_pages"))
     cap = F.greatest(
-        (rules.occurrence_factor * F.coalesce("mid", F.lit(0))).cast("double"),
-        F.least(rules.occurrence_pages * F.col("n_pages"), F.lit(float(rules.occurrence_cap))),
+        (rules.occurrence_factor * F.col("mid")).cast("double"), F.least(rules.occurrence_pages * F.col("n_pages"), F.lit(float(rules.occurrence_cap)))
     )
-    return own.where(T.is_alpha(F.col("token"))).join(mid, "doc_id", "left").join(n_pages, "doc_id").where(F.col("n") >= cap).select("doc_id", "token")
+    own = codes.where(T.is_alpha(F.col("token"))).join(counts, ["doc_id", "token"])
+    if alpha_vocab is not None:
+        own = own.join(alpha_vocab.select("token"), "token", "left_anti")
+    return own.join(mid, "doc_id").join(n_pages, "doc_id").where(F.col("n") >= cap).select("doc_id", "token")
