@@ -117,7 +117,7 @@ def _products(b: Bridge) -> tuple[DataFrame, DataFrame]:
     docs = docs.select(F.col("s_suppkey").cast("long").alias("doc_id"), F.col("n_name").alias("brand"), F.lower("s_name").alias("stem")).join(n_swatches, "doc_id", "left").na.fill(0)
     docs = docs.withColumn("file_name", F.when(F.col("doc_id") % 9 != 0, F.concat("stem", F.lit(".pdf"))))
     crops = swatches.where("sw_x1 - sw_x0 >= 40").select("doc_id", "sw", F.concat(F.lit("sw"), F.col("sw").cast("string"), F.lit(".png")).alias("png"))
-    suspects = dense.groupBy("doc_id", "code").agg(F.count_distinct("page_no").alias("k")).where("k >= 6")
+    suspects = dense.groupBy("doc_id", "code").agg(F.count_distinct("page_no").alias("k")).where("k >= 3")
     held = checkpoint(queue.join(bound.select("doc_id", "id", "page_no", "word_no", *products.BOX), ["doc_id", "id"]))
     held = held.withColumns({"hint_page": F.lit(None).cast("long"), "hint_sw": F.lit(None).cast("long")})
     made = checkpoint(products.product_documents(docs, variants, bound, spec, held, crops, suspects))
@@ -180,7 +180,7 @@ def _(b: Bridge) -> DataFrame:
 
 @query(
     "a28_document_risks",
-    rf"""{VALUES}, fl as (select doc_id, code from b group by all having count(distinct page_no) >= 6), fv as (select distinct doc_id, cluster, code from kp join fl using (doc_id, code)),
+    rf"""{VALUES}, fl as (select doc_id, code from b group by all having count(distinct page_no) >= 3), fv as (select distinct doc_id, cluster, code from kp join fl using (doc_id, code)),
 ro as (select doc_id, code token, page_no from sp union all select vs.doc_id, order_code, page_no from vs join sp using (doc_id, id) where order_code is not null
   union all select kp.doc_id, min(code), min(case when id = cluster then page_no end) from kp join re using (doc_id, cluster) where regime = 'B' group by kp.doc_id, kp.cluster),
 bf as (select doc_id, substr(price_band, 1, 1) l from vl where regexp_matches(price_band, '^[A-Z]\d{{1,2}}$') group by all having count(distinct price_band) >= 3),

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from pagelattice.config import RuleConfig
 from pagelattice.operators import assemble, audit, detect, layout, probes, scan
+from pagelattice.operators.components import checkpoint
 
 from . import layout_sql as Q
 from .audit_queries import AREAS, CL, GUARDS, _areas
@@ -14,7 +15,7 @@ from .queries import KEY, PK, Bridge, query
 
 # Replay: guards tight enough for the bridge's clusters to meet each of them
 
-TIGHT = RuleConfig(collapse=8, borderline=5, merge_pages=2, merge_bindings=7, single_page_area=0.5)
+TIGHT = RuleConfig(collapse=5, borderline=3, merge_pages=2, merge_bindings=4, single_page_area=0.5)
 RUNS = [
     probes.Replay("base"),
     probes.Replay("no_collapse", collapse=False),
@@ -29,9 +30,9 @@ _SQL_RUNS = " union all ".join(
 REPLAY = f"""{CL}, {AREAS}, cr as (select *, case when word_no % 21 = 5 then 'BEIGE' else color end raw from cl), runs as ({_SQL_RUNS}),
 rs as (select cr.doc_id, cluster, count(*) n, count(distinct page_no) pages, count(distinct color) k, count(distinct raw) k_raw, max(color) one, max(area_pct) area_pct from cr join ar using (doc_id, sw) group by all),
 rj as (select *, k > 1 or (raw_witnesses and k_raw > 1) conflict from rs, runs),
-rp as (select doc_id, cluster, n, pages, run, case when collapse and n >= 8 and pages >= 2 and conflict then 'assembly_collapse_suspect'
-    when single_page and n >= 8 and pages = 1 and area_pct >= 0.5 then 'singlepage_overmerge_suspect' when borderline and n < 8 and pages >= 2 and conflict and n >= 5 then 'borderline_merge_suspect'
-    when radius and pages >= 2 and (pages > 2 or n > 7) then 'assembly_merge_radius_suspect' end reason, case when k = 1 and not conflict then one end color from rj)"""
+rp as (select doc_id, cluster, n, pages, run, case when collapse and n >= 5 and pages >= 2 and conflict then 'assembly_collapse_suspect'
+    when single_page and n >= 5 and pages = 1 and area_pct >= 0.5 then 'singlepage_overmerge_suspect' when borderline and n < 5 and pages >= 2 and conflict and n >= 3 then 'borderline_merge_suspect'
+    when radius and pages >= 2 and (pages > 2 or n > 4) then 'assembly_merge_radius_suspect' end reason, case when k = 1 and not conflict then one end color from rj)"""
 
 
 def _replayed(b: Bridge) -> DataFrame:
@@ -46,12 +47,14 @@ def _(b: Bridge) -> DataFrame:
 
 @query(
     "m_replay_changes",
-    f"""{REPLAY}, pr as (select x.run, x.doc_id, x.cluster, x.pages, y.reason is null was, x.reason is null now, x.color is distinct from y.color other from rp x join rp y on x.doc_id = y.doc_id and x.cluster = y.cluster and y.run = 'base' where x.run <> 'base')
-select run, doc_id, cluster, unnest(list_filter([case when not was and now then 'new' end, case when was and not now then 'disappeared' end, case when not was and now and pages > 1 then 'cross_page_new' end,
+    f"""{REPLAY}, pr as (select y.run base, x.run, x.doc_id, x.cluster, x.pages, y.reason is null was, x.reason is null now, x.color is distinct from y.color other from rp x join rp y on x.doc_id = y.doc_id and x.cluster = y.cluster and x.run <> y.run where y.run in ('base', 'none'))
+select base, run, doc_id, cluster, unnest(list_filter([case when not was and now then 'new' end, case when was and not now then 'disappeared' end, case when not was and now and pages > 1 then 'cross_page_new' end,
   case when was and not now and pages > 1 then 'cross_page_gone' end, case when was and now and other then 'value' end], lambda c: c is not null)) change from pr""",
 )
 def _(b: Bridge) -> DataFrame:
-    return probes.replay_changes(_replayed(b), "base")
+    replayed = checkpoint(_replayed(b))
+    both = [probes.replay_changes(replayed, base).withColumn("base", F.lit(base)) for base in ("base", "none")]
+    return both[0].unionByName(both[1])
 
 
 # Fates
@@ -121,27 +124,28 @@ def _(b: Bridge) -> DataFrame:
     return probes.separation(probes.hub_swatches(b.clustered, _areas(b)))
 
 
-# Medians: large is 1 % of the page, as the bridge has no larger swatches to speak of
+# Medians: large is 1 % of the page and an icon under 30 % of the median, as the bridge has no swatches much larger or smaller
 
 MEDIANS = f"""with {Q.scan()}, z0 as (select r.*, (r.x1 - r.x0) * (r.y1 - r.y0) area, {{'x0': round_even(r.x0/20, 0), 'y0': round_even(r.y0/20, 0), 'x1': round_even(r.x1/20, 0), 'y1': round_even(r.y1/20, 0)}} k from r join pg using (doc_id, page_no)),
 z as (select *, area >= 0.01 * 480000 big, median(area) over (partition by doc_id, page_no) pm, row_number() over (partition by doc_id, page_no order by sw_idx) rn,
-  count(*) over (partition by doc_id, k) >= greatest(5, 0.5 * (select count(*) from pg where pg.doc_id = z0.doc_id)) rep from z0),
+  count(*) over (partition by doc_id, k) >= greatest(2, 0.1 * (select count(*) from pg where pg.doc_id = z0.doc_id)) rep from z0),
 m as (select doc_id, median(area) median_all, coalesce(median(area) filter (where not big), median(area)) median_small, median(pm) filter (where rn = 1) median_page from z group by doc_id),
 wn as (select doc_id, page_no, sw_idx, count(*) words from v where aligned or demoted group by all),
 j as (select z.*, m.*, coalesce(words, 0) words from z join m using (doc_id) left join wn using (doc_id, page_no, sw_idx))
 select doc_id, median_all, median_small, median_page, count(*) n_sw, count(*) filter (where big) n_large,
-  count(*) filter (where area < 0.05 * median_all) small_all, count(*) filter (where area < 0.05 * median_small) small_small, count(*) filter (where area < 0.05 * median_page) small_page,
-  count(*) filter (where area >= 0.05 * median_all and rep and area < 0.5 * median_all) repeated_all,
-  cast(sum(case when area < 0.05 * median_all or (rep and area < 0.5 * median_all) then words else 0 end) as bigint) codes_all,
-  cast(sum(case when area < 0.05 * median_small or (rep and area < 0.5 * median_small) then words else 0 end) as bigint) codes_small,
-  cast(sum(case when area < 0.05 * median_page or (rep and area < 0.5 * median_page) then words else 0 end) as bigint) codes_page,
-  cast(sum(case when (area < 0.05 * median_all or (rep and area < 0.5 * median_all)) and not (area < 0.05 * median_small or (rep and area < 0.5 * median_small)) then words else 0 end) as bigint) rescued
+  count(*) filter (where area < 0.3 * median_all) small_all, count(*) filter (where area < 0.3 * median_small) small_small, count(*) filter (where area < 0.3 * median_page) small_page,
+  count(*) filter (where area >= 0.3 * median_all and rep and area < 0.6 * median_all) repeated_all,
+  cast(sum(case when area < 0.3 * median_all or (rep and area < 0.6 * median_all) then words else 0 end) as bigint) codes_all,
+  cast(sum(case when area < 0.3 * median_small or (rep and area < 0.6 * median_small) then words else 0 end) as bigint) codes_small,
+  cast(sum(case when area < 0.3 * median_page or (rep and area < 0.6 * median_page) then words else 0 end) as bigint) codes_page,
+  cast(sum(case when (area < 0.3 * median_all or (rep and area < 0.6 * median_all)) and not (area < 0.3 * median_small or (rep and area < 0.6 * median_small)) then words else 0 end) as bigint) rescued
 from j group by doc_id, median_all, median_small, median_page"""
 
 
 @query("m_median_probe", MEDIANS)
 def _(b: Bridge) -> DataFrame:
-    return probes.median_probe(b.rects, b.pages, b.judged().where("aligned or demoted").select(*PK, "sw_idx"), large=0.01)
+    rules = RuleConfig(icon_small=0.3, icon_repeated=0.6, repeat_floor=2, repeat_pages=0.1)
+    return probes.median_probe(b.rects, b.pages, b.judged().where("aligned or demoted").select(*PK, "sw_idx"), rules, large=0.01)
 
 
 # Columns without anchors
@@ -149,8 +153,8 @@ def _(b: Bridge) -> DataFrame:
 COLUMNS = f"""{Q.W}, {Q.N}, {Q.S}, {Q.C}, al0 as (select * from n where {Q.ALPHA} and regexp_matches(token, '^[A-Za-z0-9]{{3,8}}$') and not ("text" = lower("text") and "text" <> upper("text"))),
 ir as (select distinct al0.doc_id, al0.page_no, word_no from al0 join s using (doc_id, page_no) where abs(s_cy - cy) <= 1.5 * greatest(h, 1)),
 al as (select al0.*, ir.word_no is not null in_row from al0 left join ir using (doc_id, page_no, word_no)),
-mb as (select doc_id, page_no, x0 m_x, cy m_y, case when in_row then 1 else 0 end kind from al union all select doc_id, page_no, s_x0, s_cy, 2 from s union all select doc_id, page_no, x0, cy, 3 from cw),
-pr as (select al.doc_id, al.page_no, word_no, token, cy, in_row, m_y, kind from al join mb on mb.doc_id = al.doc_id and mb.page_no = al.page_no and abs(m_x - x0) <= 0.005 * 600),
+mb as (select doc_id, page_no, x0 m_x, cy m_y, case when in_row then 1 else 0 end kind from al union all select doc_id, page_no, s_x0, s_cy, 2 from s union all select doc_id, page_no, x0, cy, 3 from cw where doc_id % 2 = 0),
+pr as (select al.doc_id, al.page_no, word_no, token, cy, in_row, m_y, kind from al join mb on mb.doc_id = al.doc_id and mb.page_no = al.page_no and abs(m_x - x0) <= 0.02 * 600),
 st as (select doc_id, page_no, word_no, token, in_row, bool_or(kind = 3) anchored, count(*) filter (where kind < 2) k from pr group by all),
 dm as (select distinct doc_id, page_no, word_no, cy, m_y, kind from pr where kind < 3),
 gp as (select doc_id, page_no, word_no, m_y - lag(m_y) over (partition by doc_id, page_no, word_no order by m_y, kind) g from dm),
@@ -166,9 +170,9 @@ kt as (select doc_id, token from n group by all having count(*) >= 20)"""
   when gap is null then 'no_gap' else coalesce(fin, 'top') end verdict from st left join gm using (doc_id, page_no, word_no) left join en using (doc_id, page_no, word_no)""",
 )
 def _(b: Bridge) -> DataFrame:
-    """A name that a document has twenty times counts as kept."""
+    """A name that a document has twenty times counts as kept; odd documents have no anchors; columns are four times as wide."""
     kept = detect.normed(b.words).groupBy("doc_id", "token").agg(F.count(F.lit(1)).alias("n")).where("n >= 20")
-    return probes.unanchored_columns(b.words, b.pages, kept, b.codes)
+    return probes.unanchored_columns(b.words, b.pages, kept, b.codes.where("doc_id % 2 = 0"), rules=RuleConfig(column_tolerance=0.02))
 
 
 # Batches left, and scores with names
