@@ -8,9 +8,11 @@ import uuid
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pagelattice.operators import assemble, products, reports
+from pagelattice.config import RuleConfig
+from pagelattice.operators import assemble, detect, products, reports, scan
 from pagelattice.operators.components import checkpoint, ensure_checkpoint_dir
-from pagelattice.sources import documents, readers
+from pagelattice.sources import bridge, documents, readers
+from pagelattice.streaming.incremental import queue_arrivals
 
 from . import layout_sql as Q
 from .audit_queries import CL, GUARDS, REGIME, _areas
@@ -202,3 +204,32 @@ def _(b: Bridge) -> DataFrame:
     made, _ = _products(b)
     stems = b.table("supplier").select(F.col("s_suppkey").cast("long").alias("doc_id"), F.lower("s_name").alias("stem"))
     return products.document_risks(checkpoint(made), b.words, stems)
+
+
+# Arrivals
+
+
+@query(
+    "u6_arrival_queue",
+    f"""with {Q.scan(4)} select doc_id, page_no, word_no, token code, case when sw_idx is null then 'orphan' else 'not_x_aligned' end reason from v where not aligned""".replace(Q.icon(4), "icon as (select doc_id, page_no, sw_idx, false icon from r)"),
+)
+def _(b: Bridge) -> DataFrame:
+    """The review queue of documents that arrive in files, each of which is sent twice, by a streaming query of four files a
+    trigger: as many rows as the batch query has."""
+    path = shared_folder(b, "arrivals")
+    columns = ["doc_id", "page_no", "word_no", *products.BOX, "text"]
+    words = b.words.select(*columns).repartition(6, "doc_id")
+    words.write.parquet(f"{path}/in/first")
+    words.write.parquet(f"{path}/in/again")
+    rects, rules = checkpoint(b.rects), RuleConfig(4)
+
+    def judge(batch: DataFrame) -> DataFrame:
+        codes = detect.route_junk(detect.candidates(batch)).where("bucket = 'kept'").select("doc_id", "token")
+        return scan.review_items(scan.verdicts(batch, rects, codes, bridge.pages(batch), rules))
+
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in words.schema)
+    running = queue_arrivals(b.spark, schema, f"{path}/in/*", judge, KEY, f"{path}/queue", f"{path}/state", files=4)
+    running.awaitTermination()
+    if running.exception():
+        raise running.exception()
+    return b.spark.read.parquet(f"{path}/queue").drop("batch")

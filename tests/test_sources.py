@@ -4,7 +4,7 @@ import pytest
 
 from pagelattice.operators import detect
 from pagelattice.sources import readers
-from pagelattice.streaming.incremental import judge_arrivals
+from pagelattice.streaming.incremental import append_once, judge_arrivals, queue_arrivals
 
 
 def test_scan_files(spark, tmp_path):
@@ -54,3 +54,30 @@ def test_arrivals(spark, tmp_path):
     query = judge_arrivals(spark, schema, str(tmp_path / "in" / "*"), detect.candidates, str(tmp_path / "out"), str(tmp_path / "check"))
     query.awaitTermination(120)
     assert [(r["doc_id"], r["token"]) for r in spark.read.parquet(str(tmp_path / "out")).collect()] == [(1, "AB12")]
+
+
+def test_queue_stays_the_same_when_files_or_batches_come_again(spark, tmp_path):
+    schema, key, out = "doc_id long, word_no long, text string", ["doc_id", "word_no"], str(tmp_path / "queue")
+    one, two = [(1, 0, "AB12"), (1, 1, "x"), (None, 0, "y")], [(2, 0, "CD34")]
+
+    def send(name, rows):
+        spark.createDataFrame(rows, schema).write.parquet(str(tmp_path / "in" / name))
+
+    def run():
+        queue = queue_arrivals(spark, schema, str(tmp_path / "in" / "*"), lambda b: b, key, out, str(tmp_path / "state"), files=1)
+        queue.awaitTermination(180)
+        assert queue.exception() is None
+        return sorted(map(str, (tuple(r)[:3] for r in spark.read.parquet(out).select("doc_id", "word_no", "text").collect())))
+
+    send("a", one)
+    send("b", one + one)
+    want = sorted(map(str, one))
+    assert run() == want
+    send("c", two + one)
+    send("d", two)
+    want = sorted(map(str, one + two))
+    assert run() == want == run()
+    last = max(int(p.name.split("=")[1]) for p in (tmp_path / "queue").glob("batch=*"))
+    before = {p.name: spark.read.parquet(str(p)).count() for p in (tmp_path / "queue").glob("batch=*")}
+    append_once(spark.createDataFrame(two, schema), last, out, key)  # the last batch again
+    assert {p.name: spark.read.parquet(str(p)).count() for p in (tmp_path / "queue").glob("batch=*")} == before
