@@ -38,8 +38,9 @@ vc as (select doc_id, page_no, count(*) n_codes, count(*) filter (where sw_idx i
   count(*) filter (where blocked) code_block_bound, count(*) filter (where demoted) code_icon_demoted, count(*) filter (where not aligned and not blocked) code_needs_review from v group by all)"""
 
 
-def _verdict_sql(version: int) -> str:
-    """v with the block rescue of version 7; the rectangles are those moved into left columns."""
+def _verdict_sql(version: int, words: str = Q.W, codes: str = Q.C) -> str:
+    """v with the block rescue of version 7; the rectangles are those moved into left columns.  words gives w, codes cand, routed,
+    codes and cw."""
     rescued = f"""{LEFT}, res as (select a.doc_id, a.page_no, a.word_no, min({{'y0': bl.y0, 'sw_idx': bl.sw_idx}}).sw_idx bi from a join n using (doc_id, page_no, word_no) join bl using (doc_id, page_no)
   where a.rule = 'orphan' and bl.y0 <= n.cy and n.cy < bl.y1 and n.cx > column_x1 + 2 group by all),
 az as (select a.doc_id, a.page_no, a.word_no, coalesce(a.sw_idx, bi) sw_idx, case when bi is not null then 'block' else a.rule end "rule", case when bi is not null then -2.0 else a.d end d
@@ -52,22 +53,23 @@ az as (select a.doc_id, a.page_no, a.word_no, coalesce(a.sw_idx, bi) sw_idx, cas
     verdict = Q.V.replace("join a using", "join az a using").replace("v as (", "v0 as (")
     judged = """v as (select * exclude (aligned, demoted), aligned,
     rule = 'block' and not coalesce(icon.icon, false) blocked, demoted or (rule = 'block' and coalesce(icon.icon, false)) demoted from v0 left join icon using (doc_id, page_no, sw_idx))"""
-    return ", ".join((Q.W, moved, Q.N, Q.S, Q.C, Q.PG, Q.assign(version), icon, rescued, verdict, judged))
+    return ", ".join((words, moved, Q.N, Q.S, codes, Q.PG, Q.assign(version), icon, rescued, verdict, judged))
 
 
-def _extraction(version: int) -> None:
+def extraction_sql(version: int, words: str = Q.W, codes: str = Q.C) -> str:
+    """The counters of every page."""
     names = NAMED if version >= 4 else "hint as (select doc_id, page_no, word_no from v where false)"
     sides = f"{ROWSIZE}" if version >= 4 else ROWSIZE.replace("case when least(cw.x1, s_x1) - greatest(cw.x0, s_x0) > 0 then 1 else 2 end", "1")
-
-    @query(
-        f"q4_pages_v{version}",
-        f"""with {_verdict_sql(version)}, {names}, {sides}, {COUNTERS}
+    return f"""with {_verdict_sql(version, words, codes)}, {names}, {sides}, {COUNTERS}
 select pg.doc_id, pg.page_no, coalesce(n_codes, 0) n_codes, coalesce(code_orphan, 0) code_orphan, coalesce(code_far, 0) code_far, coalesce(code_x_aligned, 0) code_x_aligned,
   coalesce(code_block_bound, 0) code_block_bound, coalesce(code_icon_demoted, 0) code_icon_demoted, coalesce(code_needs_review, 0) code_needs_review,
   (select count(*) from rs where rs.doc_id = pg.doc_id and rs.page_no = pg.page_no) code_with_size, (select count(*) from hint where hint.doc_id = pg.doc_id and hint.page_no = pg.page_no) code_name_bound,
   coalesce(n_sw, 0) n_sw, coalesce(sw_no_code, 0) sw_no_code
-from pg left join vc using (doc_id, page_no) left join gp using (doc_id, page_no)""",
-    )
+from pg left join vc using (doc_id, page_no) left join gp using (doc_id, page_no)"""
+
+
+def _extraction(version: int) -> None:
+    @query(f"q4_pages_v{version}", extraction_sql(version))
     def _(b):
         """The counters of every page from the whole extraction, over swatches of which some stand in left columns."""
         counts = pages.extract_pages(b.words, _left(b), b.pages, b.codes.select("doc_id", "token"), rules=RuleConfig(version)).counts

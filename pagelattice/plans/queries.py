@@ -29,24 +29,30 @@ KEY = [*PK, "word_no"]
 @dataclass
 class Bridge:
     """The bridge tables of one folder, composed as plans.  Verdicts, which many plans read more than once,
-    are computed once and kept (checkpoint)."""
+    are computed once and kept (checkpoint); after keep(), so are words and rectangles."""
 
     spark: SparkSession
     sf_dir: str
 
     def __post_init__(self) -> None:
         self._judged: dict[int, DataFrame] = {}
+        self._kept: dict[str, DataFrame] = {}
+
+    def keep(self) -> None:
+        """From here on, words and rectangles are read from what is written now."""
+        if not self._kept:
+            self._kept = {"words": checkpoint(bridge.words(self.spark, self.sf_dir)), "rects": checkpoint(bridge.rects(self.spark, self.sf_dir))}
 
     def table(self, name: str) -> DataFrame:
         return bridge.table(self.spark, self.sf_dir, name)
 
     @property
     def words(self) -> DataFrame:
-        return bridge.words(self.spark, self.sf_dir)
+        return self._kept.get("words") or bridge.words(self.spark, self.sf_dir)
 
     @property
     def rects(self) -> DataFrame:
-        return bridge.rects(self.spark, self.sf_dir)
+        return self._kept.get("rects") or bridge.rects(self.spark, self.sf_dir)
 
     @property
     def pages(self) -> DataFrame:
