@@ -12,7 +12,6 @@ occurrence of an entity gets the same surrogate, in the occurrence's own format
 
 from __future__ import annotations
 
-import itertools
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -21,9 +20,14 @@ from pyspark.sql import functions as F
 from .common import checkpoint, materialize, read_table
 
 EMAIL = r"(?<![\p{L}\p{N}._%+\-])[\p{L}\p{N}._%+\-]++@[\p{L}\p{N}\-]+(?:\.[\p{L}\p{N}\-]+)*\.\p{L}{2,}"
-SECRET = r"""(?<!\p{L})(?i:token|secret|password|passwd|api[_\-]?key)\s{0,3}[=:]\s{0,3}["'][^"'\s]{6,}+["']"""
+SECRET_WORD = r"(?<!\p{L})(?i:token|secret|password|passwd|api[_\-]?key)\s{0,3}[=:]\s{0,3}"
+#: In quotes anything, without quotes what holds a digit.
+SECRET = rf"""{SECRET_WORD}(?:["'][^"'\s]{{6,}}+["']|(?=[^\s"',;]*\d)[^\s"',;]{{6,}}+)"""
+SECRET_VALUE = rf"""^{SECRET_WORD}["']?([^"'\s]+)["']?$"""
 PHONE = r"(?<![\w+])\+\d{1,3}[ .\-]?(?:\(\d{1,4}\)[ .\-]?)?\d{2,4}(?:[ .\-]?\d{2,4}){1,4}(?!\d)"
 LOCAL_PHONE = r"(?<![\w+])(?:\(\d{3}\) ?|\d{3}[\-.])\d{3}[\-.]\d{4}(?!\d)"
+#: With the 0 of long-distance calls, eight digits or more.
+TRUNK_PHONE = r"(?<![\w+.,/:\-])(?=(?:\d[ /\-]?){8})0\d{1,4}[ /\-]\d{3,8}(?:[ \-]\d{2,8}){0,3}(?![\d:])"
 IPV4 = r"(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?!\d|\.\d)"
 NATIONAL_ID = r"(?<![\d\-])\d{3}-\d{2}-\d{4}(?![\d\-])"
 ACCOUNT = r"(?<![\d\w])\d(?:[ \-]?\d){12,18}(?!\d)"
@@ -37,13 +41,15 @@ KINDS = {
     "email": EMAIL,
     "secret": SECRET,
     "iban": IBAN,
-    "phone": f"{PHONE}|{LOCAL_PHONE}",
+    "phone": f"{PHONE}|{LOCAL_PHONE}|{TRUNK_PHONE}",
     "ip": IPV4,
     "national_id": NATIONAL_ID,
     "account": ACCOUNT,
     "name": NAME,
 }
 PATTERN = "|".join(f"(?:{p})" for p in KINDS.values())
+#: Two words that may be a name without a title, at every place where one begins.
+TWO_WORDS = r"(?<!\p{L})(?=(\p{Lu}\p{L}+ \p{Lu}\p{L}+)(?!\p{L}))"
 #: A text without any of these has no entity: a cheap first look.
 HINT = rf"[@\d=:]|(?<!\p{{L}})(?:{FEMALE}|{MALE}|{NEUTRAL})"
 
@@ -90,7 +96,7 @@ def normal_form(kind: Column, entity: Column) -> Column:
     return (
         F.when(kind == "phone", F.concat(F.when(entity.startswith("+"), "+").otherwise(""), _digits(entity)))
         .when(kind.isin("national_id", "account"), _digits(entity))
-        .when(kind == "secret", F.lower(F.regexp_extract(entity, r"""["']([^"'\s]+)["']""", 1)))
+        .when(kind == "secret", F.lower(F.regexp_extract(entity, SECRET_VALUE, 1)))
         .when(kind == "iban", F.regexp_replace(entity, " ", ""))
         .when(kind == "name", F.lower(F.regexp_replace(entity, rf"^(?:{FEMALE}|{MALE}|{NEUTRAL})\.? ", "")))
         .otherwise(F.lower(entity))
@@ -253,25 +259,31 @@ def known_gender(entities: DataFrame) -> DataFrame:
     return of.select("kind", "norm", only.alias("only"), every).select("kind", "norm", "gender", F.when(F.col("gender") == "n", F.col("only")).otherwise(F.col("gender")).alias("as"))
 
 
-def surrogates(entities: DataFrame, key: str, rounds: int = 8) -> DataFrame:
+def _clash(x: Column) -> Column:
+    """What two values must not share: neither case nor the + of a phone number makes a difference."""
+    return F.lower(F.regexp_replace(x, r"^\+", ""))
+
+
+def surrogates(entities: DataFrame, key: str, rounds: int = 8, longer: int = 24) -> DataFrame:
     """(kind, norm, gender, surrogate) for the distinct entities (kind, norm, gender): surrogates are distinct from
-    each other and from every entity, whatever their kinds."""
+    each other and from every entity, whatever their kinds and case.  After `rounds` attempts a format has none left
+    and gets longer ones; entities still without one after `longer` more attempts are an error."""
     real = checkpoint(entities.where("kind is not null and norm is not null and norm <> ''").select("kind", "norm", "gender").distinct())
     names = ["kind", "norm", "gender"]
     # what must not be drawn: all entities, then all surrogates too, each written once
-    taken, done, open_ = [real.select(F.regexp_replace("norm", r"^\+", "").alias("surrogate"))], [], real
-    for attempt in itertools.count():
-        # a short format may have no free surrogate left: it gets a longer one
+    taken, done, open_ = [real.select(_clash(F.col("norm")).alias("clash"))], [], real
+    for attempt in range(rounds + longer):
         how = draw if attempt < rounds else draw_longer
-        drawn = checkpoint(open_.withColumn("surrogate", how(F.col("kind"), F.col("norm"), F.col("gender"), key, F.lit(attempt))))
-        free = drawn.join(reduce(DataFrame.unionByName, taken), "surrogate", "left_anti")
-        best = free.groupBy("surrogate").agg(F.min(F.struct(*names)).alias("b")).select("surrogate", "b.*")
-        done.append(checkpoint(best.select(*names, "surrogate")))
-        taken.append(done[-1].select("surrogate"))
+        drawn = open_.withColumn("surrogate", how(F.col("kind"), F.col("norm"), F.col("gender"), key, F.lit(attempt)))
+        drawn = checkpoint(drawn.withColumn("clash", _clash(F.col("surrogate"))))
+        free = drawn.join(reduce(DataFrame.unionByName, taken), "clash", "left_anti")
+        best = free.groupBy("clash").agg(F.min(F.struct(*names, "surrogate")).alias("b")).select("clash", "b.*")
+        done.append(checkpoint(best.select(*names, "surrogate", "clash")))
+        taken.append(done[-1].select("clash"))
         open_ = checkpoint(drawn.join(done[-1].select(*names), names, "left_anti").select(*names))
         if open_.isEmpty():
-            break
-    return reduce(DataFrame.unionByName, done)
+            return reduce(DataFrame.unionByName, done).drop("clash")
+    raise RuntimeError("no free surrogates are left for some entities")
 
 
 def dressed(kind: Column, entity: Column, surrogate: Column) -> Column:
@@ -287,12 +299,14 @@ def dressed(kind: Column, entity: Column, surrogate: Column) -> Column:
     )
     upper = (entity == F.upper(entity)) & (entity != F.lower(entity))
     cased = F.when(upper, F.upper(surrogate)).otherwise(surrogate)
-    quoted = F.regexp_extract(entity, r"""["']([^"'\s]+)["']""", 1)
-    secret = F.when((quoted == F.upper(quoted)) & (quoted != F.lower(quoted)), F.upper(surrogate)).otherwise(surrogate)
+    value = F.regexp_extract(entity, SECRET_VALUE, 1)
+    secret = F.when((value == F.upper(value)) & (value != F.lower(value)), F.upper(surrogate)).otherwise(surrogate)
+    around = F.regexp_extract_all(entity, F.lit(rf"""^{SECRET_WORD}["']?|["']$"""), F.lit(0))
+    around = F.concat(F.get(around, F.lit(0)), secret, F.coalesce(F.get(around, F.lit(1)), F.lit("")))
     title = F.regexp_extract(entity, rf"^(?:{FEMALE}|{MALE}|{NEUTRAL})\.? ", 0)
     return (
         F.when(kind.isin("phone", "national_id", "account", "iban"), spread)
-        .when(kind == "secret", F.replace(entity, quoted, secret))
+        .when(kind == "secret", around)
         .when(kind == "name", F.concat(title, surrogate))
         .otherwise(cased)
     )
@@ -302,8 +316,9 @@ def pseudonymise(docs: DataFrame, key: str) -> DataFrame:
     """(doc_id, text, n_pii): every row of docs with its entities replaced.
 
     Equal entities get equal surrogates across the corpus, different ones different
-    surrogates.  A null text stays null with n_pii 0; a text without entities comes back
-    unchanged and is not shuffled.  Rows that repeat a doc_id and a text are treated alike.
+    surrogates; two words that are somewhere a name behind a title count as it without one, too.  A
+    null text stays null with n_pii 0; a text without entities and without two capitalised words in a row
+    comes back unchanged and is not shuffled.  Rows that repeat a doc_id and a text are treated alike.
     An empty table gives an empty result; other columns are not read.  The key is the
     caller's secret: with it, the surrogates of a corpus can be drawn again.
     """
@@ -311,6 +326,9 @@ def pseudonymise(docs: DataFrame, key: str) -> DataFrame:
         raise ValueError("a key is needed")
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     found = base.withColumn("found", find(F.col("text")))
+    rest = F.array_join(F.split(F.col("text"), PATTERN, -1), "\n")
+    pairs = F.array_distinct(F.regexp_extract_all(F.when(F.size("found") > 0, rest).otherwise(F.col("text")), F.lit(TWO_WORDS), F.lit(1)))
+    found = found.withColumn("pairs", F.coalesce(pairs, F.array().cast("array<string>")))
     # entities alone: small beside the texts, and read three times
     row = [F.coalesce(F.xxhash64("doc_id", "text"), F.lit(0)).alias("row"), F.coalesce("doc_id", F.lit(-1)).alias("doc_key")]
     listed = materialize(
@@ -323,26 +341,39 @@ def pseudonymise(docs: DataFrame, key: str) -> DataFrame:
     )
     genders = known_gender(listed.where("kind = 'name'"))
     listed = listed.join(genders, ["kind", "norm", "gender"], "left").withColumn("gender", F.coalesce("as", "gender")).drop("as")
-    table = surrogates(listed.select("kind", "norm", "gender"), key)
-    named = listed.join(table, ["kind", "norm", "gender"], "left").select(
-        "row", "doc_key", "at", F.coalesce(dressed(F.col("kind"), F.col("entity"), F.col("surrogate")), F.col("entity")).alias("new")
-    )
+    table = materialize(surrogates(listed.select("kind", "norm", "gender"), key), "pii-surrogates")
+    lost = F.raise_error(F.lit("an entity has no surrogate")).cast("string")
+    named = listed.join(table, ["kind", "norm", "gender"], "left").select("row", "doc_key", "at", F.coalesce(dressed(F.col("kind"), F.col("entity"), F.col("surrogate")), lost).alias("new"))
     news = named.distinct().groupBy("row", "doc_key").agg(F.array_sort(F.collect_list(F.struct("at", "new"))).alias("news"))
+    # the same people without a title: a name under titles of both genders takes the first one's surrogate
+    people = table.where("kind = 'name' and norm like '% %'").groupBy("norm").agg(F.min(F.struct("gender", "surrogate"))["surrogate"].alias("surrogate"))
+    again = found.where(F.size("pairs") > 0).select(*row, F.explode("pairs").alias("entity")).withColumn("norm", F.lower("entity"))
+    again = again.join(people, "norm").select("row", "doc_key", "entity", dressed(F.lit("name"), F.col("entity"), F.col("surrogate")).alias("new"))
+    repeats = again.distinct().groupBy("row", "doc_key").agg(F.array_sort(F.collect_list(F.struct("entity", "new"))).alias("repeats"))
     between = F.split(F.col("text"), PATTERN, -1)
+    whole = lambda entity: F.concat(F.lit(r"(?<!\p{L})"), entity, F.lit(r"(?!\p{L})"))
+
+    def renamed(part: Column) -> Column:
+        return F.aggregate(F.coalesce("repeats", F.array()), part, lambda t, r: F.regexp_replace(t, whole(r["entity"]), r["new"]))
+
+    n_repeats = F.aggregate(
+        F.coalesce("repeats", F.array()), F.lit(0).cast("long"), lambda n, r: n + F.aggregate(between, F.lit(0).cast("long"), lambda k, part: k + F.regexp_count(part, whole(r["entity"])))
+    )
     touched = (
-        found.where(F.size("found") > 0)
+        found.where((F.size("found") > 0) | (F.size("pairs") > 0))
         .select("doc_id", "text", *row)
-        .join(news, ["row", "doc_key"])
+        .join(news, ["row", "doc_key"], "left")
+        .join(repeats, ["row", "doc_key"], "left")
         .select(
             "doc_id",
             F.array_join(
-                F.zip_with(between, F.col("news.new"), lambda a, b: F.concat(a, F.coalesce(b, F.lit("")))),
+                F.zip_with(F.transform(between, renamed), F.coalesce("news.new", F.array().cast("array<string>")), lambda a, b: F.concat(a, F.coalesce(b, F.lit("")))),
                 "",
             ).alias("text"),
-            F.size("news").cast("long").alias("n_pii"),
+            (F.when(F.col("news").isNotNull(), F.size("news")).otherwise(0) + n_repeats).cast("long").alias("n_pii"),
         )
     )
-    plain = found.where("coalesce(size(found), 0) <= 0").select("doc_id", "text", F.lit(0).cast("long").alias("n_pii"))
+    plain = found.where("coalesce(size(found), 0) <= 0 and coalesce(size(pairs), 0) <= 0").select("doc_id", "text", F.lit(0).cast("long").alias("n_pii"))
     return plain.unionByName(touched)
 
 

@@ -205,3 +205,42 @@ def test_generated_corpus_against_a_plain_version(spark):
 def test_a_key_is_needed(spark):
     with pytest.raises(ValueError):
         out(spark, ROWS, "")
+
+
+def test_surrogates_as_real_names_of_the_next_run(spark):
+    """What one run draws is a real person of the next: still all are distinct, and no surrogate is anybody's name."""
+    people = ["Bob Stone", "Carl Weber", "Eric Moore"]
+    first = out(spark, [(i, f"Mr {x}.") for i, x in enumerate(people)])
+    drawn = [re.fullmatch(r"Mr (\w+ \w+)\.", first[i]["text"])[1] for i in range(3)]
+    real = people + drawn
+    second = out(spark, [(i, f"Mr {x}.") for i, x in enumerate(real)])
+    made = [re.fullmatch(r"Mr (\w+ \w+)\.", second[i]["text"])[1].lower() for i in range(6)]
+    assert len(set(made)) == 6 and not set(made) & {x.lower() for x in real}
+
+
+def test_a_lost_surrogate_is_an_error(spark, monkeypatch):
+    monkeypatch.setattr(pii, "surrogates", lambda entities, key: entities.where("false").select("kind", "norm", "gender", F.lit("").alias("surrogate")))
+    with pytest.raises(Exception, match="has no surrogate"):
+        out(spark, [(1, "Mr Bob Stone")])
+
+
+def test_entities_named_by_hand(spark):
+    """Texts with what must go and what must stay, written down without the operator's patterns."""
+    rows = [
+        ("Bob Stone said so, and Bob Stoneman too", ["Bob Stone "], ["said so, and Bob Stoneman too"]),
+        ("Yesterday Mr Bob Stone came.", ["Bob Stone"], ["Yesterday Mr ", " came."]),
+        ("Dear Alice Walker, BOB STONE is here", ["Alice Walker"], ["Dear ", "is here"]),
+        ("Mrs. Alice Walker", ["Alice Walker"], ["Mrs. "]),
+        ("password=hunter22, then password: because it was short", ["hunter22"], ["password=", "password: because it was short"]),
+        ("call 0171 2345678 or 030/1234 567 today", ["0171 2345678", "1234 567"], ["call 0", " or 0", " today"]),
+        ("on 2020-01-02 at 08:30 with 0.5 of 10 000 000", [], ["on 2020-01-02 at 08:30 with 0.5 of 10 000 000"]),
+        ("api_key: 'abcdef' and token = \"ABC-123-xyz\"", ["abcdef", "ABC-123-xyz"], ["api_key: '", "' and token = \""]),
+    ]
+    got = out(spark, [(i, t) for i, (t, *_) in enumerate(rows)])
+    for i, (text, gone, kept) in enumerate(rows):
+        new = got[i]["text"]
+        assert all(x not in new for x in gone) and all(x in new for x in kept), (text, new)
+        assert (new == text) == (not gone)
+    name = re.fullmatch(r"(\w+ \w+) said so.*", got[0]["text"])[1]
+    assert got[1]["text"] == f"Yesterday Mr {name} came." and got[0]["n_pii"] == 1
+    assert re.fullmatch(r"Dear (\w+ \w+), BOB STONE is here", got[2]["text"])[1] == re.fullmatch(r"Mrs\. (\w+ \w+)", got[3]["text"])[1]
