@@ -356,9 +356,8 @@ def pseudonymise(docs: DataFrame, key: str) -> DataFrame:
     def renamed(part: Column) -> Column:
         return F.aggregate(F.coalesce("repeats", F.array()), part, lambda t, r: F.regexp_replace(t, whole(r["entity"]), r["new"]))
 
-    n_repeats = F.aggregate(
-        F.coalesce("repeats", F.array()), F.lit(0).cast("long"), lambda n, r: n + F.aggregate(between, F.lit(0).cast("long"), lambda k, part: k + F.regexp_count(part, whole(r["entity"])))
-    )
+    any_name = F.concat(F.lit("(?:"), F.array_join(F.col("repeats.entity"), "|"), F.lit(")"))
+    n_repeats = F.when(F.col("repeats").isNotNull(), F.regexp_count(rest, whole(any_name))).otherwise(0)
     touched = (
         found.where((F.size("found") > 0) | (F.size("pairs") > 0))
         .select("doc_id", "text", *row)

@@ -229,7 +229,7 @@ def test_entities_named_by_hand(spark):
     rows = [
         ("Bob Stone said so, and Bob Stoneman too", ["Bob Stone "], ["said so, and Bob Stoneman too"]),
         ("Yesterday Mr Bob Stone came.", ["Bob Stone"], ["Yesterday Mr ", " came."]),
-        ("Dear Alice Walker, BOB STONE is here", ["Alice Walker"], ["Dear ", "is here"]),
+        ("Dear Alice Walker, BOB STONE is here", ["Alice Walker", "BOB STONE"], ["Dear ", " is here"]),
         ("Mrs. Alice Walker", ["Alice Walker"], ["Mrs. "]),
         ("password=hunter22, then password: because it was short", ["hunter22"], ["password=", "password: because it was short"]),
         ("call 0171 2345678 or 030/1234 567 today", ["0171 2345678", "1234 567"], ["call 0", " or 0", " today"]),
@@ -243,4 +243,4 @@ def test_entities_named_by_hand(spark):
         assert (new == text) == (not gone)
     name = re.fullmatch(r"(\w+ \w+) said so.*", got[0]["text"])[1]
     assert got[1]["text"] == f"Yesterday Mr {name} came." and got[0]["n_pii"] == 1
-    assert re.fullmatch(r"Dear (\w+ \w+), BOB STONE is here", got[2]["text"])[1] == re.fullmatch(r"Mrs\. (\w+ \w+)", got[3]["text"])[1]
+    assert re.fullmatch(rf"Dear (\w+ \w+), {name} is here", got[2]["text"])[1] == re.fullmatch(r"Mrs\. (\w+ \w+)", got[3]["text"])[1]
