@@ -105,7 +105,7 @@ def fit(
     """Vectors of at most about `max_labelled` labelled documents, those with the smallest hash of doc_id.
 
     Rows with a null label, id or text teach nothing; a document with several labels
-    teaches their rounded mean.  The sample is a documented bound on what is learned from,
+    teaches their rounded mean, an id with several texts the greatest one.  The sample is a documented bound on what is learned from,
     collected (a document has at most ROWS features of eight bytes, so 0.5 GB in the worst case
     at 4,000) and broadcast (one vector of `dimensions` each); every document is scored.
     """
@@ -132,9 +132,10 @@ def fit(
             )
 
     sample = docs.select("doc_id", F.col("text").cast("string").alias("text")).where("text is not null")
-    sample = sample.join(F.broadcast(chosen), "doc_id")  # about max_labelled rows
+    sample = sample.join(F.broadcast(chosen), "doc_id")
+    sample = sample.groupBy("doc_id").agg(F.max("text").alias("text"), F.max("label").alias("label"))  # about max_labelled rows, however often an id repeats
     rows = sample.select("doc_id", "text", "label").mapInArrow(extract, "doc_id long, label int, at binary, value binary").collect()
-    rows = sorted({r["doc_id"]: r for r in sorted(rows, key=lambda r: (r["doc_id"], bytes(r["at"])))}.values(), key=lambda r: r["doc_id"])
+    rows = sorted(rows, key=lambda r: r["doc_id"])
     y = np.array([min(1, max(0, r["label"])) for r in rows], np.int64)
     found = [(np.frombuffer(r["at"], "<i4").astype(np.int64), np.frombuffer(r["value"], "<f4")) for r in rows]
     seen = np.zeros(ROWS)

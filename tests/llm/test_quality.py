@@ -164,3 +164,13 @@ def test_neighbours_odd_rows(spark, odd, documents):
     assert neighbours.predict(odd.where(F.lit(False)), model).count() == 0
     nothing = neighbours.fit(documents, labels.where(F.lit(False)))
     assert {r["score"] for r in neighbours.predict(odd, nothing).collect()} == {0.5}
+
+
+def test_an_id_that_repeats_is_learned_once(spark):
+    """However often a labelled id occurs, one row of it reaches the driver, and what is learned stays the same."""
+    texts = [(i, f"{'good plain words' if i % 2 else 'junk junk spam'} number {i}") for i in range(40)]
+    labels = spark.createDataFrame([(i, i % 2) for i, _ in texts], "doc_id long, quality int")
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    many = docs.unionByName(spark.createDataFrame([(3, texts[3][1])] * 500, "doc_id long, text string"))
+    once, often = (neighbours.fit(d, labels) for d in (docs, many))
+    assert len(often.vectors) == 40 and (once.vectors == often.vectors).all()
