@@ -28,14 +28,15 @@ _HASH_BITS = 56
 #: A word in more prefixes than this has its sets compared with the earliest of them first.
 HOT = 500
 _BITS = [1 << k if k < 63 else -(1 << 63) for k in range(64)]
-#: Documents with lines to verify are told to the scan of the texts up to this number; beyond, texts are shuffled to them.
+#: Lines to verify (four numbers each) are told to the scan of the texts up to this number; beyond, texts are shuffled to them.
 _TOLD = 1_000_000
 
 
 def _clean(text: Column) -> Column:
     """The text with blanks for other white space within its lines; few texts have any."""
     text = text.cast("string")
-    return F.when(text.rlike(r"[\t\x0B\x0C\r]"), F.regexp_replace(text, r"[\t\x0B\x0C\r]", " ")).otherwise(text)
+    has = text.contains("\t") | text.contains("\x0b") | text.contains("\x0c") | text.contains("\r")
+    return F.when(has, F.regexp_replace(text, r"[\t\x0B\x0C\r]", " ")).otherwise(text)
 
 
 def _words(line: Column) -> Column:
@@ -148,7 +149,7 @@ def _word_pairs(sets: DataFrame, crowded: DataFrame, t: float) -> DataFrame:
 
 
 def similar_lines(docs: DataFrame, t: float = SIMILARITY, hot: int = HOT) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """The lines (doc_id, row, line_no, th); the word sets (th, first); and the th of those with an earlier similar set.
+    """The lines (doc_id, row, line_no, th); the word sets (th, first, copies); and the th of those with an earlier similar set.
 
     Sets are told apart by 64 bits of hash.  `hot` decides on the order of comparisons, not on the result."""
     rank, lines, spark = word_frequencies(docs), _numbered_lines(docs), docs.sparkSession
@@ -165,7 +166,9 @@ def similar_lines(docs: DataFrame, t: float = SIMILARITY, hot: int = HOT) -> tup
     )
     keyed = materialize(full.select("doc_id", "row", "line_no", "th"), "lines")
     sets = materialize(
-        full.groupBy("th").agg(F.min(F.struct("doc_id", "line_no", "row")).alias("first"), F.first("set").alias("set")).select("th", "first", "set.*"),
+        full.groupBy("th")
+        .agg(F.min(F.struct("doc_id", "line_no", "row")).alias("first"), F.count(F.lit(1)).alias("copies"), F.first("set").alias("set"))
+        .select("th", "first", "copies", "set.*"),
         "line-sets",
     )
     drop_table(full)
@@ -173,11 +176,13 @@ def similar_lines(docs: DataFrame, t: float = SIMILARITY, hot: int = HOT) -> tup
     # words in many prefixes, and the earliest set of each
     least = _class(hot) << _HASH_BITS  # no word of a lower class is in more than `hot` prefixes
     entries = _entries(sets, t)
-    crowded = entries.where(F.col("word") >= least).groupBy("word").count().where(F.col("count") > hot).select("word")
+    # a prefix is sorted, so its last word tells whether any can be crowded
+    frequent = _entries(sets.where(F.get("prefix", F.size("prefix") - 1) >= least), t, "first").where(F.col("word") >= least)
+    crowded = frequent.groupBy("word").count().where(F.col("count") > hot).select("word")
     crowded = materialize(crowded, "line-crowded")
     free_shuffles(spark)
     some = bool(crowded.head(1))
-    of_crowded = _entries(sets, t, "first").join(crowded, "word", "left_semi")
+    of_crowded = frequent.join(crowded, "word", "left_semi")
     heads = of_crowded.groupBy("word").agg(F.min(F.struct("first", *_ENTRY)).alias("h")).select("word", *(f"h.{c}" for c in _ENTRY))
     heads = materialize(heads, "line-heads") if some else None
     few = entries.join(crowded, "word", "left_anti") if some else entries
@@ -185,11 +190,11 @@ def similar_lines(docs: DataFrame, t: float = SIMILARITY, hot: int = HOT) -> tup
     met = _side(few, "a").join(_side(few, "b"), "word")
     pairs = met.where("sa < sb").where(_may_match(t)).select("sa", "sb")
     if some:
-        star = _side(entries, "b").where(F.col("word") >= least).join(_side(heads, "a"), "word").where("sa <> sb")
+        star = _side(frequent, "b").join(_side(heads, "a"), "word").where("sa <> sb")
         pairs = pairs.unionByName(star.where(_may_match(t)).select("sa", "sb"))
     ends = F.least("sa", "sb").alias("a"), F.greatest("sa", "sb").alias("b")
     pairs = materialize(pairs.select(*ends).distinct(), "line-pairs")
-    del few, entries, met, of_crowded
+    del few, entries, met, frequent, of_crowded
     free_shuffles(spark)
     gone = _later(docs, sets, pairs, rank, t)
     if some:
@@ -203,28 +208,24 @@ def similar_lines(docs: DataFrame, t: float = SIMILARITY, hot: int = HOT) -> tup
         if not rest.isEmpty():
             gone = materialize(gone.unionByName(_later(docs, sets, rest, rank, t)).distinct(), "line-settled")
             free_shuffles(spark)
-    return keyed, sets.select("th", "first"), gone
+    return keyed, sets.select("th", "first", "copies"), gone
 
 
 def _later(docs: DataFrame, sets: DataFrame, pairs: DataFrame, rank: list[int], t: float) -> DataFrame:
     """(th) of the later sets of the pairs whose words are similar enough."""
     spark = docs.sparkSession
     ends = pairs.select(F.explode(F.array("a", "b")).alias("th")).distinct()
-    wanted = (
-        sets.select("th", "first")
-        .join(ends, "th", "left_semi")
-        .groupBy(F.col("first.doc_id").alias("doc_id"), F.col("first.row").alias("row"))
-        .agg(F.collect_list(F.struct("th", F.col("first.line_no").alias("line_no"))).alias("wanted"))
-    )
-    # only those lines are read for words; whole texts move where there are more documents than can be told to the scan
+    wanted = sets.select("th", "first.doc_id", "first.row", "first.line_no").join(ends, "th", "left_semi")
+    # only those lines are read for words; whole texts move where there are more lines than can be told to the scan
     wanted = materialize(wanted, "line-ends")
-    wanted = F.broadcast(wanted) if wanted.count() <= _TOLD else wanted
+    told = wanted.count() <= _TOLD
+    holders = wanted.select("doc_id", "row").distinct()
     texts = docs.select(_id(F.col("doc_id")).alias("doc_id"), F.xxhash64("text").alias("row"), F.col("text").cast("string").alias("text"))
-    found = texts.join(wanted, ["doc_id", "row"])
-    found = found.select(F.split(_clean(F.col("text")), "\n").alias("lines"), F.explode("wanted").alias("e"))
-    words = found.select(F.col("e.th").alias("th"), _ordered(F.get("lines", F.col("e.line_no")), rank).alias("words"))
-    words = materialize(words.dropDuplicates(["th"]), "line-words")
-    del found, texts
+    texts = texts.join(F.broadcast(holders) if told else holders, ["doc_id", "row"], "left_semi")
+    found = texts.select("doc_id", "row", F.posexplode(F.split(_clean(F.col("text")), "\n")).alias("line_no", "line"))
+    found = found.join(F.broadcast(wanted) if told else wanted, ["doc_id", "row", "line_no"])
+    words = materialize(found.select("th", _ordered(F.col("line"), rank).alias("words")).dropDuplicates(["th"]), "line-words")
+    del found, texts, holders
     free_shuffles(spark)
     ended = words.join(sets.select("th", "first"), "th")
     left, right = (ended.select(F.col("th").alias(k), F.col("words").alias(f"w{k}"), F.col("first").alias(f"f{k}")) for k in "ab")
@@ -239,8 +240,10 @@ def _later(docs: DataFrame, sets: DataFrame, pairs: DataFrame, rank: list[int],
 def _verdicts(docs: DataFrame, t: float) -> DataFrame:
     """(doc_id, row, n_lines, removed): lines with a word, and the numbers (from 0) of those that go."""
     lines, sets, gone = similar_lines(docs, t)
-    judged = lines.join(sets.join(gone.withColumn("gone", F.lit(True)), "th", "left"), "th")
-    out = F.coalesce("gone", F.lit(False)) | (F.struct("doc_id", "line_no", "row") != F.col("first"))
+    # lines that stand alone in their set and stay need no partner
+    settled = sets.join(gone.withColumn("gone", F.lit(True)), "th", "left").where("copies > 1 or gone").select("th", "first", "gone")
+    judged = lines.join(settled, "th", "left")
+    out = F.coalesce("gone", F.lit(False)) | F.coalesce(F.struct("doc_id", "line_no", "row") != F.col("first"), F.lit(False))
     return (
         judged.select("doc_id", "row", "line_no", out.alias("out"))
         .groupBy("doc_id", "row")
