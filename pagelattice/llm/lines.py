@@ -176,8 +176,7 @@ def similar_lines(docs: DataFrame, t: float = SIMILARITY, hot: int = HOT) -> tup
     # words in many prefixes, and the earliest set of each
     least = _class(hot) << _HASH_BITS  # no word of a lower class is in more than `hot` prefixes
     entries = _entries(sets, t)
-    # a prefix is sorted, so its last word tells whether any can be crowded
-    frequent = _entries(sets.where(F.get("prefix", F.size("prefix") - 1) >= least), t, "first").where(F.col("word") >= least)
+    frequent = _entries(sets, t, "first").where(F.col("word") >= least)
     crowded = frequent.groupBy("word").count().where(F.col("count") > hot).select("word")
     crowded = materialize(crowded, "line-crowded")
     free_shuffles(spark)
