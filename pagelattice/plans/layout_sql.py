@@ -29,6 +29,13 @@ R = """r as (
 SPREAD_W = f"""{W.replace("w as (", "w0 as (", 1)}, w as (select doc_id, page_no, word_no, x0 + s x0, y0, x1 + s x1, y1, "text" from (select *, case when doc_id % 2 = 1 and word_no % 2 = 1 then 600 else 0 end s from w0))"""
 SPREAD_R = f"""{R.replace("r as (", "r0 as (", 1)}, r as (select doc_id, page_no, sw_idx, rid, x0 + s x0, y0, x1 + s x1, y1 from (select *, case when doc_id % 2 = 1 and rid % 2 = 1 then 600 else 0 end s from r0))"""
 
+#: Pages of eight kinds: 3 has rectangles only, 4 sizes only, 5 lower-case names only, 6 no rectangles, 7 hairlines for rectangles;
+#: every fifth document has no rectangles at all.
+VARIED_W = f"""{W.replace("w as (", "w_plain as (", 1)}, w as (select * from w_plain where case (doc_id + page_no) % 8 when 3 then false
+    when 4 then regexp_matches("text", '^[0-9]+x[0-9]+$') when 5 then regexp_matches("text", '^[a-z ]+$') else true end)"""
+VARIED_R = f"""{R.replace("r as (", "r_plain as (", 1)}, r as (select doc_id, page_no, sw_idx, rid, x0, y0, case when (doc_id + page_no) % 8 = 7 then x0 + 2 else x1 end x1,
+    case when (doc_id + page_no) % 8 = 7 then y0 + 12 else y1 end y1 from r_plain where (doc_id + page_no) % 8 <> 6 and doc_id % 5 <> 4)"""
+
 #: Words with their normal form, and the two kinds of shapes.
 N = r"""n as (select *, upper(trim("text", '*,;:().')) token, (x0 + x1) / 2 cx, (y0 + y1) / 2 cy, y1 - y0 h from w)"""
 SIZE = r"(?i)\b\d{1,4}(?:[.,]\d{1,2})?\s*[x×]\s*\d{1,4}(?:[.,]\d{1,2})?\s*(?:cm|mm)?"
@@ -114,8 +121,8 @@ V = """v as (select cw.*, a.sw_idx, a.rule, a.d,
   from cw join a using (doc_id, page_no, word_no) left join r using (doc_id, page_no, sw_idx) left join icon using (doc_id, page_no, sw_idx))"""
 
 
-def scan(version: int = 6) -> str:
-    return ", ".join((W, R, N, C, PG, assign(version), icon(version), V))
+def scan(version: int = 6, words: str = W, rects: str = R) -> str:
+    return ", ".join((words, rects, N, C, PG, assign(version), icon(version), V))
 
 
 #: Bindings of dense codes at version 4, and their components by repeated least labels.

@@ -38,7 +38,7 @@ vc as (select doc_id, page_no, count(*) n_codes, count(*) filter (where sw_idx i
   count(*) filter (where blocked) code_block_bound, count(*) filter (where demoted) code_icon_demoted, count(*) filter (where not aligned and not blocked) code_needs_review from v group by all)"""
 
 
-def _verdict_sql(version: int, words: str = Q.W, codes: str = Q.C) -> str:
+def _verdict_sql(version: int, words: str = Q.W, codes: str = Q.C, rects: str = Q.R) -> str:
     """v with the block rescue of version 7; the rectangles are those moved into left columns.  words gives w, codes cand, routed,
     codes and cw."""
     rescued = f"""{LEFT}, res as (select a.doc_id, a.page_no, a.word_no, min({{'y0': bl.y0, 'sw_idx': bl.sw_idx}}).sw_idx bi from a join n using (doc_id, page_no, word_no) join bl using (doc_id, page_no)
@@ -48,7 +48,7 @@ az as (select a.doc_id, a.page_no, a.word_no, coalesce(a.sw_idx, bi) sw_idx, cas
     if version < 7:
         rescued = "az as (select * from a)"
     icon = Q.icon(version) if version >= 6 else "icon as (select doc_id, page_no, sw_idx, false icon from r)"
-    moved = f"""{Q.R.replace("r as (", "r0 as (")}, r as (select doc_id, page_no, sw_idx, rid, case when rid % 3 = 0 then 10.0 else x0 end x0, y0, case when rid % 3 = 0 then 60.0 else x1 end x1,
+    moved = f"""{rects.replace("r as (", "r0 as (")}, r as (select doc_id, page_no, sw_idx, rid, case when rid % 3 = 0 then 10.0 else x0 end x0, y0, case when rid % 3 = 0 then 60.0 else x1 end x1,
   case when rid % 3 = 0 then y0 + 60 else y0 + 20 end y1 from r0)"""
     verdict = Q.V.replace("join a using", "join az a using").replace("v as (", "v0 as (")
     judged = """v as (select * exclude (aligned, demoted), aligned,
@@ -56,11 +56,11 @@ az as (select a.doc_id, a.page_no, a.word_no, coalesce(a.sw_idx, bi) sw_idx, cas
     return ", ".join((words, moved, Q.N, Q.S, codes, Q.PG, Q.assign(version), icon, rescued, verdict, judged))
 
 
-def extraction_sql(version: int, words: str = Q.W, codes: str = Q.C) -> str:
+def extraction_sql(version: int, words: str = Q.W, codes: str = Q.C, rects: str = Q.R) -> str:
     """The counters of every page."""
     names = NAMED if version >= 4 else "hint as (select doc_id, page_no, word_no from v where false)"
     sides = f"{ROWSIZE}" if version >= 4 else ROWSIZE.replace("case when least(cw.x1, s_x1) - greatest(cw.x0, s_x0) > 0 then 1 else 2 end", "1")
-    return f"""with {_verdict_sql(version, words, codes)}, {names}, {sides}, {COUNTERS}
+    return f"""with {_verdict_sql(version, words, codes, rects)}, {names}, {sides}, {COUNTERS}
 select pg.doc_id, pg.page_no, coalesce(n_codes, 0) n_codes, coalesce(code_orphan, 0) code_orphan, coalesce(code_far, 0) code_far, coalesce(code_x_aligned, 0) code_x_aligned,
   coalesce(code_block_bound, 0) code_block_bound, coalesce(code_icon_demoted, 0) code_icon_demoted, coalesce(code_needs_review, 0) code_needs_review,
   (select count(*) from rs where rs.doc_id = pg.doc_id and rs.page_no = pg.page_no) code_with_size, (select count(*) from hint where hint.doc_id = pg.doc_id and hint.page_no = pg.page_no) code_name_bound,

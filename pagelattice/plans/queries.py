@@ -586,7 +586,9 @@ def _(b):
     return scan.page_types(b.rects, b.judged(), b.pages, rasters)
 
 
-STATES = f"""{Q.scan()}, {Q.S}, every as (select distinct doc_id, page_no from w union select distinct doc_id, page_no from r),
+def states_sql(tables: str) -> str:
+    """The CTE st (doc_id, page_no, state) over the CTEs of Q.scan."""
+    return f"""{tables}, {Q.S}, every as (select distinct doc_id, page_no from w union select distinct doc_id, page_no from r),
 auto as (select distinct doc_id, page_no from v where aligned), rev as (select distinct doc_id, page_no from v where not aligned),
 sp as (select doc_id, page_no from s group by all having count(*) >= 3),
 st as (select every.doc_id, every.page_no, case when auto.doc_id is not null then 'auto' when rev.doc_id is not null then 'review' when sp.doc_id is not null then 'noprod'
@@ -594,6 +596,9 @@ st as (select every.doc_id, every.page_no, case when auto.doc_id is not null the
   from every left join auto using (doc_id, page_no) left join rev using (doc_id, page_no) left join sp using (doc_id, page_no) left join pg using (doc_id, page_no))"""
 
 
+STATES = states_sql(Q.scan())
+
+
 @query("p20_dispositions", f"with {STATES} select * from st")
 def _(b):
     return b.states

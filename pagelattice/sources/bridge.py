@@ -6,7 +6,7 @@ any SQL engine.  A real corpus supplies the same columns from its own tables (do
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 PAGE = (600.0, 800.0)
@@ -88,6 +88,25 @@ def spread_pages(words_: DataFrame) -> DataFrame:
     return words_.select("doc_id", "page_no").distinct().withColumns({"width": wide, "height": F.lit(PAGE[1])})
 
 
+def page_kind() -> Column:
+    """Eight kinds of pages, one of each in a document of eight; see varied_words and varied_rects."""
+    return (F.col("doc_id") + F.col("page_no")) % 8
+
+
+def varied_words(words_: DataFrame) -> DataFrame:
+    """The words with pages of kind 3 empty, of kind 4 with sizes only, of kind 5 with lower-case names only."""
+    kind, text = page_kind(), F.col("text")
+    keep = F.when(kind == 3, False).when(kind == 4, text.rlike("^[0-9]+x[0-9]+$")).when(kind == 5, text.rlike("^[a-z ]+$")).otherwise(True)
+    return words_.where(keep)
+
+
+def varied_rects(rects_: DataFrame) -> DataFrame:
+    """The rectangles without those of pages of kind 6 and of every fifth document; on pages of kind 7 they are hairlines."""
+    thin = page_kind() == 7
+    kept = rects_.where((page_kind() != 6) & (F.col("doc_id") % 5 != 4))
+    return kept.withColumns({"x1": F.when(thin, F.col("x0") + 2).otherwise(F.col("x1")), "y1": F.when(thin, F.col("y0") + 12).otherwise(F.col("y1"))})
+
+
 def dense_code(text) -> F.Column:
     """A coarser code, so that merging finds large groups: three values where the plain one has ten."""
     return F.concat(F.substring(text, 1, 2), F.lit("0"), (F.substring(text, 4, 1).cast("int") % 3).cast("string"))
