@@ -55,8 +55,8 @@ def test_varied_pages_reach_every_state(duck):
     """The SQL of these queries equals them, so states that occur in it occur in both."""
     states = {s for (s,) in duck.sql(f"select state from ({SQL['u7_varied_coverage']})").fetchall()}
     assert states == {"auto", "review", "noprod", "nonspec", "image"}
-    vanished, phantom, stuck, free = duck.sql(f"select sum(vanished), sum(phantom), count(*) filter (where stuck), count(*) filter (where not stuck) from ({SQL['a29_stale_queue']})").fetchone()
+    vanished, phantom, stuck, free = duck.sql(f"select sum(vanished), sum(phantom), count(*) filter (where stuck), count(*) filter (where not stuck) from ({SQL['a29_stale_queue']})").fetchall()[0]
     assert vanished > 0 and phantom > 0 and stuck > 0 and free > 0
-    assert all(n > 0 for n in duck.sql(f"select sum(differ), sum(only_scanned), sum(only_extracted) from ({SQL['q9_frozen_agreement']})").fetchone())
+    assert all(n > 0 for n in duck.sql(f"select sum(differ), sum(only_scanned), sum(only_extracted) from ({SQL['q9_frozen_agreement']})").fetchall()[0])
     counters = "code_name_bound", "code_icon_demoted", "code_block_bound", "code_needs_review", "code_x_aligned", "code_with_size", "sw_no_code"
-    assert all(n > 0 for n in duck.sql(f"select {', '.join(f'sum({c})' for c in counters)} from ({SQL['q4_varied_pages_v7']})").fetchone())
+    assert all(n > 0 for n in duck.sql(f"select {', '.join(f'sum({c})' for c in counters)} from ({SQL['q4_varied_pages_v7']})").fetchall()[0])
