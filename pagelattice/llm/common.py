@@ -2,16 +2,14 @@
 
 from __future__ import annotations
 
-import atexit
 import gc
-import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagelattice.operators.components import checkpoint, ensure_checkpoint_dir
+from pagelattice.operators.components import checkpoint, delete, materialize, shared_path
 
-__all__ = ["checkpoint", "crc_mod", "drop_table", "free_shuffles", "fresh", "materialize", "read_table", "row_key", "shared_path", "with_row_id", "word_count"]
+__all__ = ["checkpoint", "crc_mod", "delete", "drop_table", "free_shuffles", "fresh", "materialize", "read_table", "row_key", "shared_path", "with_row_id", "word_count"]
 
 #: A word of the white-space split: anything but ASCII space and \t \n \v \f \r.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -31,33 +29,10 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
-def shared_path(spark: SparkSession, name: str) -> str:
-    """A fresh folder under the shared checkpoint folder."""
-    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/pagelattice-{name}-{uuid.uuid4().hex}"
-
-
-def _delete(spark: SparkSession, path: str) -> None:
-    if spark.sparkContext._jsc is None:
-        return
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop_path, True)
-
-
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write df as Parquet into the shared folder and read it back: lineage ends at files that
-    every executor sees, so a lost executor costs no recomputation.  The folder is removed
-    when the driver process ends."""
-    spark = df.sparkSession
-    path = shared_path(spark, name)
-    df.write.parquet(path)
-    atexit.register(_delete, spark, path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def drop_table(df: DataFrame) -> None:
     """Remove the folder of a table that materialize wrote and nothing will read again."""
     for file in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-        _delete(df.sparkSession, file)
+        delete(df.sparkSession, file)
 
 
 def fresh(df: DataFrame, name: str) -> str:

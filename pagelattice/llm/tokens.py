@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import _delete, read_table, shared_path
+from .common import delete, read_table, shared_path
 from .wavelet import Shard
 
 END_ID = 2
@@ -320,7 +320,7 @@ def token_table(docs: DataFrame, **parameters) -> DataFrame:
 
     spark = docs.sparkSession
     path = shared_path(spark, "tokens")
-    atexit.register(_delete, spark, path)
+    atexit.register(delete, spark, path)
     write_tokens(docs, path, **parameters)
     return read_documents(spark, path)
 
