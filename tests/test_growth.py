@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from pagelattice.config import RuleConfig
-from pagelattice.operators import fields, layout
+from pagelattice.operators import fields, layout, pages
 from pagelattice.plans.queries import Bridge
 
 SF = "/root/testdata/sf0.001"
@@ -47,3 +47,26 @@ def test_index_is_computed_once_for_bound_names(spark, tmp_path):
     names = b.words.select("doc_id", "page_no", F.upper("text").alias("token"))
     bound = fields.bind_names(b.words, b.words, spark.read.parquet(f"{tmp_path}/index"), names, b.pages)
     assert not [f for f in bound.inputFiles() if "/index/" in f]
+
+
+def test_names_are_sought_only_in_documents_with_open_codes(spark, monkeypatch):
+    """Two equal pages of a table of codes under a swatch; in document 2 the codes are aligned, so nothing is open there."""
+    box = "doc_id long, page_no long, {} long, x0 double, y0 double, x1 double, y1 double{}"
+    codes = [(d, 1, k, 300.0, 400.0 + 30 * k, 340.0, 410.0 + 30 * k, f"AB{k}1") for d in (1, 2) for k in range(6)]
+    names = [(d, 1, 10 + k, 350.0, 400.0 + 30 * k, 390.0, 410.0 + 30 * k, name) for d in (1, 2) for k, name in enumerate(("Rose", "Blue"))]
+    titles = [(d, 1, 20 + k, 10.0 + 100 * k, 52.0, 50.0 + 100 * k, 60.0, name) for d in (1, 2) for k, name in enumerate(("Rose", "Blue"))]
+    words = spark.createDataFrame(codes + names + titles, box.format("word_no", ", text string"))
+    rects = [(d, 1, k, 10.0 + 100 * k, 10.0, 60.0 + 100 * k, 50.0) for d in (1, 2) for k in range(2)]
+    swatches = spark.createDataFrame(rects, box.format("sw_idx", ""))
+    sheet = words.select("doc_id", "page_no").distinct().withColumns({"width": F.lit(600.0), "height": F.lit(800.0)})
+    judged = words.where("word_no < 10").select("doc_id", "page_no", "word_no", F.col("text").alias("token"), (F.col("doc_id") == 2).alias("aligned"), F.lit(False).alias("blocked"))
+    read = []
+
+    def counted(words, *more):
+        read.append({r.doc_id for r in words.select("doc_id").collect()})
+        return layout.assign_words(words, *more)
+
+    monkeypatch.setattr(pages, "assign_words", counted)
+    hints = pages.name_hints(judged, words, swatches, judged.select("doc_id", "token").distinct(), sheet, rules=RuleConfig(7))
+    assert {tuple(r) for r in hints.collect()} == {(1, 1, 0, 1, 0), (1, 1, 1, 1, 1)}
+    assert all(found == {1} for found in read)
