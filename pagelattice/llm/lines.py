@@ -3,8 +3,8 @@
 A line is the set of its lower-cased words.  Words are ordered from rare to common (by
 counts over all lines, in hashed buckets: any fixed order is correct, a rarity order is
 fast).  Two sets of Jaccard similarity `t` or more share a word within their prefixes.
-Prefix entries meet on the word; lengths and positions rule pairs out, and so do 128 bits an
-entry, of which each word flips one: two sets differ in at least as many words as in bits.  Pairs left are verified on the words of both lines.
+Prefix entries meet on the word; lengths and positions rule pairs out, and so do 64 bits an
+entry (128 in long lines), of which each word flips one: two sets differ in at least as many words as in bits.  Pairs left are verified on the words of both lines.
 
 A line goes if an earlier line (by doc_id, then line number) is similar enough, whether or
 not that one stays.  So a line needs one witness, not all partners.  Where a word is in many
@@ -27,6 +27,8 @@ FREQUENCY_BITS = 17
 _HASH_BITS = 56
 #: A word in more prefixes than this has its sets compared with the earliest of them first.
 HOT = 500
+#: Sets of more words than this have 128 bits, others 64: few bits tell long lines badly apart, many cost a third of an entry.
+LONG = 64
 _BITS = [1 << k if k < 63 else -(1 << 63) for k in range(64)]
 #: Lines to verify (four numbers each) are told to the scan of the texts up to this number; beyond, texts are shuffled to them.
 _TOLD = 1_000_000
@@ -90,7 +92,7 @@ def _ordered(line: Column, rank: list[int]) -> Column:
     table, shift = _table(rank, "int"), 65 - len(rank).bit_length()
 
     def code(h: Column) -> Column:
-        kind = F.get(table, F.shiftrightunsigned(h, shift).cast("int")).cast("long")
+        kind = F.coalesce(F.get(table, F.shiftrightunsigned(h, shift).cast("int")), F.lit(0)).cast("long")  # never null: a sort of plain longs
         return F.shiftleft(kind, _HASH_BITS).bitwiseOR(F.shiftrightunsigned(h, 64 - _HASH_BITS))
 
     coded = F.transform(F.transform(_words(line), lambda w: F.xxhash64(w)), code)
@@ -102,10 +104,16 @@ def _jaccard_at_least(a: Column, b: Column, t: float) -> Column:
     return both >= F.lit(t) * (F.size(a) + F.size(b) - both) - F.lit(1e-9)
 
 
-def _flips(words: Column, half: int) -> Column:
-    """64 of the 128 bits, each flipped once for each word that falls on it (by the low bits of its hash)."""
-    table = _table(_BITS + [0] * 64 if half == 0 else [0] * 64 + _BITS, "bigint")
-    return F.aggregate(words, F.lit(0).cast("long"), lambda s, h: s.bitwiseXOR(F.get(table, h.bitwiseAND(F.lit(127)).cast("int"))))
+def _flips(words: Column) -> tuple[Column, Column]:
+    """Bits of which each word flips one, by the low bits of its hash: in sets of more than LONG words 128 as two halves, else
+    64 and zero.  The halves of a long set flipped together are its 64 bits."""
+
+    def bits(table: list[int]) -> Column:
+        last, values = F.lit(len(table) - 1), _table(table, "bigint")
+        return F.aggregate(words, F.lit(0).cast("long"), lambda s, h: s.bitwiseXOR(F.get(values, h.bitwiseAND(last).cast("int"))))
+
+    none, long_ = [0] * 64, F.size(words) > LONG
+    return F.when(long_, bits(_BITS + none)).otherwise(bits(_BITS)), F.when(long_, bits(none + _BITS)).otherwise(F.lit(0).cast("long"))
 
 
 def _may_match(t: float) -> Column:
@@ -115,7 +123,8 @@ def _may_match(t: float) -> Column:
     small, large = F.least("na", "nb"), F.greatest("na", "nb")
     needed = _least(F.col("na") + F.col("nb"), t / (1 + t))
     may_differ = F.col("na") + F.col("nb") - 2 * needed
-    differ = F.bit_count(F.col("xa").bitwiseXOR(F.col("xb"))) + F.bit_count(F.col("ya").bitwiseXOR(F.col("yb")))
+    x, y = (F.col(f"{c}a").bitwiseXOR(F.col(f"{c}b")) for c in "xy")
+    differ = F.when(small > LONG, F.bit_count(x) + F.bit_count(y)).otherwise(F.bit_count(x.bitwiseXOR(y)))
     return (
         (differ <= may_differ)
         & (F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb")) >= needed)
@@ -133,6 +142,14 @@ def _entries(sets: DataFrame, t: float, *more: str) -> DataFrame:
     return every.where(F.col("p") <= F.col("n") - _least(F.col("n"), t))
 
 
+def _shorter_first(t: float) -> Column:
+    """a is the shorter set (the smaller hash of equals), at a place where it can first meet one as long: the two share more
+    words than a shorter partner need share with it, so fewer places are enough.  One condition on both sides, which is not
+    moved before the shuffle: both sides read the same one."""
+    places = F.col("pa") <= F.col("na") - _least(F.col("na"), 2 * t / (1 + t))
+    return F.when((F.col("na") < F.col("nb")) | ((F.col("na") == F.col("nb")) & (F.col("sa") < F.col("sb"))), places)
+
+
 def _side(entries: DataFrame, side: str, key: str = "word") -> DataFrame:
     return entries.select(key, *(F.col(c).alias(f"{c}{side}") for c in _ENTRY))
 
@@ -153,7 +170,7 @@ def similar_lines(docs: DataFrame, t: float = SIMILARITY, hot: int = HOT) -> tup
 
     Sets are told apart by 64 bits of hash.  `hot` decides on the order of comparisons, not on the result."""
     rank, lines, spark = word_frequencies(docs), _numbered_lines(docs), docs.sparkSession
-    n, (x, y) = F.size("words"), (_flips(F.col("words"), half) for half in (0, 1))
+    n, (x, y) = F.size("words"), _flips(F.col("words"))
     full = materialize(
         lines.select("doc_id", "row", "line_no", _ordered(F.col("line"), rank).alias("words")).select(
             "doc_id",
@@ -187,7 +204,7 @@ def similar_lines(docs: DataFrame, t: float = SIMILARITY, hot: int = HOT) -> tup
     few = entries.join(crowded, "word", "left_anti") if some else entries
     # without the crowded words no key has many rows; one shuffle serves both sides
     met = _side(few, "a").join(_side(few, "b"), "word")
-    pairs = met.where("sa < sb").where(_may_match(t)).select("sa", "sb")
+    pairs = met.where(_shorter_first(t)).where(_may_match(t)).select("sa", "sb")
     if some:
         star = _side(frequent, "b").join(_side(heads, "a"), "word").where("sa <> sb")
         pairs = pairs.unionByName(star.where(_may_match(t)).select("sa", "sb"))

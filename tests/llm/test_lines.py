@@ -108,3 +108,23 @@ def test_long_lines(spark):
         lined.append((i, "\t".join(words) if i % 5 == 0 else " ".join(words)))
     want = brute(dict(lined))
     assert marked(spark.createDataFrame(lined, "doc_id long, text string")) == want and 5 < sum(len(g) for _, g in want.values()) < 50
+
+
+def test_words_are_sorted_as_plain_longs(spark):
+    rows = spark.createDataFrame([("b a b",)], "line string").select(lines._ordered(F.col("line"), [0] * 8).alias("words"))
+    assert not rows.schema["words"].dataType.containsNull
+
+
+def test_lines_on_both_sides_of_the_longer_bits(spark):
+    """Near copies whose lengths lie below, at and above the bound from which a set has twice as many bits."""
+    rng = np.random.default_rng(13)
+    lined, base = [], [f"w{x}" for x in range(lines.LONG + 8)]
+    for i in range(60):
+        if i % 6 == 0:
+            base = [f"w{x}" for x in rng.choice(400, lines.LONG + 8, replace=False)]
+        words = base[: lines.LONG + int(rng.integers(-8, 9))]
+        for k in rng.choice(len(words), int(len(words) * rng.choice([0.02, 0.07, 0.1, 0.12])), replace=False):
+            words[k] = f"x{rng.integers(0, 300)}"
+        lined.append((i, " ".join(words)))
+    want = brute(dict(lined))
+    assert marked(spark.createDataFrame(lined, "doc_id long, text string")) == want and 5 < sum(len(g) for _, g in want.values()) < 58
