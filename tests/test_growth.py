@@ -95,3 +95,19 @@ def test_demotion_asks_for_sizes_of_aligned_words_only(spark, monkeypatch):
     demoted = scan.demote_photos(judged, b.words, b.rects, b.pages, rules, share=0.01)
     assert 0 < asked[0].count() <= judged.where("aligned").count() < b.words.count()
     assert demoted.count() == judged.count() and read(demoted, "before-demotion") and not read(demoted, "code-words")
+
+
+def test_alphabetic_codes_ask_for_sizes_of_their_columns_only(spark, monkeypatch):
+    b, asked = Bridge(spark, SF), []
+    row_sizes = detect.in_row_with_size
+
+    def counted(words, *more):
+        asked.append(words.count())
+        return row_sizes(words, *more)
+
+    monkeypatch.setattr(detect, "in_row_with_size", counted)
+    found = detect.detect_codes(b.words, b.pages, rules=RuleConfig(12))
+    anchors = b.code_words.count()
+    members = detect.column_members(b.words, b.codes, b.pages).count()
+    assert asked == [anchors + members] and asked[0] < b.words.count()
+    assert read(found, "routed") and read(found, "vouched")
