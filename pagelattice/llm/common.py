@@ -7,7 +7,7 @@ import gc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagelattice.operators.components import checkpoint, delete, materialize, shared_path
+from pagelattice.operators.components import checkpoint, delete, fresh, materialize, shared_path
 
 __all__ = ["checkpoint", "crc_mod", "delete", "drop_table", "free_shuffles", "fresh", "materialize", "read_table", "row_key", "shared_path", "with_row_id", "word_count"]
 
@@ -35,14 +35,6 @@ def drop_table(df: DataFrame) -> None:
         delete(df.sparkSession, file)
 
 
-def fresh(df: DataFrame, name: str) -> str:
-    """A column name like `name` that df does not have, whatever the case of its letters."""
-    taken = {c.lower() for c in df.columns}
-    while name.lower() in taken:
-        name += "_"
-    return name
-
-
 def row_key(doc_id: Column, *more: Column) -> list[Column]:
     """Two longs, never null, that are equal where doc_id and the other columns are."""
     doc_id = doc_id.cast("long")

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from pagelattice.config import RuleConfig
-from pagelattice.operators import detect, fields, layout, pages, scan
+from pagelattice.operators import assemble, detect, fields, layout, pages, scan
 from pagelattice.plans.queries import Bridge
 
 SF = "/root/testdata/sf0.001"
@@ -111,3 +111,24 @@ def test_alphabetic_codes_ask_for_sizes_of_their_columns_only(spark, monkeypatch
     members = detect.column_members(b.words, b.codes, b.pages).count()
     assert asked == [anchors + members] and asked[0] < b.words.count()
     assert read(found, "routed") and read(found, "vouched")
+
+
+def test_clusters_are_sought_over_numbers(spark, monkeypatch):
+    rows = [(1, "b:2", 1, 1, "X"), (1, "b:10", 1, 1, "Y"), (1, "b:3", 2, 2, "Y"), (1, "b:1", 2, 3, "Z"), (2, "b:2", 1, 1, "X"), (None, "b:9", 1, 1, "X"), (None, "b:8", 1, 1, "X")]
+    bindings = spark.createDataFrame(rows, "doc_id long, id string, page_no long, sw long, code string").withColumn("Node", F.lit(7))
+    seen, components = [], assemble.connected_components
+
+    def counted(edges, *more):
+        seen.append({f.dataType.typeName() for f in edges.schema})
+        return components(edges, *more)
+
+    monkeypatch.setattr(assemble, "connected_components", counted)
+    got = assemble.clusters(bindings)
+    assert seen == [{"long"}] and got.columns == [*bindings.columns, "cluster"]
+    assert {(r.doc_id, r.id, r.cluster) for r in got.collect()} == {
+        (1, "b:2", "b:10"), (1, "b:10", "b:10"), (1, "b:3", "b:10"), (1, "b:1", "b:1"), (2, "b:2", "b:2"), (None, "b:9", "b:9"), (None, "b:8", "b:8")
+    }
+
+
+def test_dense_bindings_are_computed_once(spark):
+    assert read(Bridge(spark, SF).dense, "dense")
