@@ -16,6 +16,7 @@ witness meet the others on two shared words instead of one, which similar sets a
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,6 +33,10 @@ LONG = 64
 _BITS = [1 << k if k < 63 else -(1 << 63) for k in range(64)]
 #: Lines to verify (four numbers each) are told to the scan of the texts up to this number; beyond, texts are shuffled to them.
 _TOLD = 1_000_000
+#: Words in many prefixes, and the earliest set of each (some 80 bytes), are broadcast up to this number; beyond, prefixes are shuffled to them.
+_SENT = 400_000
+#: Of the entries of such words, so many a set are paired with the later words of their prefixes at once.
+_ENTRIES_A_SET = 0.5
 
 
 def _clean(text: Column) -> Column:
@@ -194,10 +199,11 @@ def similar_lines(docs: DataFrame, t: float = SIMILARITY, hot: int = HOT) -> tup
     least = _class(hot) << _HASH_BITS  # no word of a lower class is in more than `hot` prefixes
     entries = _entries(sets, t)
     frequent = _entries(sets, t, "first").where(F.col("word") >= least)
-    crowded = frequent.groupBy("word").count().where(F.col("count") > hot).select("word")
-    crowded = materialize(crowded, "line-crowded")
+    counted = materialize(frequent.groupBy("word").count().where(F.col("count") > hot), "line-crowded")
     free_shuffles(spark)
-    some = bool(crowded.head(1))
+    known = counted.agg(F.count(F.lit(1)).alias("words"), F.sum("count").alias("entries")).first()
+    some, sent = known["words"] > 0, F.broadcast if known["words"] <= _SENT else lambda df: df
+    crowded = sent(counted.select("word"))
     of_crowded = frequent.join(crowded, "word", "left_semi")
     heads = of_crowded.groupBy("word").agg(F.min(F.struct("first", *_ENTRY)).alias("h")).select("word", *(f"h.{c}" for c in _ENTRY))
     heads = materialize(heads, "line-heads") if some else None
@@ -206,7 +212,7 @@ def similar_lines(docs: DataFrame, t: float = SIMILARITY, hot: int = HOT) -> tup
     met = _side(few, "a").join(_side(few, "b"), "word")
     pairs = met.where(_shorter_first(t)).where(_may_match(t)).select("sa", "sb")
     if some:
-        star = _side(frequent, "b").join(_side(heads, "a"), "word").where("sa <> sb")
+        star = _side(frequent, "b").join(sent(_side(heads, "a")), "word").where("sa <> sb")
         pairs = pairs.unionByName(star.where(_may_match(t)).select("sa", "sb"))
     ends = F.least("sa", "sb").alias("a"), F.greatest("sa", "sb").alias("b")
     pairs = materialize(pairs.select(*ends).distinct(), "line-pairs")
@@ -214,13 +220,20 @@ def similar_lines(docs: DataFrame, t: float = SIMILARITY, hot: int = HOT) -> tup
     free_shuffles(spark)
     gone = _later(docs, sets, pairs, rank, t)
     if some:
-        # sets without a witness against all others, where they share a word of many prefixes and one more
-        double = _word_pairs(sets, crowded, t).join(gone.select(F.col("th").alias("s"), F.lit(True).alias("has")), "s", "left")
-        double = materialize(double, "line-doubles")
-        left = _side(double.where("has is null"), "a").join(_side(double, "b"), "word").where("sa <> sb")
-        rest = materialize(left.where(_may_match(t)).select(*ends).distinct().join(pairs, ["a", "b"], "left_anti"), "line-pairs")
-        drop_table(double)
-        free_shuffles(spark)
+        # sets without a witness against all others, where they share a word of many prefixes and one more; the larger the input,
+        # the more words are in many prefixes, so these words are taken in as many parts as keep the pairs of words few to a set
+        found, parts = [], max(1, math.ceil(known["entries"] / (_ENTRIES_A_SET * sets.count())))
+        for part in range(parts):
+            mine = sent(counted.where(F.pmod(F.xxhash64("word"), F.lit(parts)) == part).select("word"))
+            double = _word_pairs(sets, mine, t).join(gone.select(F.col("th").alias("s"), F.lit(True).alias("has")), "s", "left")
+            double = materialize(double, "line-doubles")
+            free_shuffles(spark)
+            left = _side(double.where("has is null"), "a").join(_side(double, "b"), "word").where("sa <> sb")
+            found.append(materialize(left.where(_may_match(t)).select(*ends).distinct().join(pairs, ["a", "b"], "left_anti"), "line-pairs"))
+            drop_table(double)
+            del double, left
+            free_shuffles(spark)
+        rest = reduce(DataFrame.unionByName, found)
         if not rest.isEmpty():
             gone = materialize(gone.unionByName(_later(docs, sets, rest, rank, t)).distinct(), "line-settled")
             free_shuffles(spark)
